@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHITESPACE = r"(?U)[\s\x1c-\x1f]"
 
@@ -85,7 +86,7 @@ def fold_width(text: Column) -> Column:
     return F.translate(text, _FULLWIDTH, _HALFWIDTH)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Full NFKC folding in Arrow batches; Spark has no built-in for it."""
     return texts.str.normalize("NFKC")

@@ -48,6 +48,12 @@ def words(sentence_rows: DataFrame) -> DataFrame:
     return sentence_rows.select(*REVIEW_KEYS, "sentence", F.posexplode(found).alias("place", "surface"))
 
 
+def morphemes(reviews: DataFrame, profile: TextProfile = JAPANESE) -> DataFrame:
+    """Words and sentence delimiters of a review in reading order, for compound rules."""
+    found = F.regexp_extract_all(normalise(F.col("review_text"), profile), F.lit(rf"{WORDS}|\|"), F.lit(0))
+    return reviews.repartition("row_id").select(*REVIEW_KEYS, F.posexplode(found).alias("place", "surface"))
+
+
 def tag_morphemes(word_rows: DataFrame, dictionary: DataFrame, unknown: UnknownWord = UnknownWord()) -> DataFrame:
     """POS, sub-POS, inflection and lemma per word from a dictionary keyed by surface."""
     tagged = lookup(word_rows, dictionary, ["surface"], F.col("row_id"))

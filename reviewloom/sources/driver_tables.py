@@ -121,7 +121,8 @@ def dictionary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pick(names: list[str], digit: Column) -> Column:
+def pick(names: list[str], digit: Column) -> Column:
+    """The name a hash digit stands for; NULL beyond the list."""
     return F.try_element_at(F.array(*[F.lit(n) for n in names]), _digit_value(digit))
 
 
@@ -141,14 +142,14 @@ def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity dictionary rows; the category of a repeated term varies, so the first row matters."""
     digit = F.substring(F.md5(F.concat_ws("|", "term", F.substring(F.md5(F.col("item_id").cast("string")), 1, 1))), 3, 1)
     return dictionary_rows(spark, sf_dir).select(
-        "item_id", "pos", "term", F.lit("xx").alias("language"), _pick(ENTITIES, digit).alias("entity"), F.lit(1).alias("version")
+        "item_id", "pos", "term", F.lit("xx").alias("language"), pick(ENTITIES, digit).alias("entity"), F.lit(1).alias("version")
     ).where(F.col("entity").isNotNull())
 
 
 def issue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     digit = F.substring(F.md5(F.concat_ws("|", "term", F.substring(F.md5(F.col("item_id").cast("string")), 1, 1))), 4, 1)
     return dictionary_rows(spark, sf_dir).select(
-        "item_id", "pos", "term", F.lit("xx").alias("language"), _pick(ISSUES, digit).alias("issue_category"),
+        "item_id", "pos", "term", F.lit("xx").alias("language"), pick(ISSUES, digit).alias("issue_category"),
         F.lit("negative").alias("sentiment"), F.lit(1).alias("version"),
     ).where(F.col("issue_category").isNotNull())
 

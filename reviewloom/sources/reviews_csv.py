@@ -9,6 +9,9 @@ from reviewloom import schemas as S
 from reviewloom.operators.ingest import number_rows
 from reviewloom.operators.lookups import first_per_key
 
+# An empty field is an empty text; only a field missing from its row is NULL.
+_NEVER = "\x00"
+
 LEXICONS = {
     "sentiment": ("term", "polarity", "language"),
     "entity": ("term", "language", "entity", "version"),
@@ -24,14 +27,14 @@ def scan_reviews_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     return spark.read.csv(
         path, schema=S.REVIEW_CSV, header=True, multiLine=True, escape='"', encoding="UTF-8",
-        enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        enforceSchema=True, nullValue=_NEVER,
     )
 
 
 def scan_lexicon_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A dictionary CSV as rows in file order (column ``row_number``)."""
     schema = ", ".join(f"{c} string" for c in LEXICONS[kind])
-    return number_rows(spark.read.csv(path, schema=schema, header=True, escape='"')).drop("source_file")
+    return number_rows(spark.read.csv(path, schema=schema, header=True, escape='"', nullValue=_NEVER)).drop("source_file")
 
 
 def read_lexicons(spark: SparkSession, sentiment: str, entity: str, issue: str) -> dict[str, DataFrame]:
