@@ -86,7 +86,7 @@ def validate_reviews(
     raw: DataFrame, limits: LengthLimits = LengthLimits(), namespace: str = ids.DEFAULT_NAMESPACE
 ) -> DataFrame:
     """Raw reviews to validated reviews, one to one."""
-    return flag(with_first_occurrence(standardise(raw, namespace)), limits).select(*S.VALIDATED_COLUMNS)
+    return flag(standardise(with_first_occurrence(raw), namespace), limits).select(*S.VALIDATED_COLUMNS)
 
 
 def split_by_validity(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -117,7 +117,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     columns = S.REVIEW_CSV.fieldNames()
     (
         tables.raw_reviews(spark, sf).select(*columns).na.fill("").write.mode("overwrite")
-        .csv(path, header=True, escape='"', quoteAll=True)
+        .options(**sinks.CSV_OPTIONS).csv(path)
     )
     scanned = ingest.with_ingest_metadata(reviews_csv.scan_reviews_csv(spark, path), "run_csv", repeatable=True)
     per_file = scanned.groupBy("source_file").agg(

@@ -69,6 +69,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer partitions than the cluster has cores.
+
+    A few large row groups would leave most cores idle in the text-heavy steps that follow. Large
+    inputs have far more splits than cores and are left as scanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _digit_value(digit: Column) -> Column:
     """1 for "0" up to 16 for "f"."""
     return F.instr(F.lit("0123456789abcdef"), digit)
@@ -78,7 +88,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw review relation; a narrow plan over one scan of ``documents``."""
     again = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < "4"
     lines = (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
         .select(
             "doc_id", "lang", "source",
             F.when(again, F.array(F.lit("run_a"), F.lit("run_b"))).otherwise(F.array(F.lit("run_a"))).alias("runs"),

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from reviewloom import schemas as S
 
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX",
+}
 WRITE_MODES = {"append": "append", "truncate": "overwrite"}
 
 
@@ -63,7 +67,7 @@ def save_reasons_table(reasons: DataFrame, table: str, buckets: int, mode: str =
 def _write(rows: DataFrame, path: str, mode: str, fmt: str, partition_by: list[str] | None = None) -> None:
     writer = rows.write.mode(WRITE_MODES[mode]).format(fmt)
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"', quoteAll=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ssXXX")
+        writer = writer.options(**CSV_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
