@@ -109,7 +109,10 @@ def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
 def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     """One row per review: its polarity terms, subject nouns and predicates in reading order."""
     index, sentence = F.col("index"), F.col("sentence")
-    ready = find_islands(assign_roles(tokens, rules)).withColumn("modifies", modifies_noun(rules))
+    roles = assign_roles(tokens, rules).withColumn("modifies", modifies_noun(rules))
+    # words without a role have served once positions and neighbours are known
+    acting = F.col("is_subject") | F.col("is_blocker") | F.col("is_verbal") | F.col("is_link")
+    ready = find_islands(roles.where(acting | F.col("polarities").isNotNull()))
     kind = (
         F.when(F.col("pos") == rules.noun, "noun")
         .when(F.col("modifies"), "modifier")

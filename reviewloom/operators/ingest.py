@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions import ids
+from reviewloom.operators.lookups import fits_broadcast
+from reviewloom.session import land
 
 
 def make_run_id(prefix: str = "reviews") -> str:
@@ -21,7 +23,8 @@ def number_rows(scan: DataFrame) -> DataFrame:
     """Add ``source_file`` and a 1-based ``row_number`` per file to a file scan.
 
     Rows are counted per scanned file block, the block counts are summed up to block offsets, and
-    each row adds its place within the block: no file is ever sorted or gathered in one task.
+    each row adds its place within the block: no file is ever sorted or gathered in one task. The
+    offsets, one row per block, are landed first, so that their size is known before the join.
     """
     rows = scan.select(
         "*",
@@ -34,9 +37,11 @@ def number_rows(scan: DataFrame) -> DataFrame:
         F.count("*").alias("_rows"), F.min("_order").alias("_first")
     )
     before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
+    offsets = land(blocks.select(
         "_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
+    ), "block_offsets")
+    if fits_broadcast(offsets):
+        offsets = F.broadcast(offsets)
     return (
         rows.join(offsets, ["_path", "_block"])
         .withColumn("row_number", F.col("_offset") + F.col("_order") - F.col("_first") + 1)

@@ -1,4 +1,4 @@
-"""Joins against dictionary tables, broadcast only when their size allows it."""
+"""Joins against tables with one row per key: broadcast when small, and safe from hot keys when not."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
-SALTS = 32
+HOT_KEYS = 1_000
+SPREAD = 1_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -14,17 +15,33 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
-def salted_left_join(
-    facts: DataFrame, dim: DataFrame, on: list[str], spread_by: Column, salts: int = SALTS
+def hot_key_left_join(
+    facts: DataFrame, dim: DataFrame, on: list[str], weight: DataFrame, spread_by: Column,
+    matchable: Column | None = None,
 ) -> DataFrame:
-    """Left join to a side with one row per key, when any key may hold a large share of ``facts``.
+    """Left join to ``dim`` (one row per key) when a few keys may hold most of ``facts``.
 
-    Every fact takes one of ``salts`` sub-keys, and each ``dim`` row is repeated once per sub-key,
-    so that a hot key is spread over ``salts`` tasks.
+    ``weight`` counts facts per key (column ``copies``). The ``HOT_KEYS`` heaviest keys are
+    broadcast: a list of fixed length, after which no key holds more than 1/HOT_KEYS of the facts.
+    The others meet in a shuffle join, in which facts already served, or that cannot match, are
+    spread over the partitions instead of following their key.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+    values = [c for c in dim.columns if c not in on]
+    heaviest = weight.orderBy(F.desc("copies"), *on).limit(HOT_KEYS).select(*on)
+    hot = dim.join(F.broadcast(heaviest), on).select(
+        *on, F.struct(*values).alias("_hot")
+    )
+    served = F.col("_hot").isNotNull()
+    if matchable is not None:
+        served = served | ~matchable
+    away = F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int") + 1
+    marked = facts.join(F.broadcast(hot), on, "left").withColumn("_part", F.when(served, away).otherwise(0))
+    rest = dim.select(*on, F.struct(*values).alias("_rest"), F.lit(0).alias("_part"))
+    found = F.coalesce("_hot", "_rest")
+    return (
+        marked.join(rest, [*on, "_part"], "left")
+        .select(*facts.columns, *[found[v].alias(v) for v in values])
+    )
 
 
 def lookup(
@@ -34,10 +51,11 @@ def lookup(
     spread_by: Column,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join to a dictionary with one row per key: broadcast if small enough, else salted."""
+    """Left join to a dictionary with one row per key, by broadcast or else safe from hot keys."""
     if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), on, "left")
-    return salted_left_join(facts, dim, on, spread_by)
+    weight = facts.groupBy(*on).agg(F.count("*").alias("copies"))
+    return hot_key_left_join(facts, dim, on, weight, spread_by)
 
 
 def first_per_key(rows: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:

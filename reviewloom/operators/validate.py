@@ -11,7 +11,8 @@ from reviewloom import schemas as S
 from reviewloom.functions import ids
 from reviewloom.functions.text import strip
 from reviewloom.functions.timestamps import posted_at_iso
-from reviewloom.operators.lookups import salted_left_join
+from reviewloom.operators.lookups import BROADCAST_ROWS, fits_broadcast, hot_key_left_join, lookup
+from reviewloom.session import land
 
 # Accepted length of a stripped review text, in code points.
 MIN_LENGTH = 5
@@ -34,20 +35,25 @@ def standardise(raw: DataFrame, namespace: str = ids.DEFAULT_NAMESPACE) -> DataF
     })
 
 
-def with_first_occurrence(rows: DataFrame) -> DataFrame:
+def with_first_occurrence(rows: DataFrame, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``first_row``: the lowest row number sharing run, file, source and source id.
 
-    NULL where the identity is incomplete or occurs once. One id may hold a large share of all
-    rows, so the lowest numbers combine map-side and come back through a salted join.
+    NULL where the identity is incomplete or occurs once. The lowest numbers of repeated identities
+    combine map-side and are landed, so that ``rows`` is read for them once and their number is
+    known: few are broadcast, many come back through a join that hot identities cannot unbalance.
     """
-    repeated = (
-        rows.where(ids.has_id(F.col("source"), F.col("source_id")))
+    complete = ids.has_id(F.col("source"), F.col("source_id"))
+    repeated = land(
+        rows.where(complete)
         .groupBy(*_IDENTITY)
-        .agg(F.min("row_number").alias("first_row"), F.count("*").alias("_copies"))
-        .where("_copies > 1")
-        .drop("_copies")
+        .agg(F.min("row_number").alias("first_row"), F.count("*").alias("copies"))
+        .where("copies > 1"),
+        "repeated_identities",
     )
-    return salted_left_join(rows, repeated, _IDENTITY, F.col("row_number"))
+    firsts = repeated.drop("copies")
+    if fits_broadcast(firsts, max_broadcast):
+        return rows.join(F.broadcast(firsts), _IDENTITY, "left")
+    return hot_key_left_join(rows, firsts, _IDENTITY, repeated, F.col("row_number"), complete)
 
 
 def text_reason(text: Column, limits: LengthLimits = LengthLimits()) -> Column:
@@ -98,11 +104,12 @@ def split_by_validity(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 def reason_violations(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexicon: DataFrame) -> DataFrame:
     """Extracted reasons that break a rule, with the names of the broken rules.
 
-    Category domains are collapsed to one row per distinct category before the join.
+    Category domains are collapsed to one row per distinct category before the lookup.
     """
     entities = entity_lexicon.select("entity").distinct().withColumn("_entity_known", F.lit(True))
     issues = issue_lexicon.select("issue_category").distinct().withColumn("_issue_known", F.lit(True))
-    checked = reasons.join(entities, "entity", "left").join(issues, "issue_category", "left")
+    checked = lookup(reasons, entities, ["entity"], F.col("reason_id"))
+    checked = lookup(checked, issues, ["issue_category"], F.col("reason_id"))
     rules = F.array(
         F.when(~F.coalesce(F.col("confidence").between(0, 1), F.lit(False)), "Invalid confidence"),
         F.when(

@@ -11,7 +11,7 @@ from reviewloom import schemas as S
 from reviewloom.functions.text import JAPANESE, SPACED, TextProfile
 from reviewloom.operators import compounds, tokens
 from reviewloom.operators.extract import JAPANESE_RULES, SPACED_RULES, TokenRules, extract_pairs
-from reviewloom.operators.ingest import with_ingest_metadata
+from reviewloom.operators.ingest import make_run_id, with_ingest_metadata
 from reviewloom.operators.reasons import build_reasons
 from reviewloom.operators.validate import LengthLimits, assert_reasons, validate_reviews
 from reviewloom.sources import sinks
@@ -77,12 +77,9 @@ def run(
     are landed before anything reads them twice, and validated reviews and reasons are read back
     from their tables, so a lost executor never changes an id.
     """
-    work = f"{output_dir}/_runs"
+    run_id = run_id or make_run_id()
+    batch = f"{output_dir}/_runs/{run_id}"
     stamped = with_ingest_metadata(scan_reviews_csv(spark, reviews_path), run_id)
-    instant = stamped.select("run_id").limit(1).take(1)
-    if not instant:
-        return
-    batch = f"{work}/{instant[0].run_id}"
     stamped.select(*S.RAW_COLUMNS).write.mode("errorifexists").parquet(f"{batch}/raw")
     raw = spark.read.parquet(f"{batch}/raw")
     sinks.write_raw(raw, f"{output_dir}/review_raw", mode, fmt)

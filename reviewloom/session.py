@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _LOCAL_DIRS: dict[str, str] = {}
 _STAGES: dict[tuple[str, str], str] = {}
@@ -29,6 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write a small intermediate relation to the shared folder and read it back."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/reviewloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stage_path(spark: SparkSession, dataset: str, name: str) -> str:
     digest = hashlib.md5(dataset.rstrip("/").encode()).hexdigest()[:12]
     return f"{shared_dir(spark)}/reviewloom/{spark.sparkContext.applicationId}/{digest}/{name}"
@@ -56,9 +67,5 @@ def forget_stages() -> None:
     _STAGES.clear()
 
 
-def _schema(text: str):
-    import json
-
-    from pyspark.sql import types as T
-
+def _schema(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
