@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewloom import schemas as S
 from reviewloom.operators.ingest import number_rows
 from reviewloom.operators.lookups import first_per_key
 
-# An empty field is an empty text; only a field missing from its row is NULL.
-_NEVER = "\x00"
-
 LEXICONS = {
     "sentiment": ("term", "polarity", "language"),
     "entity": ("term", "language", "entity", "version"),
@@ -21,20 +19,30 @@ LEXICONS = {
 
 
 def scan_reviews_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Headered UTF-8 review CSV: quoted line breaks allowed, short rows padded, blank lines skipped.
+    """Headered UTF-8 review CSV: quoted line breaks allowed, blank lines skipped, surplus fields dropped.
 
-    Quoted line breaks make a file unsplittable; deliver large inputs as many files.
+    An empty field is an empty text; only a field missing at the end of its row is NULL. Spark reads
+    both as NULL, so rows of another length, which it keeps as malformed, tell them apart by the
+    number of separators outside quotes. Quoted line breaks make a file unsplittable; deliver large
+    inputs as many files.
     """
-    return spark.read.csv(
-        path, schema=S.REVIEW_CSV, header=True, multiLine=True, escape='"', encoding="UTF-8",
-        enforceSchema=True, nullValue=_NEVER,
+    names = S.REVIEW_CSV.fieldNames()
+    schema = T.StructType([*S.REVIEW_CSV.fields, T.StructField("_malformed", T.StringType())])
+    rows = spark.read.csv(
+        path, schema=schema, header=True, multiLine=True, escape='"', encoding="UTF-8",
+        enforceSchema=True, columnNameOfCorruptRecord="_malformed",
     )
+    separators = F.length(F.regexp_replace(F.regexp_replace("_malformed", r'"(?:[^"]|"")*+"', ""), "[^,]", ""))
+    fields = F.coalesce(separators + 1, F.lit(len(names)))
+    return rows.select(*[
+        F.when(fields > i, F.coalesce(F.col(c), F.lit(""))).alias(c) for i, c in enumerate(names)
+    ])
 
 
 def scan_lexicon_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A dictionary CSV as rows in file order (column ``row_number``)."""
     schema = ", ".join(f"{c} string" for c in LEXICONS[kind])
-    return number_rows(spark.read.csv(path, schema=schema, header=True, escape='"', nullValue=_NEVER)).drop("source_file")
+    return number_rows(spark.read.csv(path, schema=schema, header=True, escape='"')).drop("source_file")
 
 
 def read_lexicons(spark: SparkSession, sentiment: str, entity: str, issue: str) -> dict[str, DataFrame]:
