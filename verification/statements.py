@@ -241,6 +241,16 @@ FROM tokens t LEFT JOIN entities e ON e.term = t.lemma LEFT JOIN issues i ON i.t
     "compound_tokens": sql("""SELECT row_id, sentence, place, w.surface, w.pos, w.sub_pos, w.inflection, w.lemma, w.s::INT AS start_offset, w.e::INT AS end_offset
 FROM (SELECT row_id, w, place, 1 + sum((w.surface = '|')::INT) OVER (PARTITION BY row_id ORDER BY place)::INT AS sentence
       FROM (SELECT row_id, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS place FROM folded)) WHERE w.surface <> '|'""", _compound_extra()),
+    "subject_islands": sql("""SELECT row_id, sentence, idx AS "index", nth, min(nth_seen) AS island FROM (
+  SELECT *, max(seen) FILTER (verbal AND nouns > 0 AND coalesce(flag, 0) = 0) OVER (PARTITION BY row_id, idx) AS stop FROM (
+    SELECT a.row_id, a.sentence, a.idx, a.nth, r.idx AS seen, r.nth AS nth_seen, r.en, r.verbal,
+           sum(r.en::INT) OVER w AS nouns,
+           last_value(CASE WHEN r.en OR r.blocker THEN 0 WHEN r.link THEN 1 END IGNORE NULLS) OVER w AS flag
+    FROM nouns a JOIN numbered r ON r.row_id = a.row_id AND r.sentence = a.sentence AND r.idx <= a.idx
+    WINDOW w AS (PARTITION BY a.row_id, a.idx ORDER BY r.idx DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+WHERE en AND (stop IS NULL OR seen > stop) GROUP BY row_id, sentence, idx, nth""", {
+        "numbered": "SELECT *, sum(en::INT) OVER (PARTITION BY row_id ORDER BY idx)::INT AS nth FROM roles",
+        "nouns": "SELECT * FROM numbered WHERE en"}),
     "noun_term_pairs": pairs("noun_then_predicate", "noun_as_predicate", "noun_alone"),
     "modifier_term_pairs": pairs("modifier"),
     "own_sentence_pairs": pairs("subject_before", "subject_after"),
@@ -286,5 +296,6 @@ FROM validated v LEFT JOIN reasons r ON r.review_id = v.review_id AND r.run_id =
   {rate('count(*) FILTER (issue_category = gold_issue)', 'count(reason_id)')} AS issue_accuracy FROM judged""", _GOLD),
     "entity_label_quality": _label_quality("entity", "gold_entity"),
     "issue_label_quality": _label_quality("issue_category", "gold_issue"),
+    "compatibility_forms": sql(f"SELECT row_id, nfc_normalize(translate(review_text, {q(X._FULLWIDTH)}, {q(X._HALFWIDTH)})) AS folded FROM raw"),
     "orthographic_forms": sql(f"SELECT row_id, {orthography('review_text')} AS unified FROM raw"),
 }
