@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,32 +12,19 @@ from pyspark.sql import types as T
 
 WHITESPACE = r"(?U)[\s\x1c-\x1f]"
 
-# Sentence delimiters, applied in this order, each match becoming "|".
-SENTENCE_DELIMITERS = [
-    r"!+",
-    r"\?+",
-    r"。+",
-    r"、、+",
-    r"\.\.\.+",
-    r"・・・+",
-    r"…+",
-    r"[\(\)]",
-    r"wwww+",
-    r"(?U)[\s\x1c-\x1f]+",
-    r"\#+",
-    r"(\(\)|\(\'\°\ω\°\`\*\)|\(_๑òωó\)_|\(\'・ω・\`\)|\(\';ω;\`\)|\(\'・Д・\`\)|_\:\(\'ཀ\`」∠\)\:|\(\'・_・\`\)|\_\(:3」∠\)\_|\(\'\、3_ヽ\)\_|\(。\-_\-。\)|\(\-。\-;\)|\( \'ω\'\)|\(p\'□\`q\)|\\\(^o^\)\/|\(\'Д\`\)|\(\^_\^;\)|\(‾▽‾;\))",
-    r"[😉😁😂😃😄😅😆😇😈😉😊😋😌😍😎😏😐😑😒😓😔😕😖😗😘😙😚😛😜😝😞😟😠😡😢😣😤😥😦😧😨😩😪😫😬😭😮😯😰😱😲😳😴😵😶😷😸😹😺😻😼😽😾😿🙀🙁🙂🙃🙄🤐🤑🤒🤓]",
-    r"[🙇‍🙏☔️🙋‍💦]",
-    r"\|+",
-]
+# Characters that end a sentence wherever they stand, ...
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)
+)
+FACES = "😉😁😂😃😄😅😆😇😈😉😊😋😌😍😎😏😐😑😒😓😔😕😖😗😘😙😚😛😜😝😞😟😠😡😢😣😤😥😦😧😨😩😪😫😬😭😮😯😰😱😲😳😴😵😶😷😸😹😺😻😼😽😾😿🙀🙁🙂🙃🙄🤐🤑🤒🤓"
+GESTURES = "🙇\u200d🙏☔\ufe0f🙋💦"
+SENTENCE_MARKS = "!?。…()#" + SPACES + FACES + GESTURES
+
+# ... and runs that end one from a certain length on.
+SENTENCE_RUNS = (r"、、+", r"\.\.\.+", r"・・・+", r"wwww+")
 
 # Space-delimited languages: spaces separate words, sentences end at punctuation.
-SPACED_DELIMITERS = [
-    r"[.!?…]+",
-    r"[()\[\]{}]",
-    r"\#+",
-    r"\|+",
-]
+SPACED_MARKS = ".!?…()[]{}#"
 
 _FULLWIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 _HALFWIDTH = "".join(chr(c) for c in range(0x21, 0x7F)) + " "
@@ -60,14 +48,15 @@ ORTHOGRAPHY = [
 class TextProfile:
     """How a language's text is folded and cut into sentences."""
 
-    delimiters: tuple[str, ...] = field(default_factory=lambda: tuple(SENTENCE_DELIMITERS))
+    marks: str = SENTENCE_MARKS
+    runs: tuple[str, ...] = SENTENCE_RUNS
     full_nfkc: bool = True
     orthography: bool = True
     fold_first: bool = False
 
 
 JAPANESE = TextProfile()
-SPACED = TextProfile(delimiters=tuple(SPACED_DELIMITERS), full_nfkc=False, orthography=False)
+SPACED = TextProfile(SPACED_MARKS, (), full_nfkc=False, orthography=False)
 
 
 def strip(text: Column) -> Column:
@@ -75,10 +64,15 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{WHITESPACE}++|{WHITESPACE}++$", "")
 
 
-def cut_sentences(text: Column, delimiters: tuple[str, ...] = tuple(SENTENCE_DELIMITERS)) -> Column:
-    for pattern in delimiters:
-        text = F.regexp_replace(text, pattern, "|")
-    return text
+def cut_sentences(text: Column, marks: str = SENTENCE_MARKS, runs: tuple[str, ...] = SENTENCE_RUNS) -> Column:
+    """Put one "|" wherever marks or runs end a sentence.
+
+    Neighbouring ends count once, so marks can be replaced one by one in a single pass, and a second
+    pass over runs joins what stands together. Bracketed faces need no pattern of their own: their
+    brackets are marks.
+    """
+    bars = F.translate(text, marks, "|" * len(marks))
+    return F.regexp_replace(bars, "(?:" + "|".join([r"\|", *runs]) + ")++", "|")
 
 
 def fold_width(text: Column) -> Column:
@@ -101,9 +95,8 @@ def orthography(text: Column) -> Column:
 def normalise(text: Column, profile: TextProfile = JAPANESE) -> Column:
     """Cut sentences, fold compatibility forms, unify spelling and case, in that order."""
     fold = nfkc if profile.full_nfkc else fold_width
-    text = cut_sentences(fold(text), profile.delimiters) if profile.fold_first else fold(
-        cut_sentences(text, profile.delimiters)
-    )
+    cut = partial(cut_sentences, marks=profile.marks, runs=profile.runs)
+    text = cut(fold(text)) if profile.fold_first else fold(cut(text))
     if profile.orthography:
         text = orthography(text)
     return F.lower(text)

@@ -44,8 +44,9 @@ class TokenRules:
 JAPANESE_RULES = TokenRules()
 SPACED_RULES = TokenRules(adnominal_field="lemma")
 
-_ORDER = ["sentence", "place"]
-_BEFORE = (Window.unboundedPreceding, -1)
+_READING = Window.partitionBy("row_id").orderBy("sentence", "place")
+_SO_FAR = _READING.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+_BEFORE = _READING.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def assign_roles(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
@@ -74,33 +75,39 @@ def find_islands(roles: DataFrame) -> DataFrame:
 
     A clause ends between two subject nouns where a verbal word is followed, before any link, by a
     noun: each such end counts in ``_ends``, and a noun starts a new island when the count has
-    grown since the noun before it.
+    grown since the noun before it in its sentence. Every window shares one order of the review.
     """
-    review = Window.partitionBy("row_id").orderBy(*_ORDER)
-    sentence = Window.partitionBy("row_id", "sentence").orderBy("place")
-    before = sentence.rowsBetween(*_BEFORE)
     subject, link = F.col("is_subject"), F.col("is_link")
     event = subject | F.col("is_blocker") | link
+    noun_before = F.last(F.when(subject, F.struct("sentence", F.col("_ends").alias("ends"))), ignorenulls=True)
     return (
-        roles.withColumn("nth", F.sum(subject.cast("int")).over(review).cast("int"))
-        .withColumn("_verbals", F.sum(F.col("is_verbal").cast("int")).over(sentence))
-        .withColumn("_verbals_before", F.last(F.when(event, F.col("_verbals")), ignorenulls=True).over(before))
+        roles.withColumns({
+            "nth": F.sum(subject.cast("int")).over(_SO_FAR).cast("int"),
+            "_verbals": F.sum(F.col("is_verbal").cast("int")).over(_SO_FAR),
+        })
+        .withColumn("_verbals_before", F.last(F.when(event, F.col("_verbals")), ignorenulls=True).over(_BEFORE))
         .withColumn("_end", event & ~link & (F.col("_verbals") > F.coalesce("_verbals_before", F.lit(0))))
-        .withColumn("_ends", F.sum(F.col("_end").cast("int")).over(sentence))
-        .withColumn("_ends_before", F.last(F.when(subject, F.col("_ends")), ignorenulls=True).over(before))
-        .withColumn("_head", subject & F.coalesce(F.col("_ends") > F.col("_ends_before"), F.lit(True)))
-        .withColumn("island", F.last(F.when(F.col("_head"), F.col("nth")), ignorenulls=True).over(review))
-        .drop("_verbals", "_verbals_before", "_end", "_ends", "_ends_before", "_head")
+        .withColumn("_ends", F.sum(F.col("_end").cast("int")).over(_SO_FAR))
+        .withColumn("_noun", noun_before.over(_BEFORE))
+        .withColumn("_joins", (F.col("_noun.sentence") == F.col("sentence")) & (F.col("_noun.ends") == F.col("_ends")))
+        .withColumn("_head", subject & ~F.coalesce("_joins", F.lit(False)))
+        .withColumn("island", F.last(F.when(F.col("_head"), F.col("nth")), ignorenulls=True).over(_SO_FAR))
+        .drop("_verbals", "_verbals_before", "_end", "_ends", "_noun", "_joins", "_head")
     )
 
 
 def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
     """True for an adjective before a noun, directly or over one auxiliary, and for an adjectival
-    noun before an adnominal word and a noun."""
-    sentence = Window.partitionBy("row_id", "sentence").orderBy("place")
-    one, two = F.lead("is_modifiable", 1, False).over(sentence), F.lead("is_modifiable", 2, False).over(sentence)
-    auxiliary = F.coalesce(F.lead("pos", 1).over(sentence) == rules.auxiliary, F.lit(False))
-    adnominal = F.lead("is_adnominal", 1, False).over(sentence)
+    noun before an adnominal word and a noun, all in one sentence."""
+    seen = F.struct("sentence", "pos", "is_modifiable", "is_adnominal")
+
+    def ahead(n: int, test) -> Column:
+        word = F.lead(seen, n).over(_READING)
+        return F.coalesce((word["sentence"] == F.col("sentence")) & test(word), F.lit(False))
+
+    one, two = (ahead(n, lambda w: w["is_modifiable"]) for n in (1, 2))
+    auxiliary = ahead(1, lambda w: w["pos"] == rules.auxiliary)
+    adnominal = ahead(1, lambda w: w["is_adnominal"])
     return ((F.col("pos") == rules.adjective) & (one | (auxiliary & two))) | (
         (F.col("pos") == rules.adjectival_noun) & adnominal & two
     )

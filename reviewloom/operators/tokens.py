@@ -31,11 +31,22 @@ class UnknownWord:
     inflection: str = "*"
 
 
+def by_review(reviews: DataFrame) -> DataFrame:
+    """Reviews hashed by ``row_id`` into a fixed number of partitions.
+
+    Tokens take many times the bytes of the text they come from, so partitions must not be merged
+    by the size of the text: with a number given, adaptive execution leaves them alone.
+    """
+    spark = reviews.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return reviews.repartition(max(wanted, spark.sparkContext.defaultParallelism), "row_id")
+
+
 def sentences(reviews: DataFrame, profile: TextProfile = JAPANESE) -> DataFrame:
     """One row per non-empty sentence; numbers count delimiters, so empty sentences leave gaps."""
     parts = F.split(normalise(F.col("review_text"), profile), r"\|")
     return (
-        reviews.repartition("row_id")
+        by_review(reviews)
         .select(*REVIEW_KEYS, F.posexplode(parts).alias("sentence", "text"))
         .where("text != ''")
         .withColumn("sentence", F.col("sentence") + 1)
@@ -51,7 +62,7 @@ def words(sentence_rows: DataFrame) -> DataFrame:
 def morphemes(reviews: DataFrame, profile: TextProfile = JAPANESE) -> DataFrame:
     """Words and sentence delimiters of a review in reading order, for compound rules."""
     found = F.regexp_extract_all(normalise(F.col("review_text"), profile), F.lit(rf"{WORDS}|\|"), F.lit(0))
-    return reviews.repartition("row_id").select(*REVIEW_KEYS, F.posexplode(found).alias("place", "surface"))
+    return by_review(reviews).select(*REVIEW_KEYS, F.posexplode(found).alias("place", "surface"))
 
 
 def tag_morphemes(word_rows: DataFrame, dictionary: DataFrame, unknown: UnknownWord = UnknownWord()) -> DataFrame:

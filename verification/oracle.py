@@ -49,6 +49,14 @@ def strip(text: str) -> str:
     return f"regexp_replace({text}, '^{SPACE}+|{SPACE}+$', '', 'g')"
 
 
+# The sentence ends as one pattern each, replaced in this order.
+DEFAULT_DELIMITERS = [
+    "!+", "\\?+", "。+", "、、+", "\\.\\.\\.+", "・・・+", "…+", "[\\(\\)]", "wwww+", SPACE + "+", "\\#+",
+    f"[{X.FACES}]", f"[{X.GESTURES}]", "\\|+",
+]
+SPACED_DELIMITERS = ["[.!?…]+", "[()\\[\\]{}]", "\\#+", "\\|+"]
+
+
 def ts(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%g')"
 
@@ -171,7 +179,7 @@ CTE: dict[str, str] = {
   FROM vocabulary v JOIN morphs m ON m.surface = v.term WHERE substr(md5(v.term), 5, 1) < '8'
   QUALIFY row_number() OVER (PARTITION BY m.lemma, m.pos ORDER BY v.item_id DESC, v.pos DESC) = 1""",
     "valid": "SELECT * FROM validated WHERE is_valid",
-    "tokens": tokens_of("valid", X.SPACED_DELIMITERS),
+    "tokens": tokens_of("valid", SPACED_DELIMITERS),
     "roles": f"""
   SELECT *, pos = {q(RULES.noun)} AND sub_pos NOT IN {among(RULES.no_subject)} AND lemma NOT IN {among(RULES.no_subject_lemmas)} AS en,
          pos = {q(RULES.noun)} AND sub_pos IN {among(RULES.no_subject)} AND lemma NOT IN {among(RULES.transparent_nouns)} AS blocker,

@@ -7,18 +7,12 @@ from reviewloom.functions import text as X
 from reviewloom.operators import compounds as C
 from reviewloom.sources import driver_tables as D
 from verification.oracle import (
-    SPACE, among, case, chain, day, dictionary, q, rate, sql, tokens_of, ts,
+    DEFAULT_DELIMITERS, SPACED_DELIMITERS, among, case, chain, day, dictionary, q, rate, sql, tokens_of, ts,
 )
 
 K = 10
 _HEX = "0123456789abcdef"
 
-# the default delimiters in this engine's pattern syntax; no face can match once parentheses are cut
-DEFAULT_DELIMITERS = [
-    SPACE + "+" if p.startswith("(?U)") else p for p in X.SENTENCE_DELIMITERS if not p.startswith("(\\(")
-]
-
-
 def joined(values: str, sep: str = ",") -> str:
     return f"array_to_string({values}, '{sep}')"
 
@@ -96,7 +90,7 @@ _COMPOUND_RULES = [
 
 
 def _compound_extra() -> dict[str, str]:
-    normal = f"lower(translate({chain('review_text', X.SPACED_DELIMITERS)}, {q(X._FULLWIDTH)}, {q(X._HALFWIDTH)}))"
+    normal = f"lower(translate({chain('review_text', SPACED_DELIMITERS)}, {q(X._FULLWIDTH)}, {q(X._HALFWIDTH)}))"
     found = f"regexp_extract_all({normal}, '[\\p{{L}}\\p{{N}}]+|\\|')"
     fresh = _struct(
         surface="m.surface", pos="m.pos", sub_pos="m.sub_pos", inflection="m.inflection", lemma="m.lemma",
@@ -230,7 +224,7 @@ FROM (SELECT run_id, source_file, unnest(invalid_reason) AS reason FROM validate
     "normalised_text": sql(f"SELECT row_id, lower(translate({chain('review_text', DEFAULT_DELIMITERS)}, {q(X._FULLWIDTH)}, {q(X._HALFWIDTH)})) AS normalised FROM raw"),
     "sentence_rows": sql(f"""SELECT row_id, sentence, sentence_text FROM (
   SELECT row_id, unnest(parts) AS sentence_text, generate_subscripts(parts, 1) AS sentence FROM (
-    SELECT row_id, string_split(lower(translate({chain('review_text', X.SPACED_DELIMITERS)}, {q(X._FULLWIDTH)}, {q(X._HALFWIDTH)})), '|') AS parts FROM valid))
+    SELECT row_id, string_split(lower(translate({chain('review_text', SPACED_DELIMITERS)}, {q(X._FULLWIDTH)}, {q(X._HALFWIDTH)})), '|') AS parts FROM valid))
 WHERE sentence_text <> ''"""),
     "word_tokens": sql("""SELECT row_id, sentence, idx AS "index", idx_in_sentence AS index_in_sentence, surface, pos, sub_pos, inflection, lemma FROM tokens"""),
     "polarity_tokens": sql("""SELECT t.row_id, t.idx AS "index", t.lemma, s.polarity AS sentiment
