@@ -4,9 +4,11 @@ Nouns that may be subjects cut a review into gaps. Whether two neighbouring subj
 together depends only on the gap between them, so subjects form islands within a sentence and the
 subjects of any term are the part of one island up to an anchor noun. Predicates of a term are the
 predicate words of one or two gaps, or, where the own sentence has no subject, of a run of
-sentences. Windows over (row_id, sentence, place) find nouns, gaps and islands; one aggregation per
-review, whose size the length limit bounds, brings a term's candidates together. All steps share
-the partitioning by ``row_id``.
+sentences.
+
+One window per review numbers the tokens and looks at their neighbours; the words that play a role
+are then gathered into one array per review, whose size the length limit bounds, and all else is
+array expressions on that row. Both steps use the partitioning by ``row_id`` that tokens come with.
 """
 
 from __future__ import annotations
@@ -44,9 +46,12 @@ class TokenRules:
 JAPANESE_RULES = TokenRules()
 SPACED_RULES = TokenRules(adnominal_field="lemma")
 
-_READING = Window.partitionBy("row_id").orderBy("sentence", "place")
-_SO_FAR = _READING.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-_BEFORE = _READING.rowsBetween(Window.unboundedPreceding, -1)
+# One letter per role: subject noun, blocking noun, verbal word, clause link, none.
+SUBJECT, BLOCKER, VERBAL, LINK, PLAIN = "N", "n", "V", "m", "o"
+
+# A gap between two subject nouns that keeps them apart: it ends a sentence, or has a verbal word
+# that a noun follows before any link does.
+_APART = rf"[|]|{VERBAL}({PLAIN})*({BLOCKER}|$)"
 
 
 def assign_roles(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
@@ -70,39 +75,14 @@ def assign_roles(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataF
     })
 
 
-def find_islands(roles: DataFrame) -> DataFrame:
-    """Add ``nth``, the number of subject nouns up to each token, and the island of each noun.
-
-    A clause ends between two subject nouns where a verbal word is followed, before any link, by a
-    noun: each such end counts in ``_ends``, and a noun starts a new island when the count has
-    grown since the noun before it in its sentence. Every window shares one order of the review.
-    """
-    subject, link = F.col("is_subject"), F.col("is_link")
-    event = subject | F.col("is_blocker") | link
-    noun_before = F.last(F.when(subject, F.struct("sentence", F.col("_ends").alias("ends"))), ignorenulls=True)
-    return (
-        roles.withColumns({
-            "nth": F.sum(subject.cast("int")).over(_SO_FAR).cast("int"),
-            "_verbals": F.sum(F.col("is_verbal").cast("int")).over(_SO_FAR),
-        })
-        .withColumn("_verbals_before", F.last(F.when(event, F.col("_verbals")), ignorenulls=True).over(_BEFORE))
-        .withColumn("_end", event & ~link & (F.col("_verbals") > F.coalesce("_verbals_before", F.lit(0))))
-        .withColumn("_ends", F.sum(F.col("_end").cast("int")).over(_SO_FAR))
-        .withColumn("_noun", noun_before.over(_BEFORE))
-        .withColumn("_joins", (F.col("_noun.sentence") == F.col("sentence")) & (F.col("_noun.ends") == F.col("_ends")))
-        .withColumn("_head", subject & ~F.coalesce("_joins", F.lit(False)))
-        .withColumn("island", F.last(F.when(F.col("_head"), F.col("nth")), ignorenulls=True).over(_SO_FAR))
-        .drop("_verbals", "_verbals_before", "_end", "_ends", "_noun", "_joins", "_head")
-    )
-
-
 def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
     """True for an adjective before a noun, directly or over one auxiliary, and for an adjectival
     noun before an adnominal word and a noun, all in one sentence."""
     seen = F.struct("sentence", "pos", "is_modifiable", "is_adnominal")
+    reading = Window.partitionBy("row_id").orderBy("sentence", "place")
 
     def ahead(n: int, test) -> Column:
-        word = F.lead(seen, n).over(_READING)
+        word = F.lead(seen, n).over(reading)
         return F.coalesce((word["sentence"] == F.col("sentence")) & test(word), F.lit(False))
 
     one, two = (ahead(n, lambda w: w["is_modifiable"]) for n in (1, 2))
@@ -114,32 +94,89 @@ def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
 
 
 def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
-    """One row per review: its polarity terms, subject nouns and predicates in reading order."""
-    index, sentence = F.col("index"), F.col("sentence")
-    roles = assign_roles(tokens, rules).withColumn("modifies", modifies_noun(rules))
-    # words without a role have served once positions and neighbours are known
-    acting = F.col("is_subject") | F.col("is_blocker") | F.col("is_verbal") | F.col("is_link")
-    ready = find_islands(roles.where(acting | F.col("polarities").isNotNull()))
+    """One row per review: the words that play a role, in reading order, and their roles as letters.
+
+    Words without a role have served once positions and neighbours are known.
+    """
+    roles = assign_roles(tokens, rules)
     kind = (
         F.when(F.col("pos") == rules.noun, "noun")
-        .when(F.col("modifies"), "modifier")
+        .when(modifies_noun(rules), "modifier")
         .when(F.col("is_verbal"), "verbal")
         .otherwise("other")
     )
-    term = F.struct(
-        index.alias("index"), sentence.alias("sentence"), "nth", "is_subject", kind.alias("kind"),
-        "lemma", "entity", "issue_category", "polarities",
+    role = (
+        F.when(F.col("is_subject"), SUBJECT)
+        .when(F.col("is_blocker"), BLOCKER)
+        .when(F.col("is_verbal"), VERBAL)
+        .when(F.col("is_link"), LINK)
+        .otherwise(PLAIN)
+    )
+    word = F.struct(
+        "index", "sentence", "role", "kind", "is_predicate", "lemma", "entity", "issue_category", "polarities")
+    words = F.array_sort(F.collect_list(word))
+    letters = F.array_join(
+        F.transform(
+            "words",
+            lambda w, i: F.concat(
+                F.when(F.get("words", i - 1)["sentence"] != w["sentence"], "|").otherwise(""), w["role"]),
+        ),
+        "",
     )
-    subject = F.struct(index.alias("index"), sentence.alias("sentence"), "nth", "island", "lemma", "entity")
-    predicate = F.struct(index.alias("index"), sentence.alias("sentence"), "nth", "lemma", "issue_category")
     return (
-        ready.groupBy("row_id", "run_id", "review_id")
-        .agg(
-            F.array_sort(F.collect_list(F.when(F.col("polarities").isNotNull(), term))).alias("terms"),
-            F.array_sort(F.collect_list(F.when(F.col("is_subject"), subject))).alias("nouns"),
-            F.array_sort(F.collect_list(F.when(F.col("is_predicate"), predicate))).alias("verbs"),
-        )
-        .where(F.size("terms") > 0)
+        roles.select("row_id", "run_id", "review_id", *[
+            F.col(c) for c in ("index", "sentence", "is_predicate", "lemma", "entity", "issue_category", "polarities")
+        ], kind.alias("kind"), role.alias("role"))
+        .where((F.col("role") != PLAIN) | F.col("polarities").isNotNull())
+        .groupBy("row_id", "run_id", "review_id")
+        .agg(words.alias("words"))
+        .withColumn("gaps", F.split(letters, SUBJECT))
+    )
+
+
+def find_nouns(gathered: DataFrame) -> DataFrame:
+    """Add the numbered subject ``nouns``, and ``heads``, the numbers that start an island."""
+    nouns = F.transform(
+        F.filter("words", lambda w: w["role"] == SUBJECT),
+        lambda w, i: F.struct(
+            w["index"].alias("index"), w["sentence"].alias("sentence"), (i + 1).alias("nth"),
+            w["lemma"].alias("lemma"), w["entity"].alias("entity"),
+        ),
+    )
+    # gap n is the one before noun n; the last gap, after all nouns, starts nothing that exists
+    heads = F.filter(
+        F.sequence(F.lit(1), F.size("gaps")), lambda n: (n == 1) | F.get("gaps", n - 1).rlike(_APART)
+    )
+    return gathered.withColumns({"nouns": nouns, "heads": heads})
+
+
+def island(nth: Column) -> Column:
+    """Number of the first noun of a noun's island."""
+    return F.array_max(F.filter("heads", lambda head: head <= nth))
+
+
+def find_terms(with_nouns: DataFrame) -> DataFrame:
+    """Add ``terms`` and ``verbs``, each word with the number of subject nouns up to it.
+
+    Only reviews with a polarity term are kept.
+    """
+
+    def nth(word: Column) -> Column:
+        return F.size(F.filter("nouns", lambda n: n["index"] <= word["index"])).alias("nth")
+
+    term = F.filter("words", lambda w: w["polarities"].isNotNull())
+    verb = F.filter("words", lambda w: w["is_predicate"])
+    return with_nouns.where(F.exists("words", lambda w: w["polarities"].isNotNull())).select(
+        "row_id", "run_id", "review_id", "nouns", "heads",
+        F.transform(term, lambda w: F.struct(
+            w["index"].alias("index"), w["sentence"].alias("sentence"), nth(w), (w["role"] == SUBJECT).alias("is_subject"),
+            w["kind"].alias("kind"), w["lemma"].alias("lemma"), w["entity"].alias("entity"),
+            w["issue_category"].alias("issue_category"), w["polarities"].alias("polarities"),
+        )).alias("terms"),
+        F.transform(verb, lambda w: F.struct(
+            w["index"].alias("index"), w["sentence"].alias("sentence"), nth(w), w["lemma"].alias("lemma"),
+            w["issue_category"].alias("issue_category"),
+        )).alias("verbs"),
     )
 
 
@@ -148,9 +185,10 @@ def _last_nth(items: Column, sentence: Column) -> Column:
     return F.try_element_at(F.filter(items, lambda x: x["sentence"] == sentence), F.lit(-1))["nth"]
 
 
-def classify(gathered: DataFrame) -> DataFrame:
+def classify(found: DataFrame) -> DataFrame:
     """One row per term, with the case that applies, its anchor noun and its predicate bounds."""
-    rows = gathered.select("*", F.explode("terms").alias("t")).drop("terms")
+    # the outer form, as the inner one would have the optimiser build terms twice to skip empty arrays
+    rows = found.select("*", F.explode_outer("terms").alias("t")).drop("terms")
     t, nouns, verbs = F.col("t"), F.col("nouns"), F.col("verbs")
     own, at, nth, kind = t["sentence"], t["index"], t["nth"], t["kind"]
     rows = rows.withColumns({
@@ -279,11 +317,11 @@ def extract_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> Data
     ``tokens`` needs the columns of :func:`reviewloom.operators.tokens.keep_content` and the tags
     ``polarities``, ``entity`` and ``issue_category``. Empty arrays mean none was found.
     """
-    rows = classify(gather(tokens, rules)).withColumn("walked", _candidates(F.col("verbs")))
+    rows = classify(find_terms(find_nouns(gather(tokens, rules)))).withColumn("walked", _candidates(F.col("verbs")))
     t, rule, anchor = F.col("t"), F.col("rule"), F.col("anchor")
-    island = F.try_element_at(F.col("nouns"), F.greatest(anchor, F.lit(1)))["island"]
+    first = F.coalesce(island(anchor), F.lit(1))
     nouns = F.transform(
-        F.slice("nouns", island, anchor - island + 1),
+        F.slice("nouns", first, anchor - first + 1),
         lambda s: F.struct(s["index"].alias("index"), s["lemma"].alias("lemma"), s["entity"].alias("entity")),
     )
     as_subject = F.array(F.struct(t["index"].alias("index"), t["lemma"].alias("lemma"), t["entity"].alias("entity")))

@@ -276,8 +276,10 @@ def compound_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def subject_islands(spark: SparkSession, sf: str) -> DataFrame:
     """Subject nouns with the position of the first noun they belong together with."""
-    found = extract.find_islands(extract.assign_roles(token_rows(spark, sf), batch.SPACED_LANGUAGE.rules))
-    return found.where("is_subject").select("row_id", "sentence", "index", "nth", "island")
+    found = extract.find_nouns(extract.gather(tagged_rows(spark, sf), batch.SPACED_LANGUAGE.rules))
+    noun = found.select("row_id", "heads", F.explode_outer("nouns").alias("noun")).where("noun IS NOT NULL")
+    return noun.select(
+        "row_id", "noun.sentence", "noun.index", "noun.nth", extract.island(F.col("noun.nth")).alias("island"))
 
 
 def _pairs(df: DataFrame) -> DataFrame:
