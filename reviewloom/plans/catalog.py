@@ -314,9 +314,11 @@ def split_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 def distinct_reasons(spark: SparkSession, sf: str) -> DataFrame:
     kept = reasons.distinct_reasons(reasons.split_predicates(pair_rows(spark, sf)))
+    distance = reasons.nearest_distance(F.col("subject_indices"), F.col("predicate_index"))
     return kept.select(
-        "row_id", "sentiment_type", "subject_indices", "predicate_index",
-        reasons.nearest_distance(F.col("subject_indices"), F.col("predicate_index")).alias("distance"),
+        "row_id", "sentiment_type", "subject_indices",
+        F.coalesce("predicate_index", F.lit(-1)).alias("predicate_index"),
+        F.coalesce(distance, F.lit(-1)).alias("distance"),
     )
 
 

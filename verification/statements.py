@@ -253,8 +253,8 @@ WHERE en AND (stop IS NULL OR seen > stop) GROUP BY row_id, sentence, idx, nth""
     "split_reasons": sql("""SELECT c.row_id, x.polarity AS sentiment_type, count(*) AS reason_rows, count(k.idx) AS with_predicate,
   count(s.subject_idx) AS with_subject
 FROM cases c JOIN sentiments x ON x.term = c.term LEFT JOIN subject_lists s USING (row_id, p) LEFT JOIN predicates k USING (row_id, p) GROUP BY ALL"""),
-    "distinct_reasons": sql(f"""SELECT row_id, sentiment_type, {joined('subject_idx')} AS subject_indices, predicate_idx AS predicate_index,
-  list_min([abs(i - predicate_idx) FOR i IN subject_idx]) AS distance FROM pairs"""),
+    "distinct_reasons": sql(f"""SELECT row_id, sentiment_type, {joined('subject_idx')} AS subject_indices, coalesce(predicate_idx, -1) AS predicate_index,
+  coalesce(list_min([abs(i - predicate_idx) FOR i IN subject_idx]), -1) AS distance FROM pairs"""),
     "reason_records": sql(f"SELECT {REASON_OUT} FROM reasons"),
     "reasons_enriched": sql(f"""SELECT run_id, source_file, source, {ts('posted_at_iso')} AS posted_at_iso, {day('posted_date')} AS posted_date,
   {ts('ingested_at')} AS ingested_at, review_text, {REASON_OUT.replace(", run_id", "")} FROM joined"""),
