@@ -315,11 +315,9 @@ def split_reasons(spark: SparkSession, sf: str) -> DataFrame:
 def distinct_reasons(spark: SparkSession, sf: str) -> DataFrame:
     kept = reasons.distinct_reasons(reasons.split_predicates(pair_rows(spark, sf)))
     distance = reasons.nearest_distance(F.col("subject_indices"), F.col("predicate_index"))
-    return kept.select(
-        "row_id", "sentiment_type", "subject_indices",
-        F.coalesce("predicate_index", F.lit(-1)).alias("predicate_index"),
-        F.coalesce(distance, F.lit(-1)).alias("distance"),
-    )
+    # a name used inside a lambda must not be given anew in the same select: it would mean the new one
+    kept = kept.select("row_id", "sentiment_type", "subject_indices", "predicate_index", distance.alias("distance"))
+    return kept.na.fill(-1, ["predicate_index", "distance"])
 
 
 def reason_records(spark: SparkSession, sf: str) -> DataFrame:
