@@ -75,28 +75,38 @@ def assign_roles(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataF
     })
 
 
+_READING = Window.partitionBy("row_id").orderBy("sentence", "place")
+
+
 def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
     """True for an adjective before a noun, directly or over one auxiliary, and for an adjectival
-    noun before an adnominal word and a noun, all in one sentence."""
-    seen = F.struct("sentence", "pos", "is_modifiable", "is_adnominal")
-    reading = Window.partitionBy("row_id").orderBy("sentence", "place")
-
-    def ahead(n: int, test) -> Column:
-        word = F.lead(seen, n).over(reading)
-        return F.coalesce((word["sentence"] == F.col("sentence")) & test(word), F.lit(False))
-
-    one, two = (ahead(n, lambda w: w["is_modifiable"]) for n in (1, 2))
-    auxiliary = ahead(1, lambda w: w["pos"] == rules.auxiliary)
-    adnominal = ahead(1, lambda w: w["is_adnominal"])
-    return ((F.col("pos") == rules.adjective) & (one | (auxiliary & two))) | (
-        (F.col("pos") == rules.adjectival_noun) & adnominal & two
+    noun before an adnominal word and a noun, all in one sentence.
+
+    What a neighbour shows is packed into one number, as every token row carries two of them: the
+    sentence, and a bit each for a noun that can be modified, an adnominal word and an auxiliary.
+    """
+    noun, adnominal, auxiliary = 4, 2, 1
+    shown = (
+        F.col("sentence") * 8
+        + F.when(F.col("is_modifiable"), noun).otherwise(0)
+        + F.when(F.col("is_adnominal"), adnominal).otherwise(0)
+        + F.when(F.col("pos") == rules.auxiliary, auxiliary).otherwise(0)
+    )
+
+    def ahead(n: int, bit: int) -> Column:
+        word = F.lead(shown, n, 0).over(_READING)
+        return (F.floor(word / 8) == F.col("sentence")) & (word.bitwiseAND(bit) != 0)
+
+    return ((F.col("pos") == rules.adjective) & (ahead(1, noun) | (ahead(1, auxiliary) & ahead(2, noun)))) | (
+        (F.col("pos") == rules.adjectival_noun) & ahead(1, adnominal) & ahead(2, noun)
     )
 
 
 def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     """One row per review: the words that play a role, in reading order, and their roles as letters.
 
-    Words without a role have served once positions and neighbours are known.
+    Words without a role have served once positions and neighbours are known. Positions are numbered
+    here again, in the window of the neighbours, so that an earlier numbering need not run.
     """
     roles = assign_roles(tokens, rules)
     kind = (
@@ -124,9 +134,9 @@ def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
         "",
     )
     return (
-        roles.select("row_id", "run_id", "review_id", *[
-            F.col(c) for c in ("index", "sentence", "is_predicate", "lemma", "entity", "issue_category", "polarities")
-        ], kind.alias("kind"), role.alias("role"))
+        roles.select(
+            "row_id", "run_id", "review_id", (F.row_number().over(_READING) - 1).alias("index"), "sentence",
+            "is_predicate", "lemma", "entity", "issue_category", "polarities", kind.alias("kind"), role.alias("role"))
         .where((F.col("role") != PLAIN) | F.col("polarities").isNotNull())
         .groupBy("row_id", "run_id", "review_id")
         .agg(words.alias("words"))
@@ -314,8 +324,8 @@ _PREDICATES = "array<struct<index:int,lemma:string,issue_category:string>>"
 def extract_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     """One row per polarity term: ``subjects`` and ``predicates`` as arrays of tagged words.
 
-    ``tokens`` needs the columns of :func:`reviewloom.operators.tokens.keep_content` and the tags
-    ``polarities``, ``entity`` and ``issue_category``. Empty arrays mean none was found.
+    ``tokens`` holds kept words with ``sentence`` and ``place`` and the tags ``polarities``, ``entity``
+    and ``issue_category``. Empty arrays mean none was found.
     """
     rows = classify(find_terms(find_nouns(gather(tokens, rules)))).withColumn("walked", _candidates(F.col("verbs")))
     t, rule, anchor = F.col("t"), F.col("rule"), F.col("anchor")
