@@ -140,15 +140,24 @@ def kpi_entity_issue_coverage(top1: DataFrame) -> DataFrame:
 
 
 def kpi_extraction_coverage_by_run(dedup: DataFrame, top1: DataFrame) -> DataFrame:
-    """How many valid reviews of a run and file have reasons, and categorised negative ones."""
+    """How many valid reviews of a run and file have reasons, and categorised negative ones.
+
+    Reasons combine per review first, so that reviews are counted without distinct counts, which
+    would multiply the rows.
+    """
     negative = F.col("sentiment_type") == "negative"
     valid = dedup.where("is_valid").groupBy(*RUN).agg(F.count("review_id").alias("valid_review_count"))
-    found = top1.groupBy(*RUN).agg(
-        F.countDistinct("review_id").alias("any"),
-        F.countDistinct(F.when(negative, F.col("review_id"))).alias("negative"),
+    per_review = top1.groupBy(*RUN, "review_id").agg(
+        F.bool_or(negative).alias("negative"),
         F.count_if(F.col("entity").isNotNull() & negative).alias("entity"),
         F.count_if(F.col("issue_category").isNotNull() & negative).alias("issue"),
     )
+    found = per_review.groupBy(*RUN).agg(
+        F.count("review_id").alias("any"),
+        F.count_if("negative").alias("negative"),
+        F.sum("entity").alias("entity"),
+        F.sum("issue").alias("issue"),
+    )
     whole = F.col("valid_review_count")
     named = {
         "any": ("reviews_with_any_reason", "extraction_coverage_any"),
