@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 
 @dataclass(frozen=True)
@@ -75,7 +76,8 @@ def assign_roles(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataF
     })
 
 
-_READING = Window.partitionBy("row_id").orderBy("sentence", "place")
+def _reading() -> WindowSpec:
+    return Window.partitionBy("row_id").orderBy("sentence", "place")
 
 
 def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
@@ -94,7 +96,7 @@ def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
     )
 
     def ahead(n: int, bit: int) -> Column:
-        word = F.lead(shown, n, 0).over(_READING)
+        word = F.lead(shown, n, 0).over(_reading())
         return (F.floor(word / 8) == F.col("sentence")) & (word.bitwiseAND(bit) != 0)
 
     return ((F.col("pos") == rules.adjective) & (ahead(1, noun) | (ahead(1, auxiliary) & ahead(2, noun)))) | (
@@ -135,7 +137,7 @@ def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     )
     return (
         roles.select(
-            "row_id", "run_id", "review_id", (F.row_number().over(_READING) - 1).alias("index"), "sentence",
+            "row_id", "run_id", "review_id", (F.row_number().over(_reading()) - 1).alias("index"), "sentence",
             "is_predicate", "lemma", "entity", "issue_category", "polarities", kind.alias("kind"), role.alias("role"))
         .where((F.col("role") != PLAIN) | F.col("polarities").isNotNull())
         .groupBy("row_id", "run_id", "review_id")

@@ -106,6 +106,25 @@ def tag_categories(tokens: DataFrame, entity_lexicon: DataFrame, issue_lexicon:
     return _by_lemma(_by_lemma(tokens, entity_lexicon, "entity"), issue_lexicon, "issue_category")
 
 
+def merge_lexicons(lexicons: dict[str, DataFrame], labels: tuple[str, ...]) -> DataFrame:
+    """The three dictionaries as one, with a row per term, so that tokens are looked up once."""
+    wanted = F.array(*[F.lit(x) for x in labels])
+    kept = F.array_intersect("polarities", wanted)
+    sentiment = lexicons["sentiment"].select("term", kept.alias("polarities")).where(F.size("polarities") > 0)
+    parts = [sentiment, lexicons["entity"].select("term", "entity"), lexicons["issue"].select("term", "issue_category")]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.groupBy("term").agg(*[
+        F.first(c, ignorenulls=True).alias(c) for c in ("polarities", "entity", "issue_category")
+    ])
+
+
+def tag_terms(tokens: DataFrame, merged_lexicon: DataFrame) -> DataFrame:
+    """Polarities, entity and issue category of each token's lemma from a merged dictionary."""
+    return lookup(tokens, merged_lexicon.withColumnRenamed("term", "lemma"), ["lemma"], F.col("row_id"))
+
+
 def _by_lemma(tokens: DataFrame, lexicon: DataFrame, value: str) -> DataFrame:
     dim = lexicon.select(F.col("term").alias("lemma"), value)
     return lookup(tokens, dim, ["lemma"], F.col("row_id"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reviewloom import schemas as S
 from reviewloom.functions.text import JAPANESE, SPACED, TextProfile
@@ -14,6 +13,7 @@ from reviewloom.operators.extract import JAPANESE_RULES, SPACED_RULES, TokenRule
 from reviewloom.operators.ingest import make_run_id, with_ingest_metadata
 from reviewloom.operators.reasons import build_reasons
 from reviewloom.operators.validate import LengthLimits, assert_reasons, validate_reviews
+from reviewloom.session import land
 from reviewloom.sources import sinks
 from reviewloom.sources.reviews_csv import scan_reviews_csv
 
@@ -52,10 +52,8 @@ def extract_reasons(
     random_ids: bool = False,
 ) -> DataFrame:
     """Tokens to reasons, for the given polarities."""
-    wanted = F.array(*[F.lit(x) for x in labels])
-    tagged = tokens.tag_polarity(token_rows, lexicons["sentiment"], wanted)
-    tagged = tokens.tag_categories(tagged, lexicons["entity"], lexicons["issue"])
-    return build_reasons(extract_pairs(tagged, rules), random_ids)
+    merged = land(tokens.merge_lexicons(lexicons, labels), "lexicon")
+    return build_reasons(extract_pairs(tokens.tag_terms(token_rows, merged), rules), random_ids)
 
 
 def run(

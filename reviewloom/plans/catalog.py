@@ -80,10 +80,9 @@ def token_rows(spark: SparkSession, sf: str, language: batch.Language = batch.SP
 
 
 def tagged_rows(spark: SparkSession, sf: str, language: batch.Language = batch.SPACED_LANGUAGE) -> DataFrame:
-    lex = lexicons(spark, sf)
-    wanted = F.array(*[F.lit(x) for x in S.SENTIMENT_LABELS])
-    tagged = tokens.tag_polarity(token_rows(spark, sf, language), lex["sentiment"], wanted)
-    return tokens.tag_categories(tagged, lex["entity"], lex["issue"])
+    merged = stage(
+        spark, sf, "lexicon_merged", lambda: tokens.merge_lexicons(lexicons(spark, sf), S.SENTIMENT_LABELS))
+    return tokens.tag_terms(token_rows(spark, sf, language), merged)
 
 
 def pair_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB statement on the smallest given tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -16,6 +18,12 @@ def test_queries_match_their_statements(spark):
     assert not [n for n, r in report.items() if r.startswith("rows only")]
 
 
+def test_modules_load_without_a_session():
+    code = "import __spark_entry__ as e; assert e.queries().keys() == e.oracle_sql().keys()"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_every_query_has_a_statement():
     from __spark_entry__ import oracle_sql, queries
 
