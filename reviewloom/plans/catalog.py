@@ -415,7 +415,7 @@ QUERIES: dict[str, Query] = {
     "distinct_reasons": distinct_reasons,
     "reason_records": reason_records,
     "reasons_enriched": reasons_enriched,
-    "reasons_top1_per_review": reasons_top1,
+    "best_reason_per_review": reasons_top1,
     "kpi_reason_categories_daily": over_top1(views.kpi_reason_categories_daily),
     "kpi_entity_counts": over_top1(views.kpi_entity_counts),
     "kpi_issue_category_counts": over_top1(views.kpi_issue_category_counts),

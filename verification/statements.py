@@ -258,7 +258,7 @@ FROM cases c JOIN sentiments x ON x.term = c.term LEFT JOIN subject_lists s USIN
     "reason_records": sql(f"SELECT {REASON_OUT} FROM reasons"),
     "reasons_enriched": sql(f"""SELECT run_id, source_file, source, {ts('posted_at_iso')} AS posted_at_iso, {day('posted_date')} AS posted_date,
   {ts('ingested_at')} AS ingested_at, review_text, {REASON_OUT.replace(", run_id", "")} FROM joined"""),
-    "reasons_top1_per_review": sql(f"""SELECT run_id, source_file, source, {day('posted_date')} AS posted_date, review_text,
+    "best_reason_per_review": sql(f"""SELECT run_id, source_file, source, {day('posted_date')} AS posted_date, review_text,
   sentiment_type, entity, issue_category, round(confidence, 6) AS confidence, {joined('subject')} AS subject_array, {joined('subject')} AS subject,
   predicate, review_id, reason_id FROM top1"""),
     "kpi_reason_categories_daily": kpi("entity, issue_category", "count(*) AS reason_count, count(DISTINCT review_id) AS review_count"),
