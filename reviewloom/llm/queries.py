@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import decontaminate, exact_dedup
+from reviewloom.llm import decontaminate, exact_dedup, line_dedup, mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,8 +34,28 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = line_dedup.with_bitmaps(docs, line_dedup.line_keep_bitmaps(docs))
+    text = F.coalesce("text", F.lit(""))
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    return marked.select(
+        "doc_id",
+        n_lines.cast("long").alias("n_lines"),
+        F.coalesce("__n_dropped", F.lit(0).cast("long")).alias("n_dropped"),
+        F.sha2(line_dedup.kept_text(text, "__keep_bitmap"), 256).alias("kept_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_decontaminate": op2_decontaminate,
+        "op4_mix": op4_mix,
+        "op10_line_dedup": op10_line_dedup,
     }

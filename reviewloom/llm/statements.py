@@ -31,20 +31,20 @@ STATEMENTS = {
                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
             from benchmark
         ), windows as (
-            select distinct item_id, list_slice(w, at, at + 9) as words
-            from (select item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) as at
+            select distinct item_id, list_slice(w, p0, p0 + 9) as words
+            from (select item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) as p0
                   from items where len(w) > 0)
         ), lengths as (select distinct len(words) as n from windows
         ), hits as (
-            select d.doc_id, d.at, d.n, x.item_id
-            from (select doc_id, n, at, list_slice(w, at, at + n - 1) as words
-                  from (select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as at
+            select d.doc_id, d.p0, d.n, x.item_id
+            from (select doc_id, n, p0, list_slice(w, p0, p0 + n - 1) as words
+                  from (select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as p0
                         from cut, lengths)) d
             join windows x on x.words = d.words
         ), covered as (
             select doc_id, count(distinct p) as n_hit
-            from (select doc_id, unnest(generate_series(at, at + n - 1)) as p
-                  from (select distinct doc_id, at, n from hits))
+            from (select doc_id, unnest(generate_series(p0, p0 + n - 1)) as p
+                  from (select distinct doc_id, p0, n from hits))
             group by doc_id
         ), named as (
             select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
@@ -55,4 +55,23 @@ STATEMENTS = {
                coalesce(n_hit, 0) > 0 as contaminated
         from cut left join covered using (doc_id) left join named using (doc_id)
     """,
+    "op10_line_dedup": r"""
+        with lines as (
+            select doc_id, line, i,
+                   translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+                  from documents)
+        ), repeated as (
+            select key, min(doc_id) as first_doc from lines where length(key) >= 10
+            group by key having count(distinct doc_id) > 1
+        ), marked as (
+            select lines.*, coalesce(doc_id <> first_doc, false) as gone
+            from lines left join repeated using (key)
+        )
+        select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+        from marked group by doc_id
+    """,
 }
