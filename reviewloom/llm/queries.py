@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import decontaminate, exact_dedup, line_dedup, mix
+from reviewloom.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.near_components(docs, size=3, num=90, den=100)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = line_dedup.with_bitmaps(docs, line_dedup.line_keep_bitmaps(docs))
@@ -57,5 +62,6 @@ def registered() -> dict[str, Query]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_decontaminate": op2_decontaminate,
         "op4_mix": op4_mix,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_line_dedup": op10_line_dedup,
     }
