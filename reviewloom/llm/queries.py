@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mix
+from reviewloom.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mix, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +34,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as model:
+        return token_counts.token_counts(table(spark, sf_dir, "documents"), model.read())
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard_join.near_components(docs, size=3, num=90, den=100)
@@ -61,7 +72,9 @@ def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_decontaminate": op2_decontaminate,
+        "op3_toxicity": op3_toxicity,
         "op4_mix": op4_mix,
+        "op5_token_counts": op5_token_counts,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_line_dedup": op10_line_dedup,
     }
