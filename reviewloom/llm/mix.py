@@ -85,7 +85,7 @@ def shard_counts(blocks: DataFrame, shard_slots: int, seed: int) -> DataFrame:
         F.floor(F.col("id") / shard_slots).alias("shard"),
         F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n or 1)).alias("pick"),
     )
-    drawn = slots.join(owners, "pick").groupBy("shard", "no").agg(F.count("*").alias("drawn"))
+    drawn = slots.join(_large(owners), "pick").groupBy("shard", "no").agg(F.count("*").alias("drawn"))
     drawn = running_total(drawn, ["no"], ["shard"], "drawn", "before")
     drawn = drawn.join(blocks.select("no", "quota"), "no")
     taken = F.greatest(F.least(F.col("drawn"), F.col("quota") - F.col("before")), F.lit(0))
@@ -98,11 +98,16 @@ def shard_counts(blocks: DataFrame, shard_slots: int, seed: int) -> DataFrame:
         .select("no", (F.col("quota") - F.coalesce("got", F.lit(0))).alias("short"))
     )
     short = _units(short.where("short > 0"), "no", "short")
-    moved = surplus.join(short, "unit").groupBy("shard", "no").agg(F.count("*").alias("count"))
+    moved = surplus.join(_large(short), "unit").groupBy("shard", "no").agg(F.count("*").alias("count"))
     both = drawn.select("shard", "no", "count").unionByName(moved)
     return both.groupBy("shard", "no").agg(F.sum("count").alias("count")).where("count > 0")
 
 
+def _large(unfolded: DataFrame) -> DataFrame:
+    """Join by sorting: unfolded rows are estimated at the size before, and would be broadcast."""
+    return unfolded.hint("merge")
+
+
 def _units(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Unfold each row to ``value`` numbered unit rows; numbers go on from row to row."""
     numbered = running_total(rows.withColumn("__all", F.lit(0)), ["__all"], [key], value, "first")
@@ -212,7 +217,7 @@ class Mix:
         )
         start = F.greatest(F.col("first_word"), F.col("block") * length)
         stop = F.least(end, (F.col("block") + 1) * length)
-        return held.join(self.slots, ["no", "block"]).select(
+        return held.join(_large(self.slots), ["no", "block"]).select(
             "shard",
             "no",
             "slot",
