@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mix, token_counts, toxicity
+from reviewloom.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    line_dedup,
+    mix,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +60,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_counts.token_counts(table(spark, sf_dir, "documents"), model.read())
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.scratch_folder(spark)
+    warc.write_warc(pages, folder, shard_bytes=32 << 20, roll_bytes=4 << 20)
+    return warc.read_warc(spark, folder, pages.schema["page_id"].dataType).drop("url")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard_join.near_components(docs, size=3, num=90, den=100)
@@ -75,6 +96,8 @@ def registered() -> dict[str, Query]:
         "op3_toxicity": op3_toxicity,
         "op4_mix": op4_mix,
         "op5_token_counts": op5_token_counts,
+        "op7_html_extract": op7_html_extract,
+        "op8_warc": op8_warc,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_line_dedup": op10_line_dedup,
     }

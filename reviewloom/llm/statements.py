@@ -74,4 +74,46 @@ STATEMENTS = {
                sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
         from marked group by doc_id
     """,
+    "op8_warc": r"""
+        with hashed as (
+            select page_id, strlen(html) as payload_bytes, sha1(html) as x,
+                   min(page_id) over (partition by html) as first_page
+            from (select page_id, coalesce(html, '') as html from pages)
+        )
+        select page_id, payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((cast('0x' || substr(x, (5 * i) // 4 + 1, 2) as integer) >> (3 - (5 * i) % 4)) & 31) + 1, 1)
+                   for i in range(32)], '') as payload_digest,
+               case when page_id = first_page then 'response' else 'revisit' end as record_type,
+               case when page_id <> first_page then first_page end as refers_to
+        from hashed
+    """,
+    "op9_jaccard_join": r"""
+        with recursive cut as (
+            select doc_id, list_filter(
+                regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+            from documents
+        ), shingles as (
+            select distinct doc_id, array_to_string(list_slice(w, p0, p0 + 2), ' ') as s
+            from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) as p0
+                  from cut where len(w) > 0)
+        ), sizes as (select doc_id, count(*) as n from shingles group by doc_id
+        ), shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as both_n
+            from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+        ), linked as (
+            select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * both_n >= 90 * (x.n + y.n - both_n)
+        ), both_ways as (select a, b from linked union all select b, a from linked
+        ), reach as (
+            select doc_id as a, doc_id as b from documents
+            union
+            select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a
+        )
+        select doc_id, coalesce(max(n), 0) as n_shingles, min(b) as component_id
+        from documents left join sizes using (doc_id) join reach on reach.a = doc_id
+        group by doc_id
+    """,
 }
