@@ -420,4 +420,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> Data
     """
     found = NearCopies(docs, id_col=id_col, **options).per_document()
     gone = found.where("id <> component_id").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, column(docs, id_col) == F.col("__gone"), "left_anti")
+    return docs.join(gone, column(docs, id_col) == gone["__gone"], "left_anti")

@@ -217,8 +217,8 @@ def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``docs`` without the rows that ``identify`` rejects; all columns stay."""
     found = identify(docs, id_col, text_col, **options).where("rejected")
     gone = found.select(column(found, id_col).alias("__id"), F.col("text_key").alias("__key")).distinct()
-    on = column(docs, id_col).eqNullSafe(F.col("__id")) & (
-        F.xxhash64(text_of(docs, text_col)) == F.col("__key")
+    on = column(docs, id_col).eqNullSafe(gone["__id"]) & (
+        F.xxhash64(text_of(docs, text_col)) == gone["__key"]
     )
     return docs.join(gone, on, "left_anti")
 

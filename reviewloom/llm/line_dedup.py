@@ -195,15 +195,16 @@ def with_bitmaps(
     Bitmaps are few and small beside texts: they are hashed, so that texts are not sorted.
     """
     marks = bitmaps.select(
-        column(bitmaps, id_col).alias("__id"),
-        F.col("text_key").alias("__text_key"),
-        F.col("keep_bitmap").alias("__keep_bitmap"),
-        F.col("n_dropped").alias("__n_dropped"),
+        column(bitmaps, id_col).alias("id"), "text_key", "keep_bitmap", "n_dropped"
     ).hint("shuffle_hash")
-    on = column(docs, id_col).eqNullSafe(F.col("__id")) & (
-        F.xxhash64(text_of(docs, text_col)) == F.col("__text_key")
+    on = column(docs, id_col).eqNullSafe(marks["id"]) & (
+        F.xxhash64(text_of(docs, text_col)) == marks["text_key"]
+    )
+    return docs.join(marks, on, "left").select(
+        *[column(docs, c) for c in docs.columns],
+        marks["keep_bitmap"].alias("__keep_bitmap"),
+        marks["n_dropped"].alias("__n_dropped"),
     )
-    return docs.join(marks, on, "left").drop("__id", "__text_key")
 
 
 def drop_repeated_lines(

@@ -12,6 +12,7 @@ from reviewloom.llm import (
     exact_dedup,
     html_extract,
     jaccard_join,
+    language_id,
     line_dedup,
     mix,
     token_counts,
@@ -60,6 +61,29 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_counts.token_counts(table(spark, sf_dir, "documents"), model.read())
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: declared language ``lang``, host ``source``; they have no address."""
+    found = language_id.identify(
+        table(spark, sf_dir, "documents"), declared=F.col("lang"), host=F.col("source")
+    )
+    return found.drop("text_key")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: language of the markup, host and suffix of the address, main text."""
+    pages = table(spark, sf_dir, "pages")
+    texts = html_extract.extract(pages).select("page_id", "url", "text")
+    declared = pages.select(
+        F.col("page_id").alias("id"), language_id.declared_in(F.col("html")).alias("declared")
+    )
+    rows = texts.join(declared, F.col("page_id") == F.col("id"), "left")
+    host = language_id.host_of(F.col("url"))
+    found = language_id.identify(
+        rows, "page_id", declared=F.col("declared"), host=host, suffix=language_id.suffix_of(host)
+    )
+    return found.drop("text_key")
+
+
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -96,6 +120,8 @@ def registered() -> dict[str, Query]:
         "op3_toxicity": op3_toxicity,
         "op4_mix": op4_mix,
         "op5_token_counts": op5_token_counts,
+        "op6_language_id": op6_language_id,
+        "language_id_pages": language_id_pages,
         "op7_html_extract": op7_html_extract,
         "op8_warc": op8_warc,
         "op9_jaccard_join": op9_jaccard_join,
