@@ -8,47 +8,71 @@ from pyspark.sql import functions as F
 from reviewloom.session import land
 
 
+def _roots(edges: DataFrame) -> DataFrame:
+    """``node``, ``root``: each node's smallest neighbour (or itself), followed to the end.
+
+    Pointers only go down, so they form trees; each jump halves their depth.
+    """
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    pointer = land(
+        both.groupBy(F.col("u").alias("node")).agg(F.least("node", F.min("v")).alias("root")),
+        "pointers",
+    )
+    while True:
+        nxt = pointer.select(F.col("node").alias("__node"), F.col("root").alias("to"))
+        jumped = land(pointer.join(nxt, F.col("root") == F.col("__node")).select("node", "root", "to"), "pointers")
+        if jumped.where("to <> root").isEmpty():
+            return pointer
+        pointer = jumped.select("node", F.col("to").alias("root"))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``id``, ``component``: for each id in a link the smallest id it reaches.
 
-    Every round points each node at its neighbour (or itself) of least hash, follows pointers to
-    the roots, and contracts the links to roots. Hashes make the trees shallow and the rounds few,
-    also on long chains of rising ids. Groups are only ever summed (least neighbour), so a hot node
-    combines in the map tasks; tables are landed each round.
+    A round points every node at the root of its tree of smallest neighbours and contracts the
+    links to roots; each root left has taken in another node, so rounds are few, on long chains too.
+    Groups are only reduced to their minimum, so a hot node combines in the map tasks. Tables are
+    landed each round.
     """
-    nodes = links.select(F.col(a).alias("id")).union(links.select(F.col(b).alias("id"))).distinct()
-    labels = land(nodes.select("id", F.col("id").alias("root")), "labels")
-    edges = land(
-        links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "edges"
-    )
-    while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = F.min(F.struct(F.xxhash64("v").alias("h"), F.col("v").alias("v")))
-        near = both.groupBy("u").agg(least.alias("near"))
-        own = F.struct(F.xxhash64("u").alias("h"), F.col("u").alias("v"))
-        pointer = land(near.select("u", F.least("near", own)["v"].alias("to")), "pointers")
-        while True:
-            nxt = pointer.select(F.col("u").alias("__u"), F.col("to").alias("__to"))
-            jumped = pointer.join(nxt, F.col("to") == F.col("__u"))
-            settled = jumped.where(F.col("to") != F.col("__to")).isEmpty()
-            if settled:
-                break
-            pointer = land(jumped.select("u", F.col("__to").alias("to")), "pointers")
-        to = pointer.select(F.col("u").alias("__u"), "to")
-        labels = land(
-            labels.join(to, F.col("root") == F.col("__u"), "left").select(
-                "id", F.coalesce("to", "root").alias("root")
-            ),
-            "labels",
-        )
-        ends = pointer.select(F.col("u").alias("__v"), F.col("to").alias("to_v"))
+    edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
+    labels = None
+    while True:
+        roots = _roots(edges)
+        if labels is None:
+            labels = roots.select(F.col("node").alias("id"), F.col("root").alias("component"))
+        else:
+            labels = labels.join(roots, F.col("component") == F.col("node"), "left").select(
+                "id", F.coalesce("root", "component").alias("component")
+            )
+        labels = land(labels, "labels")
+        u = roots.select(F.col("node").alias("u"), F.col("root").alias("root_u"))
+        v = roots.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
+        crossing = edges.join(u, "u").join(v, "v").where("root_u <> root_v")
         edges = land(
-            edges.join(to, F.col("u") == F.col("__u"))
-            .join(ends, F.col("v") == F.col("__v"))
-            .select(F.col("to").alias("u"), F.col("to_v").alias("v"))
-            .where("u <> v")
-            .distinct(),
-            "edges",
+            crossing.select(F.col("root_u").alias("u"), F.col("root_v").alias("v")).distinct(), "edges"
         )
-    least = labels.groupBy("root").agg(F.min("id").alias("component"))
-    return labels.join(least, "root").select("id", "component")
+        if edges.isEmpty():
+            return labels
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (``id``, ``component``) after further ``links`` (``a``, ``b``); landed."""
+    if labels is None:
+        return components(links)
+    ends = links
+    for end in ("a", "b"):
+        own = labels.select(F.col("id").alias("__id"), F.col("component").alias("__c"))
+        ends = ends.join(own, F.col(end) == F.col("__id"), "left").withColumn(
+            end, F.coalesce("__c", end)
+        )
+        ends = ends.drop("__id", "__c")
+    between = components(land(ends.where("a <> b").distinct(), "between")).select(
+        F.col("id").alias("old"), F.col("component").alias("new")
+    )
+    known = labels.join(between, F.col("component") == F.col("old"), "left").select(
+        "id", F.coalesce("new", "component").alias("component")
+    )
+    fresh = between.join(labels, F.col("old") == F.col("id"), "left_anti").select(
+        F.col("old").alias("id"), F.col("new").alias("component")
+    )
+    return land(known.unionByName(fresh), "labels")

@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 from pyspark.sql.window import Window
 
 from reviewloom.llm.common import column, text_of
-from reviewloom.llm.components import components
+from reviewloom.llm.components import merged
 from reviewloom.session import land
 
 BATCH_ROWS = 200_000
@@ -26,6 +26,9 @@ COUNTED = 256
 #: Cost of a candidate against that of a signature row.
 CANDIDATE = 4.0
 BAND_RATIO = 1.4
+#: Bits of the parity sketch of a set, and how many pivots a signature gets more from round to round.
+SKETCH = 1024
+MORE_PIVOTS = 8
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -130,22 +133,25 @@ def allocate(n: float, apart: int, docs: float, share: float) -> tuple[int, int]
 def _set_rows(id_type: pa.DataType, size: int):
     schema = pa.schema(
         [("id", id_type), ("text_key", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-         ("n", pa.int32()), ("counted", pa.list_(pa.int64()))]
+         ("n", pa.int32()), ("counted", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
         for batch in batches:
-            halves, sizes, counted = [], [], []
+            halves, sizes, counted, sketches = [], [], [], []
             for text in batch.column(2):
                 h = shingles(text.as_py())
                 halves.append(np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), dtype="<i8"))
                 sizes.append(len(h))
                 counted.append(h[h % np.uint64(COUNTED) == 0].view(np.int64))
+                odd = np.bincount((h % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+                sketches.append(np.packbits(odd.astype(bool)).view("<i8"))
             both = np.array(halves, dtype=np.int64).reshape(len(sizes), 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(both[:, 0]), pa.array(both[:, 1]),
-                 pa.array(sizes, pa.int32()), pa.array(counted, pa.list_(pa.int64()))],
+                 pa.array(sizes, pa.int32()), pa.array(counted, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.list_(pa.int64()))],
                 schema=schema,
             )
 
@@ -268,12 +274,13 @@ class NearCopies:
     1. Equal sets (128-bit digest) are found by grouping; one of them goes on.
     2. The others are hashed into segments by size band. Linked sets that are at most h elements
        apart agree on one of the signatures that ``allocate`` chose for their band.
-    3. Rows of a signature that at least two documents hold are compared with pivots, the least ids
-       of each signature: links found make components, and a signature whose rows are of one
-       component is finished. Otherwise its pivots are done with and more are drawn (4, 16, ...
-       times as many). So a group of near copies costs a comparison or so each, never all pairs,
-       and every pair of strangers that shares a signature is compared.
-    4. Comparison is exact, on the words of both texts.
+    3. Rows of a signature that at least two documents hold are compared with a pivot each, the
+       least id: links found make components, and a signature whose rows are of one component is
+       finished. Otherwise its pivot is done with and more are drawn, 8, 64, ... at a time, members
+       of the smallest components first. So a group of near copies costs some comparisons each,
+       never all pairs, and strangers that share a signature are all compared.
+    4. Pairs are first compared by parity sketches, which no linked pair fails, and then exactly, on
+       the words of both texts.
     """
 
     def __init__(
@@ -319,52 +326,69 @@ class NearCopies:
         shared = shared.where("low <> high").select("sig")
         return rows.join(shared, "sig", "left_semi")
 
-    def links(self) -> DataFrame:
-        """``a``, ``b``: enough links to connect all documents that any links connect."""
+    def labels(self) -> DataFrame:
+        """``id``, ``component`` of the ids that any links connect to another."""
         copies = land(self.equal_sets(), "copies")
-        live = land(self.live_signatures(copies), "signatures")
-        ids = live.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
-        texts = land(
-            self.rows.join(ids, F.col("id") == F.col("live_id"), "left_semi").select("id", "text"),
-            "texts",
-        )
-        found = copies.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-        verified, compared, pivots = [found], None, 1
-        members, labels = live, None
+        members = land(self.live_signatures(copies), "signatures")
+        members = members.withColumn("component", F.col("id"))
+        ids = members.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
+        live = F.col("id") == F.col("live_id")
+        texts = land(self.rows.join(ids, live, "left_semi").select("id", "text"), "texts")
+        sketches = land(self.sets.join(ids, live, "left_semi").select("id", "n", "sketch"), "sketches")
+        labels, compared, pivots = None, None, 1
         while not members.isEmpty():
-            least = Window.partitionBy("sig").orderBy("id", "n", "full")
-            chosen = members.withColumn("rank", F.row_number().over(least)).where(
-                F.col("rank") <= pivots
-            )
-            chosen = land(chosen, "pivots")
-            p = chosen.select(
-                "sig",
-                *[F.col(c).alias(f"p_{c}") for c in members.columns if c != "sig"],
-            )
-            compatible = (
-                (F.col("p_id") < F.col("id"))
-                & (F.col("p_full") | F.col("full"))
-                & (
-                    F.least("p_n", "n") * self.threshold.den
-                    >= F.greatest("p_n", "n") * self.threshold.num
-                )
-            )
-            if labels is not None:
-                compatible = compatible & (F.col("p_component") != F.col("component"))
-            pairs = members.join(p, "sig").where(compatible)
-            pairs = pairs.select(F.col("p_id").alias("a"), F.col("id").alias("b")).distinct()
+            ranked = land(self._ranked(members), "ranked")
+            pairs = self._candidates(ranked, pivots, sketches)
             if compared is not None:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
             pairs = land(pairs, "pairs")
             compared = pairs if compared is None else compared.unionByName(pairs)
-            verified.append(land(self._verify(pairs, texts), "links"))
-            labels = self._components(verified[1:])
-            members = land(self._unfinished(members, chosen, labels), "members")
-            pivots *= 4
-        out = verified[0]
-        for more in verified[1:]:
-            out = out.unionByName(more)
-        return out
+            linked = land(self._verify(pairs, texts), "links")
+            if not linked.isEmpty():
+                labels = merged(labels, linked)
+            members = land(self._unfinished(ranked.where(F.col("rank") > pivots), labels), "members")
+            pivots *= MORE_PIVOTS
+        equal = copies.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
+        return merged(labels, equal)
+
+    @staticmethod
+    def _ranked(members: DataFrame) -> DataFrame:
+        """Members of a signature by the size of their component there, smallest first."""
+        share = F.count("*").over(Window.partitionBy("sig", "component"))
+        first = Window.partitionBy("sig").orderBy("share", "id", "n", "full")
+        return members.withColumn("share", share).withColumn("rank", F.row_number().over(first))
+
+    def _candidates(self, ranked: DataFrame, pivots: int, sketches: DataFrame) -> DataFrame:
+        """Distinct (a, b), a < b, of a pivot and another member that may link.
+
+        Sizes must allow it, the components must differ, one of the signatures must be a whole
+        segment, and the parity sketches (bits set where an odd number of elements falls) must not
+        differ in more bits than the sets may in elements; that holds for every linked pair.
+        """
+        den, num = self.threshold.den, self.threshold.num
+        p = ranked.where(F.col("rank") <= pivots).select(
+            "sig", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "full", "component", "rank")]
+        )
+        fits = (
+            (F.col("p_component") != F.col("component"))
+            & (F.col("p_id") != F.col("id"))
+            & ((F.col("rank") > pivots) | (F.col("p_rank") < F.col("rank")))
+            & (F.col("p_full") | F.col("full"))
+            & (F.least("p_n", "n") * den >= F.greatest("p_n", "n") * num)
+        )
+        met = ranked.join(p, "sig").where(fits)
+        pairs = met.select(F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")).distinct()
+        for end in ("a", "b"):
+            own = sketches.select(
+                F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")
+            )
+            pairs = pairs.join(own, end)
+        differ = sum(
+            F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i))))
+            for i in range(SKETCH // 64)
+        )
+        may = F.floor((den - num) * (F.col("n_a") + F.col("n_b")) / (den + num))
+        return pairs.where(differ <= may).select("a", "b").distinct()
 
     def _verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -374,30 +398,22 @@ class NearCopies:
         return both.mapInArrow(run, from_arrow_schema(schema)).distinct()
 
     @staticmethod
-    def _components(links: list[DataFrame]) -> DataFrame:
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.unionByName(more)
-        return land(components(edges), "components")
-
-    @staticmethod
-    def _unfinished(members: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame:
+    def _unfinished(rest: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Rows not yet used as pivots, of signatures that still hold several components."""
         key = ["sig", "id", "n", "full"]
-        rest = members.select(*key).join(done.select(*key), key, "left_anti")
-        named = rest.join(labels, "id", "left").select(
-            *key, F.coalesce("component", "id").alias("component")
-        )
-        open_ = named.groupBy("sig").agg(
+        named = rest.select(*key, F.col("id").alias("component"))
+        if labels is not None:
+            named = rest.select(*key).join(labels, "id", "left").select(
+                *key, F.coalesce("component", "id").alias("component")
+            )
+        several = named.groupBy("sig").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         )
-        return named.join(open_.where("low <> high").select("sig"), "sig", "left_semi")
+        return named.join(several.where("low <> high").select("sig"), "sig", "left_semi")
 
     def per_document(self) -> DataFrame:
         """``id``, ``text_key``, ``n_shingles``, ``component_id`` (smallest id reached), per row."""
-        labels = land(components(self.links()), "components").select(
-            F.col("id").alias("l_id"), "component"
-        )
+        labels = self.labels().select(F.col("id").alias("l_id"), "component")
         rows = self.sets.join(labels, F.col("id") == F.col("l_id"), "left")
         return rows.select(
             "id",
