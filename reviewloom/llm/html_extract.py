@@ -120,7 +120,9 @@ def pieces(page: str) -> list[Piece]:
 
 
 #: Scores without any labelled page.
-DEFAULT = {"word": 1.0, "word:link": 0.2, "word:aside": -1.0, "tag": -1.0}
+DEFAULT = {"word": 1.0, "word:link": 0.2, "word:aside": -1.0, "tag": -1.0} | {
+    f"tag:{name}": -0.2 for name in "b blockquote br em h1 h2 h3 h4 h5 h6 i p span strong".split()
+}
 
 
 def scored(found: list[Piece], weights: dict[str, float]) -> tuple[int, int]:
