@@ -257,7 +257,7 @@ def _band_plan(sets: DataFrame, threshold: Threshold) -> dict[int, tuple[int, in
     ).first()
     share = pairs.pairs / (pairs.c * all_docs) if pairs.c else 0.0
     plan = {}
-    for row in totals.toLocalIterator():
+    for row in totals.collect():
         apart = threshold.apart(band(row.band)[1])
         if apart:
             plan[row.band] = allocate(row.n, apart, row.docs, min(share, 0.9))

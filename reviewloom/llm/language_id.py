@@ -86,7 +86,7 @@ def fit_text(
 
     counted = sample.mapInPandas(count, "declared string, bucket int, n long")
     table = np.full((len(names) + 1, BUCKETS), 0.05)
-    for r in counted.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in counted.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).collect():
         table[names.index(r.declared), r.bucket] += r.n
     table[-1] = 1.0
     table = np.log(table / table.sum(axis=1, keepdims=True))

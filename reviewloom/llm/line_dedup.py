@@ -153,7 +153,7 @@ def line_keep_bitmaps(
     )
     edges = found.where("kind >= 2").select("part", "kind", "h1", "h2").orderBy("part", "kind")
     continued, last = [], None
-    for edge in edges.toLocalIterator():  # two rows per range, whatever the input
+    for edge in edges.collect():  # two rows per range, whatever the input
         if edge.kind == 2 and last == (edge.h1, edge.h2):
             continued.append(edge.part)
         last = (edge.h1, edge.h2)

@@ -23,6 +23,7 @@ REPORTING = frozenset(
 )
 WINDOW = 6
 REMEMBERED = 300_000
+FUZZY_SHARE = 0.8
 FEATURES = 6
 
 
@@ -37,23 +38,25 @@ class Lexicon:
     """Terms with weights; a term is a whole word, or a stem (ends in ``*``) that begins words.
 
     ``lookup`` returns (weight, edits): the heaviest exact term, or else the heaviest whole-word
-    term of at least ``fuzzy_from`` letters within one edit. The automaton of a word is simulated
-    as rows of edit distances, one per trie node on the way; a branch is left when its whole row
-    exceeds one edit.
+    term within one edit, of those with at least ``fuzzy_from`` letters and ``FUZZY_SHARE`` of the
+    largest weight (near misses of weak terms are noise). The automaton of a word is simulated as
+    rows of edit distances, one per trie node on the way; a branch is left when its whole row
+    exceeds one edit. Words that have no term's first half at their beginning and no term's second
+    half at their end are no candidates, since one edit leaves one of the halves as it is.
     """
 
     def __init__(self, terms: dict[str, float], fuzzy_from: int = 5) -> None:
         self.root, self.fuzzy_from = Node(), fuzzy_from
         self.fuzzy = Node()
-        self.heads: set[str] = set()
-        self.tails: set[str] = set()
+        least = FUZZY_SHARE * max(terms.values(), default=0.0)
+        heads, tails = set(), set()
         for term, weight in terms.items():
             self._add(self.root, term.rstrip("*"), weight, term.endswith("*"))
-            if not term.endswith("*") and len(term) >= fuzzy_from:
+            if not term.endswith("*") and len(term) >= fuzzy_from and weight >= least:
                 self._add(self.fuzzy, term, weight, False)
-                # one edit leaves the first or the last two letters as they are
-                self.heads.add(term[:2])
-                self.tails.add(term[-2:])
+                heads.add(term[: len(term) // 2])
+                tails.add(term[len(term) // 2 :])
+        self.heads, self.tails = tuple(heads), tuple(tails)
         self.known: dict[str, tuple[float, int]] = {}
 
     @staticmethod
@@ -80,7 +83,7 @@ class Lexicon:
                 weight = node.weight
         if weight:
             return weight, 0
-        if len(word) >= self.fuzzy_from - 1 and (word[:2] in self.heads or word[-2:] in self.tails):
+        if word.startswith(self.heads) or word.endswith(self.tails):
             return self._within_one(self.fuzzy, word, list(range(len(word) + 1))), 1
         return 0.0, 0
 
@@ -212,7 +215,7 @@ def fit(
         or r.pos > 1.2 * max((k for w, k in alone.items() if w.startswith(r.term[:-1])), default=0)
     }
     x, y = [], []
-    for row in _featured(rows, terms, ["toxic"]).toLocalIterator():
+    for row in _featured(rows, terms, ["toxic"]).collect():
         x.append(row.features)
         y.append(row.toxic)
     if not p or p == n:

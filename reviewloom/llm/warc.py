@@ -177,7 +177,7 @@ def _shard_bounds(rows: DataFrame, shard_bytes: int) -> list:
     placed = running_total(sizes.withColumn("one", F.lit(0)), ["one"], ["page_id"], "n", "before")
     shard = F.floor(F.col("before") / shard_bytes).alias("shard")
     firsts = placed.groupBy(shard).agg(F.min("page_id").alias("page_id"))
-    return [r.page_id for r in firsts.where("shard > 0").orderBy("shard").toLocalIterator()]
+    return [r.page_id for r in firsts.where("shard > 0").orderBy("shard").collect()]
 
 
 def write_warc(
