@@ -32,6 +32,6 @@ def review_id(source: Column, source_id: Column, namespace: str = DEFAULT_NAMESP
     return F.when(has_id(source, source_id), uuid5(F.concat(source, F.lit("|"), source_id), namespace))
 
 
-def row_id(run_id: Column, source_file: Column, row_number: Column) -> Column:
+def row_id(run_id: Column, source_path: Column, row_number: Column) -> Column:
     """Reproducible row id, for runs that must be repeatable."""
-    return F.md5(F.concat_ws("|", run_id, source_file, row_number.cast("string")))
+    return F.md5(F.concat_ws("|", run_id, source_path, row_number.cast("string")))

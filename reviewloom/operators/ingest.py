@@ -20,7 +20,7 @@ def make_run_id(prefix: str = "reviews") -> str:
 
 
 def number_rows(scan: DataFrame) -> DataFrame:
-    """Add ``source_file`` and a 1-based ``row_number`` per file to a file scan.
+    """Add ``source_file``, ``source_path`` and a 1-based ``row_number`` per path to a file scan.
 
     Rows are counted per scanned file block, the block counts are summed up to block offsets, and
     each row adds its place within the block: no file is ever sorted or gathered in one task. The
@@ -28,24 +28,24 @@ def number_rows(scan: DataFrame) -> DataFrame:
     """
     rows = scan.select(
         "*",
-        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_order"),
     )
-    blocks = rows.groupBy("_path", "_block").agg(
+    blocks = rows.groupBy("source_path", "_block").agg(
         F.count("*").alias("_rows"), F.min("_order").alias("_first")
     )
-    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = land(blocks.select(
-        "_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+        "source_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     ), "block_offsets")
     if fits_broadcast(offsets):
         offsets = F.broadcast(offsets)
     return (
-        rows.join(offsets, ["_path", "_block"])
+        rows.join(offsets, ["source_path", "_block"])
         .withColumn("row_number", F.col("_offset") + F.col("_order") - F.col("_first") + 1)
-        .drop("_path", "_block", "_order", "_first", "_offset")
+        .drop("_block", "_order", "_first", "_offset")
     )
 
 
@@ -55,7 +55,7 @@ def with_ingest_metadata(
 ) -> DataFrame:
     """Stamp a review scan with its metadata.
 
-    ``repeatable`` derives ``row_id`` from run, file and row number; otherwise it is a random UUID.
+    ``repeatable`` derives ``row_id`` from run, path and row number; otherwise it is a random UUID.
     """
     instant = (ingested_at or datetime.now(timezone.utc)).replace(microsecond=0)
     stamped = number_rows(scan).withColumns({
@@ -63,7 +63,7 @@ def with_ingest_metadata(
         "run_id": F.lit(run_id or make_run_id()),
     })
     new_id = (
-        ids.row_id(F.col("run_id"), F.col("source_file"), F.col("row_number"))
+        ids.row_id(F.col("run_id"), F.col("source_path"), F.col("row_number"))
         if repeatable
         else F.uuid()
     )

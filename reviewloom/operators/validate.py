@@ -11,14 +11,15 @@ from reviewloom import schemas as S
 from reviewloom.functions import ids
 from reviewloom.functions.text import strip
 from reviewloom.functions.timestamps import posted_at_iso
-from reviewloom.operators.lookups import BROADCAST_ROWS, fits_broadcast, hot_key_left_join, lookup
+from reviewloom.operators.lookups import BROADCAST_BYTES, fits_broadcast, hot_key_left_join, lookup
 from reviewloom.session import land
 
 # Accepted length of a stripped review text, in code points.
 MIN_LENGTH = 5
 MAX_LENGTH = 500
 
-_IDENTITY = ["run_id", "source_file", "source", "source_id"]
+_IDENTITY = ["run_id", "source", "source_id"]
+_PLACE = ["source_path", "row_number"]
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,10 @@ def standardise(raw: DataFrame, namespace: str = ids.DEFAULT_NAMESPACE) -> DataF
     })
 
 
-def with_first_occurrence(rows: DataFrame, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``first_row``: the lowest row number sharing run, file, source and source id.
+def with_first_occurrence(rows: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
+    """Add ``first_row``: the first (path, row number) sharing run, source and source id.
 
-    NULL where the identity is incomplete or occurs once. The lowest numbers of repeated identities
+    NULL where the identity is incomplete or occurs once. The first places of repeated identities
     combine map-side and are landed, so that ``rows`` is read for them once and their number is
     known: few are broadcast, many come back through a join that hot identities cannot unbalance.
     """
@@ -46,14 +47,14 @@ def with_first_occurrence(rows: DataFrame, max_broadcast: int = BROADCAST_ROWS)
     repeated = land(
         rows.where(complete)
         .groupBy(*_IDENTITY)
-        .agg(F.min("row_number").alias("first_row"), F.count("*").alias("copies"))
+        .agg(F.min(F.struct(*_PLACE)).alias("first_row"), F.count("*").alias("copies"))
         .where("copies > 1"),
         "repeated_identities",
     )
     firsts = repeated.drop("copies")
     if fits_broadcast(firsts, max_broadcast):
         return rows.join(F.broadcast(firsts), _IDENTITY, "left")
-    return hot_key_left_join(rows, firsts, _IDENTITY, repeated, F.col("row_number"), complete)
+    return hot_key_left_join(rows, firsts, _IDENTITY, repeated, F.struct(*_PLACE), complete)
 
 
 def text_reason(text: Column, limits: LengthLimits = LengthLimits()) -> Column:
@@ -72,14 +73,14 @@ def posted_reason(posted_at: Column, iso: Column) -> Column:
     return F.when(blank, S.POSTED_MISSING).when(iso.isNull(), S.POSTED_PARSE_FAILED)
 
 
-def identity_reason(source: Column, source_id: Column, row_number: Column, first_row: Column) -> Column:
-    return F.when(~ids.has_id(source, source_id), S.MISSING_ID).when(row_number > first_row, S.DUPLICATE)
+def identity_reason(source: Column, source_id: Column, place: Column, first_row: Column) -> Column:
+    return F.when(~ids.has_id(source, source_id), S.MISSING_ID).when(place > first_row, S.DUPLICATE)
 
 
 def flag(rows: DataFrame, limits: LengthLimits = LengthLimits()) -> DataFrame:
     """Add sorted ``invalid_reason`` and ``is_valid`` to rows with ids, instants and first occurrences."""
     reasons = F.array(
-        identity_reason(F.col("source"), F.col("source_id"), F.col("row_number"), F.col("first_row")),
+        identity_reason(F.col("source"), F.col("source_id"), F.struct(*_PLACE), F.col("first_row")),
         text_reason(F.col("review_text"), limits),
         posted_reason(F.col("posted_at"), F.col("posted_at_iso")),
     )
@@ -111,20 +112,20 @@ def reason_violations(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexic
     checked = lookup(reasons, entities, ["entity"], F.col("reason_id"))
     checked = lookup(checked, issues, ["issue_category"], F.col("reason_id"))
     rules = F.array(
-        F.when(~F.coalesce(F.col("confidence").between(0, 1), F.lit(False)), "Invalid confidence"),
+        F.when(~F.coalesce(F.col("confidence").between(0, 1), F.lit(False)), "confidence outside 0..1"),
         F.when(
             F.col("reason_id").isNull() | F.col("review_id").isNull() | F.col("run_id").isNull(),
-            "Missing reason_id, review_id, or run_id",
+            "an id is missing",
         ),
-        F.when(F.col("subject").isNull(), "Missing subject or predicate"),
+        F.when(F.col("subject").isNull(), "subject is null"),
         F.when(
             ~F.coalesce(F.col("sentiment_type").isin(*S.SENTIMENT_LABELS), F.lit(False)),
-            "Missing or invalid sentiment_type",
+            "unknown sentiment",
         ),
-        F.when(F.col("entity").isNotNull() & F.col("_entity_known").isNull(), "Invalid entity category"),
+        F.when(F.col("entity").isNotNull() & F.col("_entity_known").isNull(), "unknown entity"),
         F.when(
             F.col("issue_category").isNotNull() & F.col("_issue_known").isNull(),
-            "Invalid issue category",
+            "unknown issue",
         ),
     )
     return (

@@ -46,7 +46,9 @@ def validated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid(spark: SparkSession, sf: str) -> DataFrame:
-    return validated(spark, sf).where("is_valid")
+    """What the text queries read: reviews of any length, as the length rule only flags them here."""
+    others = F.array_remove("invalid_reason", S.TEXT_TOO_LONG)
+    return validated(spark, sf).where(F.size(others) == 0)
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,7 +109,7 @@ def top1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.raw_reviews(spark, sf).select("run_id", "source_file", "row_number", "ingested_at", "row_id")
+    return tables.raw_reviews(spark, sf).select("run_id", "source_file", "source_path", "row_number", "ingested_at", "row_id")
 
 
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +121,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
         .options(**sinks.CSV_OPTIONS).csv(path)
     )
     scanned = ingest.with_ingest_metadata(reviews_csv.scan_reviews_csv(spark, path), "run_csv", repeatable=True)
-    per_file = scanned.groupBy("source_file").agg(
+    per_file = scanned.groupBy("source_path").agg(
         F.count("*").alias("n"),
         F.max("row_number").alias("last"),
         F.sum("row_number").alias("total"),
@@ -139,7 +141,7 @@ def raw_table(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, sf, "review_raw")
     sinks.write_raw(tables.raw_reviews(spark, sf), path, "truncate")
     return spark.read.parquet(path).select(
-        "run_id", "row_id", "row_number", "source", "source_id", F.md5("review_text").alias("text_md5"), "posted_at", "user_name"
+        "run_id", "row_id", "source_path", "row_number", "source", "source_id", F.md5("review_text").alias("text_md5"), "posted_at", "user_name"
     )
 
 
@@ -358,7 +360,7 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
         tables.pick(tables.ISSUES, F.substring(F.md5(F.col("doc_id").cast("string")), 3, 1)).alias("gold_issue"),
     )
     rows = latest(spark, sf).where("is_valid").select(
-        "run_id", "review_id", F.floor(F.col("row_number") / tables.ROWS_PER_DOCUMENT).alias("doc_id"))
+        "run_id", "review_id", F.substring_index("source_path", "/", -1).cast("long").alias("doc_id"))
     return rows.join(labels, "doc_id").drop("doc_id")
 
 

@@ -101,7 +101,8 @@ def _counts(rows: DataFrame, keys: list[str], count: str) -> DataFrame:
 def kpi_reason_categories_daily(top1: DataFrame) -> DataFrame:
     return top1.groupBy(*DAY, "entity", "issue_category").agg(
         F.count("*").alias("reason_count"),
-        F.countDistinct("review_id").alias("review_count"),
+        # a review has one best reason per run and polarity, and both are part of the key
+        F.count("*").alias("review_count"),
         F.avg("confidence").alias("avg_confidence"),
     )
 
@@ -215,7 +216,11 @@ def daily_trend(top1: DataFrame) -> DataFrame:
 
 
 def run_drilldown(validated: DataFrame, reasons: DataFrame, run_id: str) -> DataFrame:
-    """Validated rows of one run with their reasons, for auditing."""
+    """Validated rows of one run with their reasons, for auditing.
+
+    Only valid rows carry reasons. Invalid ones, among them all copies of a review and all rows
+    without an id, bypass the join, so that no key of it holds more than one row.
+    """
     rows = validated.where(F.col("run_id") == run_id).select(
         "run_id", "source_file", "row_number", "row_id", "review_id", "source", "posted_at_iso",
         "is_valid", F.array_join("invalid_reason", "; ").alias("invalid_reason"),
@@ -224,7 +229,8 @@ def run_drilldown(validated: DataFrame, reasons: DataFrame, run_id: str) -> Data
         "review_id", "sentiment_type", F.array_join("subject", ",").alias("subject"), "predicate",
         "entity", "issue_category", "confidence", "reason_id",
     )
-    return rows.join(found, "review_id", "left")
+    audited = rows.where("is_valid").join(found, "review_id", "left")
+    return audited.unionByName(rows.where("NOT is_valid"), allowMissingColumns=True)
 
 
 def register_views(spark: SparkSession, validated: DataFrame, reasons: DataFrame) -> None:

@@ -10,13 +10,13 @@ REVIEW_CSV = T.StructType(
 
 RAW_COLUMNS = [
     "source", "source_id", "review_text", "posted_at", "user_name",
-    "source_file", "row_number", "row_id", "ingested_at", "run_id",
+    "source_file", "source_path", "row_number", "row_id", "ingested_at", "run_id",
 ]
-RAW_REQUIRED = ["source_file", "row_number", "row_id", "ingested_at", "run_id"]
+RAW_REQUIRED = ["source_file", "source_path", "row_number", "row_id", "ingested_at", "run_id"]
 
 VALIDATED_COLUMNS = [
     "source", "source_id", "review_text", "posted_at", "posted_at_iso", "user_name",
-    "source_file", "row_number", "row_id", "review_id", "ingested_at", "is_valid",
+    "source_file", "source_path", "row_number", "row_id", "review_id", "ingested_at", "is_valid",
     "invalid_reason", "run_id",
 ]
 VALIDATED_REQUIRED = RAW_REQUIRED + ["source", "is_valid", "invalid_reason"]

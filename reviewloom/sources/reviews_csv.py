@@ -42,7 +42,7 @@ def scan_reviews_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def scan_lexicon_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A dictionary CSV as rows in file order (column ``row_number``)."""
     schema = ", ".join(f"{c} string" for c in LEXICONS[kind])
-    return number_rows(spark.read.csv(path, schema=schema, header=True, escape='"')).drop("source_file")
+    return number_rows(spark.read.csv(path, schema=schema, header=True, escape='"')).drop("source_file", "source_path")
 
 
 def read_lexicons(spark: SparkSession, sentiment: str, entity: str, issue: str) -> dict[str, DataFrame]:

@@ -93,11 +93,11 @@ def test_coverage_of_nothing_is_null(spark):
 
 def raw_row(**changes):
     row = dict(source="a.com", source_id="1", review_text=' a "b"\n c ', posted_at="", user_name=None, source_file="f",
-               row_number=1, row_id="r", ingested_at=datetime(2026, 3, 1), run_id="run") | changes
+               source_path="d/f", row_number=1, row_id="r", ingested_at=datetime(2026, 3, 1), run_id="run") | changes
     return tuple(row[c] for c in S.RAW_COLUMNS)
 
 
-RAW = "source string, source_id string, review_text string, posted_at string, user_name string, source_file string, row_number long, row_id string, ingested_at timestamp, run_id string"
+RAW = "source string, source_id string, review_text string, posted_at string, user_name string, source_file string, source_path string, row_number long, row_id string, ingested_at timestamp, run_id string"
 
 
 def test_write_modes_and_csv(spark, tmp_path):
@@ -140,3 +140,4 @@ def test_run_drilldown(spark, landed):
     rows = views.run_drilldown(landed["review_validated"], landed["review_reasons"], "run_2").collect()
     assert {r.run_id for r in rows} == {"run_2"}
     assert len({r.row_id for r in rows}) == 5
+    assert all(r.reason_id is None for r in rows if not r.is_valid) and any(r.reason_id for r in rows)

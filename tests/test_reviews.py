@@ -106,18 +106,18 @@ def test_split(stamped):
 @pytest.mark.parametrize("max_broadcast", [100_000, 0])
 def test_first_occurrence_under_a_hot_identity(spark, max_broadcast):
     rng = random.Random(1)
-    rows = [("run", f"f{rng.randint(0, 1)}", "s", "hot" if rng.random() < 0.4 else str(rng.randint(0, 300)), n) for n in range(2000)]
-    rows += [("run", "f0", "", "x", n) for n in range(2000, 2500)] + [("run", "f0", None, None, n) for n in range(2500, 2600)]
+    rows = [("run", "s", "hot" if rng.random() < 0.4 else str(rng.randint(0, 300)), f"f{rng.randint(0, 1)}", n) for n in range(2000)]
+    rows += [("run", "", "x", "f0", n) for n in range(2000, 2500)] + [("run", None, None, "f0", n) for n in range(2500, 2600)]
     rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "run_id string, source_file string, source string, source_id string, row_number long")
+    df = spark.createDataFrame(rows, "run_id string, source string, source_id string, source_path string, row_number long")
     first, copies = {}, {}
     for r in rows:
-        key = r[:4]
-        first[key], copies[key] = min(first.get(key, r[4]), r[4]), copies.get(key, 0) + 1
+        key = r[:3]
+        first[key], copies[key] = min(first.get(key, r[3:]), r[3:]), copies.get(key, 0) + 1
     got = with_first_occurrence(df, max_broadcast).collect()
     assert len(got) == len(rows)
     for r in got:
-        key = tuple(r)[:4] if max_broadcast == 0 else (r.run_id, r.source_file, r.source, r.source_id)
+        key = (r.run_id, r.source, r.source_id)
         assert r.first_row == (first[key] if r.source and r.source_id and copies[key] > 1 else None)
 
 
@@ -131,10 +131,41 @@ def test_hot_key_join_equals_plain_join(spark, monkeypatch):
     got = hot_key_left_join(facts, dim, ["k"], weight, F.col("i")).select("i", "k", "v", "w")
     want = facts.join(dim, "k", "left").select("i", "k", "v", "w")
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
-    oversized = lookup(facts, dim, ["k"], F.col("i"), max_rows=1).select("i", "k", "v", "w")
+    oversized = lookup(facts, dim, ["k"], F.col("i"), max_bytes=1).select("i", "k", "v", "w")
     assert sorted(oversized.collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_unknown_hot_words_are_spread(spark, monkeypatch):
+    """Half of the rows carry one word that the dictionary lacks; no partition may hold them."""
+    facts = spark.range(40_000).selectExpr("id", "if(id % 2 = 0, 'unknown', concat('k', id % 5000)) AS k")
+    dim = spark.range(5000).selectExpr("concat('k', id) AS k", "id AS v")
+    options = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup(facts, dim, ["k"], F.col("id"), max_bytes=0)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert joined.where("v IS NOT NULL").count() == 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == 40_000 and max(sizes) < 0.05 * 40_000
+
+
+def test_files_of_one_name_are_told_apart(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "r.csv").write_text(f"source,source_id,review_text,posted_at,user_name\na.com,1,{GOOD},2026/02/01,u\n")
+    scan = scan_reviews_csv(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    rows = validate_reviews(with_ingest_metadata(scan, "run", repeatable=True)).orderBy("source_path").collect()
+    assert len({r.row_id for r in rows}) == 2 and {r.source_file for r in rows} == {"r.csv"}
+    assert [r.invalid_reason for r in rows] == [[], [S.DUPLICATE]]
+
+
 def test_first_and_last_per_key(spark):
     rows = spark.createDataFrame([("t", "A", 2), ("t", "B", 1), ("u", "C", 3)], "term string, v string, n int")
     assert sorted(map(tuple, first_per_key(rows, ["term"], "v", ["n"]).collect())) == [("t", "B"), ("u", "C")]
@@ -196,10 +227,10 @@ def test_reason_gate(spark):
     issues = spark.createDataFrame([("t", "Noise")], "term string, issue_category string")
     found = reason_violations(spark.createDataFrame([good, *bad], REASON), entities, issues)
     assert {r.reason_id: r.violations for r in found.collect()} == {
-        "2": ["Invalid confidence"], "3": ["Missing or invalid sentiment_type"],
-        "4": ["Invalid entity category", "Invalid issue category"],
-        "5": ["Missing reason_id, review_id, or run_id", "Missing subject or predicate"],
+        "2": ["confidence outside 0..1"], "3": ["unknown sentiment"],
+        "4": ["unknown entity", "unknown issue"],
+        "5": ["an id is missing", "subject is null"],
     }
     assert_reasons(spark.createDataFrame([good], REASON), entities, issues)
-    with pytest.raises(ValueError, match="Invalid confidence"):
+    with pytest.raises(ValueError, match="confidence outside 0..1"):
         assert_reasons(spark.createDataFrame(bad[:1], REASON), entities, issues)

@@ -71,6 +71,18 @@ def test_strip_removes_unicode_space(spark):
     ("Feb 3, 2024", "2024-02-03 00:00:00"),
     ("3 Feb 2024", "2024-02-03 00:00:00"),
     (" 2024-02-01　", "2024-02-01 00:00:00"),
+    (" Feb 3 2024", "2024-02-03 00:00:00"),
+    ("February 3, 2024", "2024-02-03 00:00:00"),
+    ("3 Sept. 2024", "2024-09-03 00:00:00"),
+    ("Feb 3, 2024 10:05", "2024-02-03 10:05:00"),
+    ("2/3/2024 3:05 PM", "2024-02-03 15:05:00"),
+    ("2/3/2024 12:05 am", "2024-02-03 00:05:00"),
+    ("2024-02-03T10", "2024-02-03 10:00:00"),
+    ("Sat, 03 Feb 2024 10:05:00 GMT", "2024-02-03 10:05:00"),
+    ("Tuesday 6 February 2024", "2024-02-06 00:00:00"),
+    ("20240203101500", "2024-02-03 10:15:00"),
+    ("2024-02-03 10:05:00+09", "2024-02-03 01:05:00"),
+    ("2/3/2024 13:05 PM", None), ("Foo 3 2024", None), ("Feb 30 2024", None), ("3:05 PM", None),
     ("2024/2/30", None), ("15/2", None), ("abc", None), ("", None), ("   ", None), (None, None),
 ])
 def test_posted_at(spark, raw, expected):

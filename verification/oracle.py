@@ -73,11 +73,12 @@ def words(text: str) -> str:
     return f"regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}]+')"
 
 
-_POSTED = case(
-    "substr(h, 5, 1)",
-    {k: f"replace(replace({q(v)}, '{{d}}', dd), '{{h}}', hh)" for k, v in D.POSTED_FORMS.items()},
+_GOOD, _BAD = (
+    case("substr(h, 5, 1)", {k: f"replace(replace({q(v)}, '{{d}}', dd), '{{h}}', hh)" for k, v in forms.items()})
+    for forms in (D.POSTED_FORMS, D.BAD_FORMS)
 )
-_NUMBER = f"doc_id * {D.ROWS_PER_DOCUMENT} + line_pos + 1"
+_POSTED = f"CASE WHEN substr(h, 12, 2) < '04' THEN {_BAD} ELSE {_GOOD} END"
+_PATH = "'documents_' || lang || '.csv/' || lpad(doc_id::VARCHAR, 20, '0')"
 _HEX = "'0123456789abcdef'"
 
 
@@ -123,14 +124,14 @@ CTE: dict[str, str] = {
          CASE WHEN substr(md5(doc_id::VARCHAR), 1, 1) < '4' THEN ['run_a', 'run_b'] ELSE ['run_a'] END AS runs
   FROM documents""",
     "raw": f"""
-  SELECT CASE WHEN substr(h, 1, 2) < '08' THEN '' ELSE source END AS source,
-         CASE WHEN substr(h, 1, 2) BETWEEN '08' AND '0f' THEN NULL ELSE substr(md5(line), 1, 16) END AS source_id,
-         CASE WHEN substr(h, 3, 2) < '05' THEN NULL WHEN substr(h, 3, 2) < '0a' THEN '　 ' || chr(9) ELSE line END AS review_text,
+  SELECT CASE WHEN substr(h, 1, 2) < '02' THEN '' ELSE source END AS source,
+         CASE WHEN substr(h, 1, 2) BETWEEN '02' AND '04' THEN NULL ELSE md5(line) END AS source_id,
+         CASE WHEN substr(h, 3, 2) < '02' THEN NULL WHEN substr(h, 3, 2) < '04' THEN '　 ' || chr(9) ELSE line END AS review_text,
          {_POSTED} AS posted_at,
          'user_' || substr(h, 8, 4) AS user_name,
          'documents_' || lang || '.csv' AS source_file,
-         {_NUMBER} AS row_number,
-         md5(concat_ws('|', run_id, 'documents_' || lang || '.csv', {_NUMBER})) AS row_id,
+         {_PATH} AS source_path, line_pos + 1 AS row_number,
+         md5(concat_ws('|', run_id, {_PATH}, line_pos + 1)) AS row_id,
          CASE WHEN run_id = 'run_a' THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-03-02' END AS ingested_at,
          run_id, doc_id
   FROM (
@@ -142,11 +143,12 @@ CTE: dict[str, str] = {
   SELECT *, CASE WHEN coalesce(source, '') <> '' AND coalesce(source_id, '') <> ''
                  THEN {uuid5("source || '|' || source_id")} END AS review_id,
          coalesce(
-           try_strptime(posted_at, ['%Y/%m/%d %H:%M', '%Y/%m/%d', '%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%m/%d/%Y', '%Y%m%d']),
-           CASE WHEN regexp_matches(posted_at, 'T.*(Z|[+-]\\d\\d:\\d\\d)$')
+           try_strptime(trim(posted_at), ['%Y/%m/%d %H:%M', '%B %d, %Y', '%m/%d/%Y %I:%M %p', '%Y-%m-%dT%H', '%a, %d %b %Y %H:%M:%S GMT', '%Y%m%d%H%M%S',
+                   '%b %d %Y', '%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%m/%d/%Y', '%d/%m/%Y', '%Y%m%d']),
+           CASE WHEN regexp_matches(posted_at, '[T ].*(Z|[+-]\\d\\d(:\\d\\d)?)$')
                 THEN try_cast(posted_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC' END) AS posted_at_iso,
          {strip('review_text')} AS stripped,
-         row_number() OVER (PARTITION BY run_id, source_file, source, source_id ORDER BY row_number) AS occurrence
+         row_number() OVER (PARTITION BY run_id, source, source_id ORDER BY source_path, row_number) AS occurrence
   FROM raw""",
     "validated": f"""
   SELECT *, len(invalid_reason) = 0 AS is_valid FROM (
@@ -178,7 +180,8 @@ CTE: dict[str, str] = {
   SELECT m.lemma, m.pos, 'syn_' || v.item_id || '_' || v.pos AS synonym
   FROM vocabulary v JOIN morphs m ON m.surface = v.term WHERE substr(md5(v.term), 5, 1) < '8'
   QUALIFY row_number() OVER (PARTITION BY m.lemma, m.pos ORDER BY v.item_id DESC, v.pos DESC) = 1""",
-    "valid": "SELECT * FROM validated WHERE is_valid",
+    # the text queries read reviews of any length
+    "valid": f"SELECT * FROM validated WHERE len([x FOR x IN invalid_reason IF x <> {q(S.TEXT_TOO_LONG)}]) = 0",
     "tokens": tokens_of("valid", SPACED_DELIMITERS),
     "roles": f"""
   SELECT *, pos = {q(RULES.noun)} AND sub_pos NOT IN {among(RULES.no_subject)} AND lemma NOT IN {among(RULES.no_subject_lemmas)} AS en,

@@ -197,10 +197,10 @@ REASON_OUT = f"""sentiment_type, entity, issue_category, round(confidence, 6) AS
   {joined('subject')} AS subject, predicate, review_id, reason_id, run_id"""
 
 STATEMENTS: dict[str, str] = {
-    "ingest_metadata": sql(f"SELECT run_id, source_file, row_number, {ts('ingested_at')} AS ingested_at, row_id FROM raw"),
+    "ingest_metadata": sql(f"SELECT run_id, source_file, source_path, row_number, {ts('ingested_at')} AS ingested_at, row_id FROM raw"),
     "csv_scan": sql("""SELECT count(*) AS rows_read, count(*) AS rows_numbered, 0::BIGINT AS misnumbered_files,
   count(*) FILTER (source_id IS NULL) AS rows_without_source_id, sum(length(coalesce(review_text, '')))::BIGINT AS text_chars FROM raw"""),
-    "raw_table": sql("SELECT run_id, row_id, row_number, source, source_id, md5(review_text) AS text_md5, posted_at, user_name FROM raw"),
+    "raw_table": sql("SELECT run_id, row_id, source_path, row_number, source, source_id, md5(review_text) AS text_md5, posted_at, user_name FROM raw"),
     "validated_table_days": sql(f"""SELECT {day('posted_at_iso')} AS posted_date, count(*) AS rows_count, {count_if('is_valid')} AS valid_rows,
   min(review_id) AS first_review_id, max(review_id) AS last_review_id FROM validated GROUP BY 1"""),
     "reasons_table": sql(f"SELECT {REASON_OUT} FROM reasons"),
@@ -212,7 +212,7 @@ UNION ALL SELECT 'entity', term, entity FROM entities UNION ALL SELECT 'issue',
     "validation_flags": sql(f"SELECT row_id, review_id, is_valid, {joined('invalid_reason')} AS invalid_reason FROM validated"),
     "validity_split": sql("""SELECT run_id, source, count(*) AS rows_count, 0::BIGINT AS token_slots, is_valid AS valid
 FROM validated GROUP BY run_id, source, is_valid"""),
-    "reason_violations": sql(f"SELECT reason_id, entity, 'Invalid entity category' AS violations FROM reasons WHERE entity = {q(D.ENTITIES[0])}"),
+    "reason_violations": sql(f"SELECT reason_id, entity, 'unknown entity' AS violations FROM reasons WHERE entity = {q(D.ENTITIES[0])}"),
     "repeated_identities": sql("""SELECT source, source_id, count(*) AS rows_count, 'validated' AS stage FROM validated
 WHERE review_id IS NOT NULL GROUP BY source, source_id HAVING count(*) > 1
 UNION ALL SELECT source, source_id, count(*), 'deduplicated' FROM dedup
@@ -282,7 +282,7 @@ FROM top1 GROUP BY top1.posted_date, sentiment_type"""),
     "run_drilldown": sql(f"""SELECT v.review_id, v.run_id, v.source_file, v.row_number, v.row_id, v.source, {ts('v.posted_at_iso')} AS posted_at_iso, v.is_valid,
   {joined('v.invalid_reason', '; ')} AS invalid_reason, r.sentiment_type, {joined('r.subject')} AS subject, r.predicate, r.entity, r.issue_category,
   round(r.confidence, 6) AS confidence, r.reason_id
-FROM validated v LEFT JOIN reasons r ON r.review_id = v.review_id AND r.run_id = 'run_b' WHERE v.run_id = 'run_b'"""),
+FROM validated v LEFT JOIN reasons r ON v.is_valid AND r.review_id = v.review_id AND r.run_id = 'run_b' WHERE v.run_id = 'run_b'"""),
     "extraction_quality": sql(f"""SELECT count(*) AS labelled_reviews, count(reason_id) AS extracted_reviews,
   {rate('count(reason_id)', 'count(*)')} AS extraction_coverage,
   {rate('count(*) FILTER (reason_id IS NOT NULL AND is_correct)', 'count(reason_id)')} AS extraction_precision,
