@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -105,29 +106,39 @@ def bands_of(n: int, threshold: Threshold) -> list[int]:
     return list(range(first, own + 1))
 
 
-def allocate(n: float, apart: int, docs: float, share: float) -> tuple[int, int]:
-    """Segments kept whole and segments with one-deletion neighbourhoods, for sets of about n.
+@dataclass(frozen=True)
+class Allocation:
+    """Segments kept ``whole``, segments with one-deletion neighbourhoods (``near``), and how many
+    of the agreements a document may lose to empty signatures (``spare``)."""
+
+    whole: int
+    near: int
+    spare: int
+
 
-    A pair ``apart`` elements apart must agree on a whole segment or differ by at most one element
-    in a neighbourhood segment if whole + 2 * neighbourhoods > apart. Fewer, longer segments meet
-    fewer strangers but cost a signature per element; the cheapest split is taken. ``share``: how
-    likely another document holds a given shingle.
+def allocate(n: float, least: int, apart: int, docs: float, share: float) -> Allocation:
+    """The cheapest allocation for sets of about ``n`` (at least ``least``) elements.
+
+    A whole segment is left differing by one element of difference, a neighbourhood segment by two.
+    So with whole + 2 * near = apart + 1 + spare, a pair ``apart`` elements apart agrees on segments
+    that weigh at least spare + 1 together. Empty segments agree with those of any stranger: a
+    document whose agreements by an empty signature weigh at most ``spare`` need not give these
+    signatures. Fewer, longer segments meet fewer strangers, but neighbourhoods cost a signature per
+    element. ``share``: how likely another document holds a given shingle.
     """
     best = None
     for near in range((apart + 1) // 2 + 1):
         whole = apart + 1 - 2 * near
-        m = whole + near
-        if not m:
-            continue
-        s = n / m
-        empty = (1 - 1 / m) ** (2 * n)
-        met = whole * (empty + share**s) + near * (
-            (1 + 2 * s) * empty + (1 + s) * share ** max(s - 1, 1)
-        )
-        cost = m + near * s + CANDIDATE * docs * met
+        low = math.exp(-least / (whole + near))
+        lost = whole * low + 2 * near * low * (1 + least / (whole + near))
+        spare = math.ceil(lost + 4 * math.sqrt(lost))
+        whole += spare
+        s = n / (whole + near)
+        met = math.exp(-2 * s * (1 - share)) * (1 - math.exp(-s * share))
+        cost = whole + near * (1 + s) + CANDIDATE * docs * met * (whole + near * (1 + 2 * s))
         if best is None or cost < best[0]:
-            best = (cost, whole, near)
-    return best[1], best[2]
+            best = (cost, Allocation(whole, near, spare))
+    return best[1]
 
 
 def _set_rows(id_type: pa.DataType, size: int):
@@ -159,7 +170,7 @@ def _set_rows(id_type: pa.DataType, size: int):
 
 
 def _signature_rows(
-    id_type: pa.DataType, size: int, threshold: Threshold, plan: dict[int, tuple[int, int]]
+    id_type: pa.DataType, size: int, threshold: Threshold, plan: dict[int, Allocation]
 ):
     schema = pa.schema(
         [("sig", pa.int64()), ("id", id_type), ("n", pa.int32()), ("full", pa.bool_())]
@@ -169,17 +180,20 @@ def _signature_rows(
         for b in bands_of(len(h), threshold):
             if b not in plan:
                 continue
-            whole, near = plan[b]
-            m = whole + near
+            near, m = plan[b].near, plan[b].whole + plan[b].near
             salt = np.uint64((b + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
             element = _mixed(h ^ salt)
             segment = (_mixed(h + salt) % np.uint64(m)).astype(np.int64)
             sums = np.zeros(m, dtype=np.uint64)
             np.add.at(sums, segment, element)
             tag = _mixed(salt + np.arange(m, dtype=np.uint64))
-            yield _mixed(sums + tag), True
+            held = np.bincount(segment, minlength=m)
+            lost = np.count_nonzero(held[near:] == 0) + 2 * np.count_nonzero(held[:near] <= 1)
+            empty = 0 if lost > plan[b].spare else 1  # from how many elements on signatures are given
+            kept = held >= empty
+            yield _mixed(sums + tag)[kept], True
             if near:
-                cut = segment < near
+                cut = (segment < near) & (held[segment] > empty)
                 at = segment[cut]
                 yield _mixed(sums[at] - element[cut] + tag[at]), False
 
@@ -239,7 +253,7 @@ def _verified(id_type: pa.DataType, size: int, threshold: Threshold):
     return run, schema
 
 
-def _band_plan(sets: DataFrame, threshold: Threshold) -> dict[int, tuple[int, int]]:
+def _band_plan(sets: DataFrame, threshold: Threshold) -> dict[int, Allocation]:
     """Allocation per band from counts over all documents; moves a row per band to the driver,
     and the number of bands is the logarithm of the longest text."""
 
@@ -258,9 +272,10 @@ def _band_plan(sets: DataFrame, threshold: Threshold) -> dict[int, tuple[int, in
     share = pairs.pairs / (pairs.c * all_docs) if pairs.c else 0.0
     plan = {}
     for row in totals.collect():
-        apart = threshold.apart(band(row.band)[1])
+        low, high = band(row.band)
+        apart = threshold.apart(high)
         if apart:
-            plan[row.band] = allocate(row.n, apart, row.docs, min(share, 0.9))
+            plan[row.band] = allocate(row.n, low, apart, row.docs, min(share, 0.9))
     return plan
 
 
@@ -321,10 +336,12 @@ class NearCopies:
         own = self.rows.where("id is not null").join(skip, on, "left_anti").select("id", "text")
         plan = _band_plan(self.sets, self.threshold)
         run, schema = _signature_rows(self.id_type, self.size, self.threshold, plan)
-        rows = own.mapInArrow(run, from_arrow_schema(schema)).repartition("sig")
-        shared = rows.groupBy("sig").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        shared = shared.where("low <> high").select("sig")
-        return rows.join(shared, "sig", "left_semi")
+        rows = own.mapInArrow(run, from_arrow_schema(schema))
+        # a window, as an aggregation and a join would compute and shuffle the signatures twice; one
+        # signature has at most a row for each document of its size band
+        held = Window.partitionBy("sig")
+        rows = rows.withColumn("low", F.min("id").over(held)).withColumn("high", F.max("id").over(held))
+        return rows.where("low <> high").drop("low", "high")
 
     def labels(self) -> DataFrame:
         """``id``, ``component`` of the ids that any links connect to another."""

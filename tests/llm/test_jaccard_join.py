@@ -66,19 +66,22 @@ def test_one_deletion_neighbourhoods_find_all(spark, monkeypatch):
 
 
 def test_signatures_meet_within_the_distance():
-    """Any two sets that are near enough share a signature, one of them of a whole segment."""
+    """Any two sets that are near enough share a signature, one of them of a whole segment,
+    whether empty signatures are left out or (without spare) given."""
     import pyarrow as pa
 
     rng = random.Random(1)
     threshold = J.Threshold(90, 100)
-    for docs in (10.0, 1e9):
+    for docs, without in ((10.0, False), (1e9, False), (1e9, True)):
         plan = {}
         for b in range(30):
             apart = threshold.apart(J.band(b)[1])
             if apart:
-                plan[b] = J.allocate(sum(J.band(b)) / 2, apart, docs, 0.5)
-                whole, near = plan[b]
-                assert whole + 2 * near > apart
+                plan[b] = J.allocate(sum(J.band(b)) / 2, J.band(b)[0], apart, docs, 0.01)
+                assert plan[b].whole + 2 * plan[b].near == apart + 1 + plan[b].spare
+        if without:
+            plan = {b: J.Allocation(a.whole - a.spare, a.near, 0) for b, a in plan.items()}
+            plan = {b: a for b, a in plan.items() if a.whole + 2 * a.near > threshold.apart(J.band(b)[1])}
         run, _ = J._signature_rows(pa.int64(), 1, threshold, plan)
         for _ in range(60):
             n = rng.randrange(20, 400)
