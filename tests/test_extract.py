@@ -47,22 +47,22 @@ def pairs(spark, reviews, rules=JAPANESE_RULES):
 
 
 GOLDEN = {
-    # room is dirty; the food is delicious
-    "dirty_room": (sentence("部屋/名詞/一般", "が/助詞/格助詞", "汚い/形容詞!"), 2, [0], [2]),
-    "good_food": (sentence("料理/名詞/一般", "が/助詞/格助詞", "美味しい/形容詞!"), 2, [0], [2]),
-    # angry about a high price: the search back from the verb stops at the adjective
-    "high_price": (sentence("高い/形容詞", "料金/名詞/一般", "に/助詞/格助詞", "怒る/動詞!"), 3, [1], [3]),
-    # a screen whose design is bad: seen from the end, only the screen
-    "bad_design": (
-        sentence("デザイン/名詞/一般", "が/助詞/格助詞", "悪い/形容詞!", "画面/名詞/一般", "も/助詞/係助詞"), 2, [3], [2]),
+    # the window is narrow; the garden is wide
+    "narrow_window": (sentence("窓/名詞/一般", "が/助詞/格助詞", "狭い/形容詞!"), 2, [0], [2]),
+    "wide_garden": (sentence("庭/名詞/一般", "が/助詞/格助詞", "広い/形容詞!"), 2, [0], [2]),
+    # tired of a heavy load: the search back from the verb stops at the adjective
+    "heavy_load": (sentence("重い/形容詞", "荷物/名詞/一般", "に/助詞/格助詞", "疲れる/動詞!"), 3, [1], [3]),
+    # a film whose sound is weak: seen from the end, only the film
+    "weak_sound": (
+        sentence("音/名詞/一般", "が/助詞/格助詞", "弱い/形容詞!", "映画/名詞/一般", "も/助詞/係助詞"), 2, [3], [2]),
     # predicates joined by a conjunctive particle, seen from the last verb
-    "high_and_angry": (
-        sentence("料金/名詞/一般", "が/助詞/格助詞", "高い/形容詞", "て/助詞/接続助詞", "怒る/動詞!"), 4, [0], [2, 4]),
+    "heavy_and_tired": (
+        sentence("荷物/名詞/一般", "が/助詞/格助詞", "重い/形容詞", "て/助詞/接続助詞", "疲れる/動詞!"), 4, [0], [2, 4]),
     # a negative noun with a predicate after it, before it, and alone
     "noun_with_predicate": (sentence("臭い/名詞/一般!", "が/助詞/格助詞", "残る/動詞"), 0, [0], [2]),
     "noun_as_predicate": (sentence("対応/名詞/一般", "が/助詞/格助詞", "最悪/名詞/一般!"), 2, [0], [2]),
     "noun_alone": (sentence("最悪/名詞/一般!"), 0, [0], []),
-    "other_class": (sentence("まま/助詞/副助詞!", "部屋/名詞/一般"), 0, [], []),
+    "other_class": (sentence("まま/助詞/副助詞!", "窓/名詞/一般"), 0, [], []),
     # the adjective before a noun that cannot be a subject
     "no_subject_noun": (sentence("辛い/形容詞!", "日々/名詞/副詞可能"), 0, [], [0]),
     # the adjectival noun before the noun it modifies
@@ -72,9 +72,9 @@ GOLDEN = {
          {"sentence": 1, "lemma": "匂い", "pos": "名詞", "sub_pos": "一般"}], 0, [2], [0]),
     # subjects in an earlier and in a later sentence
     "earlier": (
-        sentence("部屋/名詞/一般", "見る/動詞") + sentence("汚い/形容詞!", number=2), 2, [0], [1, 2]),
+        sentence("窓/名詞/一般", "見る/動詞") + sentence("狭い/形容詞!", number=2), 2, [0], [1, 2]),
     "later": (
-        sentence("汚い/形容詞!") + sentence("狭い/形容詞", "部屋/名詞/一般", "見る/動詞", number=3), 0, [2], [0, 3]),
+        sentence("狭い/形容詞!") + sentence("狭い/形容詞", "窓/名詞/一般", "見る/動詞", number=3), 0, [2], [0, 3]),
 }
 
 
@@ -135,12 +135,12 @@ def test_random_reviews_match_definition(spark, rules):
 
 
 def test_one_reason_per_predicate_and_distinct(spark):
-    tokens = sentence("料金/名詞/一般", "が/助詞/格助詞", "高い/形容詞!", "て/助詞/接続助詞", "怒る/動詞!")
+    tokens = sentence("荷物/名詞/一般", "が/助詞/格助詞", "重い/形容詞!", "て/助詞/接続助詞", "疲れる/動詞!")
     tokens[0]["entity"], tokens[2]["issue"] = "Price", "Value"
     reasons = build_reasons(extract_pairs(frame(spark, {"r": tokens}))).orderBy("predicate").collect()
     # both terms lead to the same two pairs
     assert [(r.subject, r.predicate, r.entity, r.issue_category, r.confidence) for r in reasons] == [
-        (["料金"], "怒る", "Price", None, 0.71), (["料金"], "高い", "Price", "Value", 0.97)]
+        (["荷物"], "疲れる", "Price", None, 0.71), (["荷物"], "重い", "Price", "Value", 0.97)]
     assert len({r.reason_id for r in reasons}) == 2
 
 
@@ -151,13 +151,13 @@ def test_incomplete_reasons_cost_confidence(spark):
 
 
 def test_reason_ids_are_stable_and_random_on_request(spark):
-    made = extract_pairs(frame(spark, {"r": GOLDEN["high_and_angry"][0]}))
+    made = extract_pairs(frame(spark, {"r": GOLDEN["heavy_and_tired"][0]}))
     first, second = (sorted(r.reason_id for r in build_reasons(made).collect()) for _ in range(2))
     assert first == second
     assert sorted(r.reason_id for r in build_reasons(made, random_ids=True).collect()) != first
 
 
 def test_both_polarities_of_one_term(spark):
-    tokens = frame(spark, {"r": GOLDEN["dirty_room"][0]}).withColumn(
+    tokens = frame(spark, {"r": GOLDEN["narrow_window"][0]}).withColumn(
         "polarities", F.when(F.col("polarities").isNotNull(), F.array(F.lit("negative"), F.lit("positive"))))
     assert sorted(r.sentiment_type for r in build_reasons(extract_pairs(tokens)).collect()) == ["negative", "positive"]
