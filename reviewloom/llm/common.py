@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,6 +46,19 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Fewer rows per Arrow batch for the actions inside: texts are long, and a batch is held by the
+    JVM and by Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def running_total(
     df: DataFrame, group: list[str], order: list[str], value: str, before: str
 ) -> DataFrame:

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 from pyspark.sql.window import Window
 
-from reviewloom.llm.common import column, text_of
+from reviewloom.llm.common import column, text_batches, text_of
 from reviewloom.llm.components import merged
 from reviewloom.session import land
 
-BATCH_ROWS = 200_000
-WORD_CACHE = 200_000
+BATCH_ROWS = 50_000
+WORD_CACHE = 50_000
 BROADCAST_ROWS = 2_000_000
 #: One shingle of so many (by hash, over all documents) is counted for the cost estimate.
 COUNTED = 256
@@ -316,7 +316,8 @@ class NearCopies:
         )
         self.id_type = to_arrow_type(self.rows.schema["id"].dataType)
         run, schema = _set_rows(self.id_type, size)
-        self.sets = land(self.rows.mapInArrow(run, from_arrow_schema(schema)), "sets")
+        with text_batches(self.spark):
+            self.sets = land(self.rows.mapInArrow(run, from_arrow_schema(schema)), "sets")
 
     def equal_sets(self) -> DataFrame:
         """``id``, ``text_key``, ``rep``: rows whose set a smaller id holds as well."""
@@ -346,7 +347,8 @@ class NearCopies:
     def labels(self) -> DataFrame:
         """``id``, ``component`` of the ids that any links connect to another."""
         copies = land(self.equal_sets(), "copies")
-        members = land(self.live_signatures(copies), "signatures")
+        with text_batches(self.spark):
+            members = land(self.live_signatures(copies), "signatures")
         members = members.withColumn("component", F.col("id"))
         ids = members.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
         live = F.col("id") == F.col("live_id")
@@ -360,7 +362,8 @@ class NearCopies:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
             pairs = land(pairs, "pairs")
             compared = pairs if compared is None else compared.unionByName(pairs)
-            linked = land(self._verify(pairs, texts), "links")
+            with text_batches(self.spark, 200):
+                linked = land(self._verify(pairs, texts), "links")
             if not linked.isEmpty():
                 labels = merged(labels, linked)
             members = land(self._unfinished(ranked.where(F.col("rank") > pivots), labels), "members")

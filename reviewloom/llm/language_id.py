@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from reviewloom.llm.common import column, text_of
+from reviewloom.llm.common import column, text_batches, text_of
 from reviewloom.session import land
 
 BUCKETS = 1 << 15
@@ -163,7 +163,8 @@ def identify(
         for texts in batches:
             yield pd.Series([shared.value.evidence(t) for t in texts], dtype=object)
 
-    seen = land(rows.withColumn("text_logs", evidence("text")).drop("text"), "evidence")
+    with text_batches(docs.sparkSession):
+        seen = land(rows.withColumn("text_logs", evidence("text")).drop("text"), "evidence")
     by_text = F.array_position("text_logs", F.array_max("text_logs")) - 1
     agreed = seen.where("text_logs is not null and declared is not null")
     agreed = agreed.groupBy(by_text.cast("int").alias("best"), "declared").count()

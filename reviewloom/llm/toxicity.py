@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.common import column, text_of
+from reviewloom.llm.common import column, text_batches, text_of
 
 WORD = re.compile(r"[^\W_]+")
 #: Opening and closing marks of quotations, and words that report speech.
@@ -22,7 +22,7 @@ REPORTING = frozenset(
     "said says wrote called quote quoted word term dit disait mot sagte schrieb wort dijo palabra".split()
 )
 WINDOW = 6
-REMEMBERED = 300_000
+REMEMBERED = 50_000
 FUZZY_SHARE = 0.8
 FEATURES = 6
 
@@ -215,7 +215,9 @@ def fit(
         or r.pos > 1.2 * max((k for w, k in alone.items() if w.startswith(r.term[:-1])), default=0)
     }
     x, y = [], []
-    for row in _featured(rows, terms, ["toxic"]).collect():
+    with text_batches(docs.sparkSession):
+        featured = _featured(rows, terms, ["toxic"]).collect()
+    for row in featured:
         x.append(row.features)
         y.append(row.toxic)
     if not p or p == n:
