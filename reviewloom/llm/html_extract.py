@@ -159,14 +159,19 @@ def fit_weights(pages: DataFrame, max_pages: int = 5_000, html_col: str = "html"
     """Scores per kind of word and tag, from pages whose markup labels the content.
 
     Labelled pages are those with an ``article`` or ``main`` element; of these the at most
-    ``max_pages`` of least hash are read. A score is the smoothed log-odds of the kind inside and
+    ``max_pages`` different ones of least hash are read (the hashes are ranked, pages are not moved
+    for it). A score is the smoothed log-odds of the kind inside and
     outside the labelled element, kept positive for words and negative for tags and asides. Counts
     are summed by Spark; one row per kind (HTML element name) reaches the driver, at most 1,000.
     """
     labelled = pages.select(text_of(pages, html_col).alias("html")).where(
         F.lower("html").rlike(r"<(article|main)[\s>]")
     )
-    sample = labelled.orderBy(F.xxhash64("html")).limit(max_pages)
+    labelled = labelled.withColumn("hash", F.xxhash64("html"))
+    least = labelled.select("hash").distinct().orderBy("hash").limit(max_pages)
+    bound = least.agg(F.max("hash").alias("hash")).first()["hash"]
+    chosen = labelled.where(F.col("hash") <= F.lit(bound))
+    sample = chosen.groupBy("hash").agg(F.first("html").alias("html"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -178,7 +183,7 @@ def fit_weights(pages: DataFrame, max_pages: int = 5_000, html_col: str = "html"
             rows = [(kind, inside, n) for (kind, inside), n in seen.items()]
             yield pd.DataFrame(rows, columns=["kind", "inside", "n"])
 
-    counts = sample.repartition(16).mapInPandas(count, "kind string, inside boolean, n long")
+    counts = sample.mapInPandas(count, "kind string, inside boolean, n long")
     n_in = F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("n_in")
     n_out = F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("n_out")
     rows = counts.groupBy("kind").agg(n_in, n_out).orderBy(F.desc(F.col("n_in") + F.col("n_out")))

@@ -63,17 +63,21 @@ class TextModel:
 def fit_text(
     rows: DataFrame, max_rows: int = 2_000, max_languages: int = 100
 ) -> TextModel:
-    """From ``text`` and ``declared``: at most ``max_rows`` rows of each language (least hash first).
+    """From ``text`` and ``declared``: at most ``max_rows`` different texts of each language.
 
+    Those of least hash are taken; only hashes are ranked, and texts filtered by the largest taken.
     Triples are counted by a grouped aggregation; the driver receives at most ``max_languages`` *
     ``BUCKETS`` sums, whatever the corpus.
     """
     declared = rows.where("declared is not null and declared <> ''")
     most = declared.groupBy("declared").count().orderBy(F.desc("count"), "declared")
     names = sorted(r.declared for r in most.limit(max_languages).collect())
-    nth = F.row_number().over(Window.partitionBy("declared").orderBy(F.xxhash64("text"), "text"))
-    sample = declared.where(F.col("declared").isin(names)).withColumn("nth", nth)
-    sample = sample.where(F.col("nth") <= max_rows).select("declared", "text")
+    hashed = declared.where(F.col("declared").isin(names)).withColumn("hash", F.xxhash64("text"))
+    nth = F.row_number().over(Window.partitionBy("declared").orderBy("hash"))
+    ranked = hashed.select("declared", "hash").distinct().withColumn("nth", nth)
+    bounds = ranked.where(F.col("nth") <= max_rows).groupBy("declared").agg(F.max("hash").alias("most"))
+    chosen = hashed.join(F.broadcast(bounds), "declared").where("hash <= most")
+    sample = chosen.groupBy("declared", "hash").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
