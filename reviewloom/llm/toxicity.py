@@ -34,29 +34,36 @@ class Node:
     stem: bool = False  # whether longer words match the term as well
 
 
+def _shortened(word: str) -> list[str]:
+    """The word without one of its letters."""
+    return [word[:i] + word[i + 1 :] for i in range(len(word))]
+
+
 class Lexicon:
     """Terms with weights; a term is a whole word, or a stem (ends in ``*``) that begins words.
 
     ``lookup`` returns (weight, edits): the heaviest exact term, or else the heaviest whole-word
-    term within one edit, of those with at least ``fuzzy_from`` letters and ``FUZZY_SHARE`` of the
-    largest weight (near misses of weak terms are noise). The automaton of a word is simulated as
-    rows of edit distances, one per trie node on the way; a branch is left when its whole row
-    exceeds one edit. Words that have no term's first half at their beginning and no term's second
-    half at their end are no candidates, since one edit leaves one of the halves as it is.
+    term within one edit, of those with at least ``fuzzy_from`` letters and ``fuzzy_share`` of the
+    largest weight (``whole_lexicon``, which the query uses, has 0: all of them). The automaton of a
+    word is simulated as rows of edit distances, one per trie node on the way; a branch is left when
+    its whole row exceeds one edit. Only words that share themselves, or themselves without one
+    letter, with a term in the same way are walked; all words within one edit do.
     """
 
-    def __init__(self, terms: dict[str, float], fuzzy_from: int = 5) -> None:
+    def __init__(
+        self, terms: dict[str, float], fuzzy_from: int = 5, fuzzy_share: float = FUZZY_SHARE
+    ) -> None:
         self.root, self.fuzzy_from = Node(), fuzzy_from
         self.fuzzy = Node()
-        least = FUZZY_SHARE * max(terms.values(), default=0.0)
-        heads, tails = set(), set()
+        least = fuzzy_share * max(terms.values(), default=0.0)
+        self.near: set[str] = set()
+        self.longest = 0
         for term, weight in terms.items():
             self._add(self.root, term.rstrip("*"), weight, term.endswith("*"))
             if not term.endswith("*") and len(term) >= fuzzy_from and weight >= least:
                 self._add(self.fuzzy, term, weight, False)
-                heads.add(term[: len(term) // 2])
-                tails.add(term[len(term) // 2 :])
-        self.heads, self.tails = tuple(heads), tuple(tails)
+                self.near |= {term, *_shortened(term)}
+                self.longest = max(self.longest, len(term))
         self.known: dict[str, tuple[float, int]] = {}
 
     @staticmethod
@@ -83,7 +90,9 @@ class Lexicon:
                 weight = node.weight
         if weight:
             return weight, 0
-        if word.startswith(self.heads) or word.endswith(self.tails):
+        if self.fuzzy_from - 1 <= len(word) <= self.longest + 1 and (
+            word in self.near or not self.near.isdisjoint(_shortened(word))
+        ):
             return self._within_one(self.fuzzy, word, list(range(len(word) + 1))), 1
         return 0.0, 0
 
@@ -98,6 +107,11 @@ class Lexicon:
         return best
 
 
+def whole_lexicon(terms: dict[str, float]) -> Lexicon:
+    """Every whole word long enough for one edit is sought misspelt, whatever its weight."""
+    return Lexicon(terms, fuzzy_share=0.0)
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """Sums over hits, log-scaled: exact and misspelt hits meant, hits quoted, the heaviest hit
     meant, hits per word, and a constant.
@@ -240,7 +254,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _featured(rows: DataFrame, terms: dict[str, float], keep: list[str]) -> DataFrame:
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def featured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lexicon = Lexicon(terms)
+        lexicon = whole_lexicon(terms)
         for texts in batches:
             yield pd.Series([features(t, lexicon) for t in texts])
 

@@ -4,7 +4,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.llm.toxicity import Lexicon, features, fit, held_out, toxicity
+from reviewloom.llm.toxicity import Lexicon, features, fit, held_out, toxicity, whole_lexicon
 from tests.llm.helpers import table, words
 
 
@@ -34,6 +34,10 @@ def test_lookup_equals_distances():
         assert edits == (0 if exact else 1) or not weight
 
 
+def test_weak_terms_are_sought_too():
+    assert whole_lexicon({"scoundrel": 7.6, "weakling": 2.0}).lookup("weaklin") == (2.0, 1)
+
+
 def test_quotations_are_told_apart():
     lexicon = Lexicon({"idiot": 4.0})
     meant, quoted = features("you idiot", lexicon), features('he cried "you idiot" and left', lexicon)
