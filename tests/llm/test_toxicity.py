@@ -38,6 +38,24 @@ def test_weak_terms_are_sought_too():
     assert whole_lexicon({"scoundrel": 7.6, "weakling": 2.0}).lookup("weaklin") == (2.0, 1)
 
 
+def test_misspellings_of_all_terms_are_found():
+    """Near misses of any whole word of five letters or more, whatever its weight."""
+    rng = random.Random(2)
+    terms = {"stupid": 3.0, "idiot": 4.0, "scum": 2.0, "mor*": 1.5, "worthless": 5.0, "weakling": 2.0}
+    lexicon = whole_lexicon(terms)
+    pool = list("stupidworhlecmx")
+    tried = {"".join(rng.choice(pool) for _ in range(rng.randrange(1, 9))) for _ in range(3000)}
+    for term in ("stupid", "idiot", "scum", "worthless", "weakling", "moron", "mor", "mo"):
+        tried |= {term, term[1:], term[:-1], term + "s", "x" + term, term[:2] + term[3:], term[:2] + "q" + term[2:]}
+        tried |= {term[:i] + "q" + term[i + 1 :] for i in range(len(term))}
+    for word in tried:
+        exact = max((w for t, w in terms.items() if word == t or t[-1] == "*" and word.startswith(t[:-1])), default=0.0)
+        near = max((w for t, w in terms.items() if t[-1] != "*" and len(t) >= 5 and distance(t, word) <= 1), default=0.0)
+        weight, edits = lexicon.lookup(word)
+        assert weight == (exact or near), word
+        assert edits == (0 if exact else 1) or not weight
+
+
 def test_quotations_are_told_apart():
     lexicon = Lexicon({"idiot": 4.0})
     meant, quoted = features("you idiot", lexicon), features('he cried "you idiot" and left', lexicon)
