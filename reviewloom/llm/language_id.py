@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,7 @@ BUCKETS = 1 << 15
 EVIDENCE = 40.0
 UNKNOWN = "und"
 CHUNK = 1 << 16
+UNSEEN = 0.05  # counts of a bucket besides those of the sample
 
 
 def _letters(text: str) -> Iterator[np.ndarray]:
@@ -44,10 +45,18 @@ def triples(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class TextModel:
-    """``languages``, and for each (and last for ``und``, flat) log-probabilities per bucket."""
+    """``languages``, and for each (and last for ``und``, flat) log-probabilities per bucket.
+
+    ``base`` is a language's log-probability of a bucket that its sample doesn't hold; ``holders`` and
+    ``gains``, from ``starts`` of a bucket on, are the languages that hold it and what it gains there.
+    So a language takes space by what its sample holds, however many languages there are.
+    """
 
     languages: tuple[str, ...]
-    table: np.ndarray
+    base: np.ndarray
+    starts: np.ndarray
+    holders: np.ndarray
+    gains: np.ndarray
 
     def evidence(self, text: str) -> list[float] | None:
         """Log-likelihoods per language, for a text of ``EVIDENCE`` triples at most; None without any."""
@@ -56,23 +65,25 @@ class TextModel:
             return None
         counts = np.bincount(found, minlength=BUCKETS)
         held = np.flatnonzero(counts)
-        mean = self.table[:, held] @ counts[held] / len(found)
-        return (mean * min(len(found), EVIDENCE)).tolist()
+        first = self.starts[held]
+        n = self.starts[held + 1] - first
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1]) + np.repeat(first - ends + n, n)
+        gained = self.gains[at] * np.repeat(counts[held], n)
+        sums = np.bincount(self.holders[at], weights=gained, minlength=len(self.base))
+        return ((self.base + sums / len(found)) * min(len(found), EVIDENCE)).tolist()
 
 
-def fit_text(
-    rows: DataFrame, max_rows: int = 2_000, max_languages: int = 100
-) -> TextModel:
-    """From ``text`` and ``declared``: at most ``max_rows`` different texts of each language.
+def fit_text(rows: DataFrame, max_rows: int = 2_000) -> TextModel:
+    """From ``text`` and ``declared``: at most ``max_rows`` different texts of each language declared.
 
     Those of least hash are taken; only hashes are ranked, and texts filtered by the largest taken.
-    Triples are counted by a grouped aggregation; the driver receives at most ``max_languages`` *
-    ``BUCKETS`` sums, whatever the corpus.
+    Triples are counted by a grouped aggregation; the driver receives the sums of the buckets that a
+    language's sample holds, at most ``BUCKETS`` of each language.
     """
     declared = rows.where("declared is not null and declared <> ''")
-    most = declared.groupBy("declared").count().orderBy(F.desc("count"), "declared")
-    names = sorted(r.declared for r in most.limit(max_languages).collect())
-    hashed = declared.where(F.col("declared").isin(names)).withColumn("hash", F.xxhash64("text"))
+    names = sorted(r.declared for r in declared.select("declared").distinct().collect())
+    hashed = declared.withColumn("hash", F.xxhash64("text"))
     nth = F.row_number().over(Window.partitionBy("declared").orderBy("hash"))
     ranked = hashed.select("declared", "hash").distinct().withColumn("nth", nth)
     bounds = ranked.where(F.col("nth") <= max_rows).groupBy("declared").agg(F.max("hash").alias("most"))
@@ -89,19 +100,34 @@ def fit_text(
                 yield pd.DataFrame({"declared": name, "bucket": held, "n": counts[held]})
 
     counted = sample.mapInPandas(count, "declared string, bucket int, n long")
-    table = np.full((len(names) + 1, BUCKETS), 0.05)
-    for r in counted.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).collect():
-        table[names.index(r.declared), r.bucket] += r.n
-    table[-1] = 1.0
-    table = np.log(table / table.sum(axis=1, keepdims=True))
-    return TextModel(tuple(names), table)
+    sums = counted.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    number = {name: i for i, name in enumerate(names)}
+    holders = sums["declared"].map(number).to_numpy(dtype=np.int32)
+    buckets, n = sums["bucket"].to_numpy(), sums["n"].to_numpy(dtype=np.float64)
+    totals = np.bincount(holders, weights=n, minlength=len(names)) + UNSEEN * BUCKETS
+    base = np.append(np.log(UNSEEN / totals), -math.log(BUCKETS))
+    order = np.argsort(buckets, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(buckets, minlength=BUCKETS))])
+    return TextModel(tuple(names), base, starts, holders[order], np.log1p(n / UNSEEN)[order])
+
+
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the value, which is computed once; used within lambdas, it would be for each element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _total(array: Column) -> Column:
+    return F.aggregate(array, F.lit(0.0), lambda a, x: a + x)
 
 
 def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    powers = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
+    def powers(held: Column) -> Column:
+        return _bound(F.array_max(held), lambda top: F.transform(held, lambda x: F.exp(x - top)))
+
+    def shares(held: Column) -> Column:
+        return _bound(_total(held), lambda total: F.transform(held, lambda x: x / total))
+
+    return _bound(_bound(logs, powers), shares)
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -118,8 +144,11 @@ def _sums(array: Column, n: int) -> Column:
 
 def _smoothed(own: Column, parent: Column, strength: float) -> Column:
     """Counts and their parent's distribution as one distribution."""
-    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
-    return F.zip_with(own, parent, lambda c, p: (c + strength * p) / (total + strength))
+
+    def mixed(total: Column) -> Column:
+        return F.zip_with(own, parent, lambda c, p: (c + strength * p) / (total + strength))
+
+    return _bound(_total(own), mixed)
 
 
 def identify(
@@ -172,18 +201,31 @@ def identify(
     by_text = F.array_position("text_logs", F.array_max("text_logs")) - 1
     agreed = seen.where("text_logs is not null and declared is not null")
     agreed = agreed.groupBy(by_text.cast("int").alias("best"), "declared").count()
-    claims = {(r.best, r.declared): r["count"] for r in agreed.where(F.col("declared").isin(names)).collect()}
-    said = F.lit(None).cast("array<double>")
-    for name in model.languages:
-        logs = []
-        for i in range(n):
-            total = sum(claims.get((i, d), 0) for d in names)
-            share = (claims.get((i, name), 0) + 1 / n) / (total + 1)
-            logs.append(math.log(declared_weight * share + (1 - declared_weight) / n))
-        said = F.when(F.col("declared") == name, _numbers(logs)).otherwise(said)
+    claims = agreed.where("declared <> ''").collect()
+    totals = [0] * n
+    for r in claims:
+        totals[r.best] += r["count"]
+
+    def log_of(i: int, count: int) -> float:
+        share = (count + 1 / n) / (totals[i] + 1)
+        return math.log(declared_weight * share + (1 - declared_weight) / n)
+
+    unclaimed = [log_of(i, 0) for i in range(n)]
+    more: dict[str, dict[int, float]] = {name: {} for name in model.languages}
+    for r in claims:
+        more[r.declared][r.best] = log_of(r.best, r["count"]) - unclaimed[r.best]
+    said_of = docs.sparkSession.createDataFrame(
+        list(more.items()), "s_declared string, more map<int,double>"
+    )
+    seen = seen.join(F.broadcast(said_of), F.col("declared") == F.col("s_declared"), "left")
+    plus = F.transform(
+        _numbers(unclaimed), lambda x, i: x + F.coalesce(F.try_element_at("more", i), F.lit(0.0))
+    )
+    said = F.when(F.col("more").isNotNull(), plus)
     nothing = _numbers([0.0] * n)
     own = _plus(F.coalesce("text_logs", nothing), F.coalesce(said, nothing))
-    seen = seen.withColumn("own_logs", own).withColumn("share", _softmax(F.col("own_logs")))
+    seen = seen.withColumn("own_logs", own).drop("more", "s_declared")
+    seen = seen.withColumn("share", _softmax(F.col("own_logs")))
     letters = seen.where("text_logs is not null")
     hosts = letters.groupBy("suffix", "host").agg(_sums(F.col("share"), n).alias("host_sums"))
     hosts = land(hosts, "hosts")

@@ -47,6 +47,23 @@ def test_hosts_decide_where_the_text_does_not(spark):
     assert (found[600], found[601]) == ("fr", "de")
 
 
+def test_every_declared_language_is_modelled(spark):
+    """130 languages of their own letters, some with regions; the rarest are found and kept too."""
+    rng = random.Random(5)
+    data = []
+    for k in range(130):
+        letters = [chr(0x4E00 + 20 * k + j) for j in range(20)]
+        vocabulary = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(8)]
+        name = f"x{k:03}" + ("-gb" if k % 3 else "")
+        for j in range(4 if k < 100 else 3):
+            text = " ".join(rng.choice(vocabulary) for _ in range(20))
+            data.append((len(data), text, name, f"h{k % 7}", 0))
+    got = L.identify(table(spark, data), declared=F.col("lang"), host=F.col("source")).collect()
+    found = {r.doc_id: r for r in got}
+    assert len(found) == len(data)
+    assert all(found[d[0]].language == d[2] and not found[d[0]].rejected for d in data)
+
+
 def test_drop_keeps_rows_and_columns(spark):
     docs = table(spark, rows(60) + [(500, None, "en", None, 0), (7, "again the house", "en", "h", 0)], extra=True)
     kept = L.drop_rejected(docs, declared=F.col("lang"), host=F.col("source"))
