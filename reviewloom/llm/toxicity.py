@@ -43,7 +43,8 @@ class Lexicon:
     """Terms with weights; a term is a whole word, or a stem (ends in ``*``) that begins words.
 
     ``lookup`` returns (weight, edits): the heaviest exact term, or else the heaviest whole-word
-    term within one edit, of those with at least ``fuzzy_from`` letters and ``fuzzy_share`` of the
+    term within one edit (a swap of neighbouring letters is one; terms of ``swapped_from`` letters
+    up to ``fuzzy_from`` are found by a swap only), of those with at least ``fuzzy_from`` letters and ``fuzzy_share`` of the
     largest weight (``whole_lexicon``, which the query uses, has 0: all of them). The automaton of a
     word is simulated as rows of edit distances, one per trie node on the way; a branch is left when
     its whole row exceeds one edit. Only words that share themselves, or themselves without one
@@ -51,19 +52,30 @@ class Lexicon:
     """
 
     def __init__(
-        self, terms: dict[str, float], fuzzy_from: int = 5, fuzzy_share: float = FUZZY_SHARE
+        self,
+        terms: dict[str, float],
+        fuzzy_from: int = 5,
+        fuzzy_share: float = FUZZY_SHARE,
+        swapped_from: int = 4,
     ) -> None:
         self.root, self.fuzzy_from = Node(), fuzzy_from
         self.fuzzy = Node()
         least = fuzzy_share * max(terms.values(), default=0.0)
         self.near: set[str] = set()
         self.longest = 0
+        self.swapped: dict[str, float] = {}
         for term, weight in terms.items():
             self._add(self.root, term.rstrip("*"), weight, term.endswith("*"))
-            if not term.endswith("*") and len(term) >= fuzzy_from and weight >= least:
+            if term.endswith("*") or weight < least:
+                continue
+            if len(term) >= fuzzy_from:
                 self._add(self.fuzzy, term, weight, False)
                 self.near |= {term, *_shortened(term)}
                 self.longest = max(self.longest, len(term))
+            elif len(term) >= swapped_from:
+                for i in range(len(term) - 1):
+                    other = term[:i] + term[i + 1] + term[i] + term[i + 2 :]
+                    self.swapped[other] = max(self.swapped.get(other, 0.0), weight)
         self.known: dict[str, tuple[float, int]] = {}
 
     @staticmethod
@@ -90,20 +102,28 @@ class Lexicon:
                 weight = node.weight
         if weight:
             return weight, 0
+        weight = self.swapped.get(word, 0.0)
         if self.fuzzy_from - 1 <= len(word) <= self.longest + 1 and (
             word in self.near or not self.near.isdisjoint(_shortened(word))
         ):
-            return self._within_one(self.fuzzy, word, list(range(len(word) + 1))), 1
-        return 0.0, 0
-
-    def _within_one(self, node: Node, word: str, row: list[int]) -> float:
+            row = list(range(len(word) + 1))
+            weight = max(weight, self._within_one(self.fuzzy, word, row, row, ""))
+        return (weight, 1) if weight else (0.0, 0)
+
+    def _within_one(
+        self, node: Node, word: str, row: list[int], above: list[int], last: str
+    ) -> float:
+        """``above`` is the row before ``row``, and ``last`` the letter that led from it to ``row``."""
         best = node.weight if row[-1] <= 1 else 0.0
         for letter, child in node.children.items():
             step = [row[0] + 1]
             for i, own in enumerate(word):
-                step.append(min(row[i] + (own != letter), row[i + 1] + 1, step[i] + 1))
+                edits = min(row[i] + (own != letter), row[i + 1] + 1, step[i] + 1)
+                if i and own == last and word[i - 1] == letter:
+                    edits = min(edits, above[i - 1] + 1)
+                step.append(edits)
             if min(step) <= 1:
-                best = max(best, self._within_one(child, word, step))
+                best = max(best, self._within_one(child, word, step, row, letter))
         return best
 
 

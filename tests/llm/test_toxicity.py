@@ -56,6 +56,18 @@ def test_misspellings_of_all_terms_are_found():
         assert edits == (0 if exact else 1) or not weight
 
 
+def test_swapped_neighbours_are_one_edit():
+    terms = {"stupid": 3.0, "idiot": 4.0, "scum": 2.0, "dim": 2.5}
+    lexicon = whole_lexicon(terms)
+    for term in ("stupid", "idiot", "scum"):
+        for i in range(len(term) - 1):
+            word = term[:i] + term[i + 1] + term[i] + term[i + 2 :]
+            assert lexicon.lookup(word) == (terms[term], 0 if word == term else 1), word
+    assert features("you idoit", lexicon)[1] > 0
+    for word in ("scam", "scums", "dmi", "idt", "tsupdi"):
+        assert lexicon.lookup(word) == (0.0, 0), word
+
+
 def test_quotations_are_told_apart():
     lexicon = Lexicon({"idiot": 4.0})
     meant, quoted = features("you idiot", lexicon), features('he cried "you idiot" and left', lexicon)
