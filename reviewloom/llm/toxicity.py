@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.llm.common import column, text_batches, text_of
+from reviewloom.session import land
 
 WORD = re.compile(r"[^\W_]+")
 #: Opening and closing marks of quotations, and words that report speech.
@@ -226,7 +227,7 @@ def fit(
 
     Terms are counted per label by a grouped aggregation; kept are the at most ``max_terms`` of
     smoothed log-odds of 2 or more held by 5 or more toxic rows; a stem must be held by clearly more
-    of them than any one whole word it begins. Only these, and ``FEATURES`` numbers for each
+    of them than any one whole word it begins, and takes no place among the terms else. Only these, and ``FEATURES`` numbers for each
     training row, reach the driver, where a logistic regression is fitted.
     Without toxic training rows every score is the same.
     """
@@ -238,16 +239,22 @@ def fit(
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log(
         (F.col("all") - F.col("pos") + 0.5) / (n - p + 1)
     )
-    best = counts.where("pos >= 5").withColumn("odds", odds).where("odds >= 2")
+    best = land(counts.where("pos >= 5").withColumn("odds", odds).where("odds >= 2"), "terms")
+    stem = F.col("term").endswith("*")
+    begun = best.where(~stem & (F.length("term") >= 4)).select(
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(4), F.least(F.length("term"), F.lit(9))),
+                lambda k: F.concat(F.substring("term", F.lit(1), k), F.lit("*")),
+            )
+        ).alias("begun"),
+        "pos",
+    )
+    begun = begun.groupBy("begun").agg(F.max("pos").alias("alone"))
+    best = best.join(begun, F.col("term") == F.col("begun"), "left")
+    best = best.where(~stem | (F.col("pos") > 1.2 * F.coalesce("alone", F.lit(0))))
     best = best.orderBy(F.desc("odds"), F.desc("pos"), "term").limit(max_terms)
-    found = best.collect()
-    alone = {r.term: r.pos for r in found if not r.term.endswith("*")}
-    terms = {
-        r.term: float(r.odds)
-        for r in found
-        if r.term in alone
-        or r.pos > 1.2 * max((k for w, k in alone.items() if w.startswith(r.term[:-1])), default=0)
-    }
+    terms = {r.term: float(r.odds) for r in best.collect()}
     x, y = [], []
     with text_batches(docs.sparkSession):
         featured = _featured(rows, terms, ["toxic"]).collect()

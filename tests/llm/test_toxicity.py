@@ -115,6 +115,12 @@ def test_held_out_labels_do_not_matter(spark):
     assert a.terms == b.terms and a.weights == pytest.approx(b.weights)
 
 
+def test_redundant_stems_take_no_place(spark):
+    docs, labels = labelled(spark)
+    terms = fit(docs, labels, max_terms=4).terms
+    assert set(terms) == {"wort*", "worthless", "stupid", "wortless"}
+
+
 def test_no_labels_and_no_rows(spark):
     docs, labels = labelled(spark, 50)
     none = labels.limit(0)
