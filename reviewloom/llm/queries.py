@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
+    byte_bpe,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -113,6 +114,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = file.read()
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -126,4 +141,5 @@ def registered() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_line_dedup": op10_line_dedup,
+        "op11_byte_bpe": op11_byte_bpe,
     }
