@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from reviewloom.llm import (
     byte_bpe,
     decontaminate,
+    divergence,
     exact_dedup,
     html_extract,
     jaccard_join,
     language_id,
+    lexical_search,
     line_dedup,
     mix,
     token_counts,
@@ -128,6 +130,14 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -142,4 +152,6 @@ def registered() -> dict[str, Query]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_line_dedup": op10_line_dedup,
         "op11_byte_bpe": op11_byte_bpe,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_source_divergence": op13_source_divergence,
     }

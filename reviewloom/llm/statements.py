@@ -116,4 +116,84 @@ STATEMENTS = {
         from documents left join sizes using (doc_id) join reach on reach.a = doc_id
         group by doc_id
     """,
+    "op12_lexical_search": r"""
+        with cut as (
+            select row_number() over () as r, doc_id, list_filter(
+                regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+            from documents
+        ), items as (
+            select distinct item_id, unnest(list_filter(
+                regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term
+            from benchmark
+        ), counted as (
+            select r, term, count(*) as tf from (select r, unnest(w) as term from cut)
+            where term in (select term from items) group by r, term
+        ), whole as (
+            select count(*) filter (len(w) > 0) as n_docs, sum(len(w)) as n_terms from cut
+        ), weights as (
+            select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as weight
+            from counted, whole group by term, n_docs
+        ), lengths as (
+            select r, doc_id, cast(10 + (90 * len(w) * n_docs) // n_terms as bigint) as m
+            from cut, whole where len(w) > 0
+        ), scores as (
+            select item_id, doc_id, r,
+                   cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+            from counted join weights using (term) join lengths using (r) join items using (term)
+            group by item_id, doc_id, r
+        ), ranked as (
+            select item_id, doc_id, score,
+                   cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+            from scores where score > 0
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 10
+    """,
+    "op13_source_divergence": r"""
+        with texts as (
+            select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+            from documents
+        ), words as (
+            select lang, source, term, r, count(*) as n
+            from (select lang, source, r, unnest(w) as term from texts) group by all
+        ), kept as (
+            select lang, term, sum(n) as n from words group by lang, term having count(*) >= 30
+        ), langs as (select lang, count(*) as v, sum(n) as total from kept group by lang
+        ), groups as (select distinct lang, source from texts
+        ), used as (
+            select words.lang, words.source, words.term, sum(words.n) as n
+            from words join kept on kept.lang = words.lang and kept.term = words.term group by all
+        ), totals as (
+            select g.lang, g.source, coalesce(sum(u.n), 0) as total
+            from groups g left join used u on u.lang = g.lang and u.source = g.source group by all
+        ), shares as (
+            select t.lang, t.source, k.term, coalesce(u.n, 0) as n,
+                   1 + (1000000000 * cast(coalesce(u.n, 0) + 5 as hugeint)) // (t.total + 5 * l.v) as p,
+                   1 + (1000000000 * cast(k.n + 5 as hugeint)) // (l.total + 5 * l.v) as q
+            from totals t join kept k on k.lang = t.lang join langs l on l.lang = t.lang
+            left join used u on u.lang = t.lang and u.source = t.source and u.term = k.term
+        ), apart as (
+            select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+            from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+            group by all
+        ), parts as (
+            select g.lang, g.source, 'pair' as part, h.source as item,
+                   cast(coalesce(value, 0) as bigint) as value
+            from groups g join groups h on g.lang = h.lang and g.source <> h.source
+            left join apart x on x.lang = g.lang and x.source = g.source and x.item = h.source
+            union all
+            select lang, source, 'term', term, cast(p - q as bigint) from shares where n > 0 and p > q
+        ), ranked as (
+            select *, cast(row_number() over (
+                partition by lang, source, part order by value desc, item) as integer) as rank
+            from parts
+        )
+        select * from ranked where part = 'pair' or rank <= 50
+    """,
 }
