@@ -8,12 +8,12 @@ import sys
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import islice
-from uuid import uuid4
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
 from reviewloom.llm.common import column, text_of
-from reviewloom.session import shared_dir
 
-#: Bytes of text in a block; a longer document is a block of its own.
-BLOCK_BYTES = 8 << 20
+#: Characters of text at which a block of documents is full, and buckets of words per shuffle partition.
+BLOCK_CHARS = 32 << 20
+BUCKETS_PER_PARTITION = 4
 #: Matches taken from a long text at a time, and what counts as long.
 MATCHES, LONG_TEXT = 1_000_000, 16 << 20
-#: Encoded words that leave a task together, sorted by block.
-PACKED_WORDS = 200_000
+#: Encoded words of a bucket that a task remembers.
+REMEMBERED = 500_000
 #: Up to this length a word's pairs are searched one by one, beyond it they are kept in a heap.
 SHORT_WORD = 40
 
@@ -161,161 +161,158 @@ def _known(lines: bytes) -> dict[bytes, int]:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 3)
+    """Compressed 32-bit numbers, byte by byte: small numbers leave the upper bytes empty."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.compress(planes.tobytes(), 3)
 
 
-def _unpacked(data: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), dtype=dtype)
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _exploder(id_type: pa.DataType, ranks_file, pattern: str):
-    """Blocks of documents become rows: one per distinct word that is no token (``no``, ``word``),
-    and one with the documents, where each ends, and the word at each position (``at``)."""
+#: No byte of a word.
+_END = b"\xff"
+
+
+def _exploder(id_type: pa.DataType, ranks_file, pattern: str, buckets: int, block_chars: int):
+    """Blocks of documents become rows of two kinds.
+
+    A block numbers its distinct words, the most frequent first. Its head holds the documents (``docs``),
+    how many pre-tokens they have up to the end of each (``ends``), the number of the word at each
+    position (``at``), and the tokens of words that are tokens themselves (``tokens``, 0 for others,
+    else the rank and one more). All other words leave in rows by bucket: ``words``, and the steps
+    between their numbers.
+    """
     schema = pa.schema(
-        [("block", pa.int64()), ("no", pa.int32()), ("word", pa.binary()), ("docs", pa.list_(id_type)),
-         ("ends", pa.list_(pa.int64())), ("at", pa.binary())]
+        [("slot", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("steps", pa.binary()),
+         ("docs", pa.list_(id_type)), ("ends", pa.list_(pa.int64())), ("at", pa.binary()), ("tokens", pa.binary())]
     )
 
-    def rows(block: int, docs: list, ends: list[int], at: list[np.ndarray], words: list[bytes]):
-        n = len(words)
-        for start in range(0, n, 50_000):
-            part = words[start : start + 50_000]
-            k = len(part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, block)), pa.array(np.arange(start, start + k, dtype=np.int32)),
-                 pa.array(part, pa.binary()), pa.nulls(k, schema.field("docs").type),
-                 pa.nulls(k, schema.field("ends").type), pa.nulls(k, pa.binary())],
-                schema=schema,
-            )
+    def rows(block: int, docs: list, ends: list[int], at: list[np.ndarray], numbers: dict, ranks: dict):
         stream = np.concatenate(at) if at else np.zeros(0, np.uint32)
+        by_count = np.argsort(-np.bincount(stream, minlength=len(numbers)), kind="stable")
+        number = np.empty(len(by_count), dtype=np.uint32)
+        number[by_count] = np.arange(len(by_count))
+        spelt = list(numbers)
+        tokens = np.zeros(len(spelt), dtype=np.uint32)
+        dealt: dict[int, tuple[list, list]] = {}
+        for no, first in enumerate(by_count.tolist()):
+            word = spelt[first].encode()
+            if word in ranks:
+                tokens[no] = ranks[word] + 1
+                continue
+            held = dealt.setdefault(xxhash.xxh3_64_intdigest(word) % buckets, ([], []))
+            held[0].append(word)
+            held[1].append(no)
+        words = pa.array([_END.join(held[0]) for held in dealt.values()], pa.binary())
+        steps = [_packed(np.diff(np.array(held[1]), prepend=0)) for held in dealt.values()]
+        k = len(dealt)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(dealt), pa.int64()), pa.array(np.full(k, block)),
+             pa.array([zstandard.compress(w.as_py(), 3) for w in words], pa.binary()),
+             pa.array(steps, pa.binary()), *(pa.nulls(k, schema.field(i).type) for i in range(4, 8))],
+            schema=schema,
+        )
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block]), pa.array([n], pa.int32()), pa.nulls(1, pa.binary()),
+            [pa.array([-1 - block]), pa.array([block]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
              pa.array([docs], schema.field("docs").type), pa.array([ends], schema.field("ends").type),
-             pa.array([_packed(stream)], pa.binary())],
+             pa.array([_packed(number[stream])], pa.binary()), pa.array([_packed(tokens)], pa.binary())],
             schema=schema,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _known(ranks_file.value)
-        first_word = max(ranks.values(), default=-1) + 1
-        tokens = {}
-        for token, rank in ranks.items():
-            try:
-                tokens[token.decode()] = rank
-            except UnicodeDecodeError:
-                pass  # part of a character, never a pre-token
         block = TaskContext.get().partitionId() << 32
-        numbers, words, docs, ends, at, held, n = dict(tokens), [], [], [], [], 0, 0
+        numbers, docs, ends, at, held, n = {}, [], [], [], 0, 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 for found in pre_tokens(text, pattern):
                     for word in set(found).difference(numbers):
-                        numbers[word] = first_word + len(words)
-                        words.append(word.encode())
+                        numbers[word] = len(numbers)
                     at.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
                     n += len(found)
                 docs.append(doc)
                 ends.append(n)
                 held += len(text)
-                if held >= BLOCK_BYTES:
-                    yield from rows(block, docs, ends, at, words)
+                if held >= block_chars:
+                    yield from rows(block, docs, ends, at, numbers, ranks)
                     block += 1
-                    numbers, words, docs, ends, at, held, n = dict(tokens), [], [], [], [], 0, 0
+                    numbers, docs, ends, at, held, n = {}, [], [], [], 0, 0
         if docs:
-            yield from rows(block, docs, ends, at, words)
+            yield from rows(block, docs, ends, at, numbers, ranks)
 
     return run, schema
 
 
-_IDS = pa.schema(
-    [("block", pa.int64()), ("nos", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())]
-)
-
-
-def _encoder(ranks_file):
-    """Words in order, each encoded where it first comes; ids leave packed by block."""
-
-    def packed(blocks: np.ndarray, nos: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
-        order = np.argsort(blocks, kind="stable")
-        starts = np.cumsum(sizes) - sizes
-        cuts = np.flatnonzero(np.diff(blocks[order])) + 1
-        columns = [[], [], [], []]
-        for part in np.split(order, cuts):
-            sized = sizes[part]
-            first = np.repeat(starts[part] - (np.cumsum(sized) - sized), sized)
-            values = ids[first + np.arange(sized.sum())]
-            for held, value in zip(
-                columns,
-                (int(blocks[part[0]]), _packed(nos[part].astype("<i4")), _packed(sized.astype("<i4")),
-                 _packed(values.astype("<u4"))),
-            ):
-                held.append(value)
-        return pa.RecordBatch.from_pydict(dict(zip(_IDS.names, columns)), schema=_IDS)
+def _encoder(id_type: pa.DataType, ranks_file):
+    """Words by bucket, each encoded where it first comes; heads pass."""
+    schema = pa.schema(
+        [("block", pa.int64()), ("steps", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()),
+         ("docs", pa.list_(id_type)), ("ends", pa.list_(pa.int64())), ("at", pa.binary()), ("tokens", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _known(ranks_file.value)
-        last, encoded = None, []
-        blocks, nos, sizes, ids, held = [], [], [], [], 0
+        bucket, known = None, {}
         for batch in batches:
-            blocks.append(batch.column(0).to_numpy())
-            nos.append(batch.column(1).to_numpy())
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, encoded = word, merge(word, ranks)
-                sizes.append(len(encoded))
-                ids.extend(encoded)
-            held += batch.num_rows
-            if held >= PACKED_WORDS:
-                yield packed(np.concatenate(blocks), np.concatenate(nos), np.array(sizes), np.array(ids))
-                blocks, nos, sizes, ids, held = [], [], [], [], 0
-        if held:
-            yield packed(np.concatenate(blocks), np.concatenate(nos), np.array(sizes), np.array(ids))
-
-    return run
-
-
-def _gathered(starts: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The runs of ``values`` that begin at ``starts``, one after the other."""
-    before = np.cumsum(sizes) - sizes
-    return values[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
-
-
-def _assembler(id_name: str, id_type: pa.DataType, ranks_file):
-    """Rows of a block, ids first: each position takes the ids of its word."""
+            sizes, ids = [], []
+            for slot, packed in zip(batch.column(0).to_pylist(), batch.column(2)):
+                if not packed.is_valid:
+                    sizes.append(None)
+                    ids.append(None)
+                    continue
+                if slot != bucket or len(known) > REMEMBERED:
+                    bucket, known = slot, {}
+                words = zstandard.decompress(packed.as_py()).split(_END)
+                for word in words:
+                    if word not in known:
+                        known[word] = merge(word, ranks)
+                coded = [known[word] for word in words]
+                sizes.append(_packed(np.fromiter(map(len, coded), np.uint32, len(coded))))
+                ids.append(_packed(np.fromiter(chain.from_iterable(coded), np.uint32)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(3), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary()),
+                 *(batch.column(i) for i in range(4, 8))],
+                schema=schema,
+            )
+
+    return run, schema
+
+
+def _assembler(id_name: str, id_type: pa.DataType):
+    """Rows of a block, its head last: each position takes the ids of its word."""
     schema = pa.schema([(id_name, id_type), ("ids", pa.list_(pa.int32()))])
 
-    def documents(first_word: int, n: int, packs: list, docs, ends: np.ndarray, at: np.ndarray):
-        sizes = np.ones(first_word + n, dtype=np.int64)
-        starts = np.arange(first_word + n, dtype=np.int64)
-        flat, filled = [np.arange(first_word, dtype=np.int32)], first_word
-        for nos, sized, ids in packs:
-            where = first_word + nos
-            sizes[where] = sized
-            starts[where] = filled + np.cumsum(sized) - sized
-            flat.append(ids.astype(np.int32))
+    def documents(tokens: np.ndarray, packs: list, docs: pa.Array, ends: np.ndarray, at: np.ndarray):
+        sizes = np.ones(len(tokens), dtype=np.int64)
+        starts = np.arange(len(tokens), dtype=np.int64)
+        flat, filled = [tokens.astype(np.int64) - 1], len(tokens)
+        for steps, sized, ids in packs:
+            numbers = np.cumsum(steps.astype(np.int64))
+            sized = sized.astype(np.int64)
+            sizes[numbers] = sized
+            starts[numbers] = filled + np.cumsum(sized) - sized
+            flat.append(ids)
             filled += len(ids)
         taken = sizes[at]
         upto = np.concatenate(([0], np.cumsum(taken)))[np.concatenate(([0], ends))]
-        ids = _gathered(starts[at], taken, np.concatenate(flat))
-        lists = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))
+        first = np.repeat(starts[at] - (np.cumsum(taken) - taken), taken)
+        values = np.concatenate(flat).astype(np.int32)[first + np.arange(len(first))]
+        lists = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(values))
         return pa.RecordBatch.from_arrays([docs, lists], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first_word = max(_known(ranks_file.value).values(), default=-1) + 1
-        packs: list = []
+        packs: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                nos, sized, ids, n, docs, ends, at = (batch.column(c)[i] for c in range(1, 8))
-                if nos.is_valid:
-                    packs.append(
-                        (_unpacked(nos.as_py(), "<i4"), _unpacked(sized.as_py(), "<i4"),
-                         _unpacked(ids.as_py(), "<u4"))
-                    )
+                steps, sizes, ids, docs, ends, at, tokens = (batch.column(c)[i] for c in range(1, 8))
+                if steps.is_valid:
+                    packs.append(tuple(_unpacked(x.as_py()) for x in (steps, sizes, ids)))
                     continue
-                ends_at = ends.values.to_numpy(zero_copy_only=False)
-                stream = _unpacked(at.as_py(), "<u4")
-                yield documents(first_word, n.as_py(), packs, docs.values, ends_at, stream)
+                upto = ends.values.to_numpy(zero_copy_only=False)
+                yield documents(_unpacked(tokens.as_py()), packs, docs.values, upto, _unpacked(at.as_py()))
                 packs = []
 
     return run, schema
@@ -335,31 +332,25 @@ def encode(
     separately. Strings of special tokens are ordinary text. An empty text has an empty array, repeated
     and null ids are rows like any other, an empty table gives no rows, other columns are not read.
 
-    1. Texts are cut, and blocks of documents keep each distinct word once, with the words' positions
-       as one packed array (landed). Words that are tokens themselves are told at once by the table.
-    2. All other words are shuffled and sorted by word, so that each distinct word is encoded once. A
-       word comes once per block, however often texts hold it, so no word has more than a small share.
+    1. Texts are cut; a block of documents keeps each distinct word once, and its words' positions as
+       one packed array. Words that are tokens themselves are told at once by the table.
+    2. All other words are shuffled by buckets of their hash, many in a row, and each distinct word of
+       a bucket is encoded once. A block gives a word once however often its texts hold it, so a
+       frequent word is no hot key. ``spark.sql.shuffle.partitions`` sets the number of buckets.
     3. Ids return by block, and each position takes those of its word. Blocks hold whole documents of
-       ``BLOCK_BYTES`` together, or one longer document; nothing larger is gathered.
+       ``BLOCK_CHARS`` characters together, or end with one longer document; nothing larger is gathered.
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select(column(docs, id_col).alias("id"), text_of(docs, text_col).alias("text"))
     id_type = to_arrow_type(rows.schema["id"].dataType)
     shared = spark.sparkContext.broadcast(ranks)
-    run, schema = _exploder(id_type, shared, pattern)
-    name = f"{shared_dir(spark)}/reviewloom/{spark.sparkContext.applicationId}/words-{uuid4().hex[:12]}"
-    exploded = rows.mapInArrow(run, from_arrow_schema(schema))
-    exploded.write.option("compression", "zstd").parquet(name)
-    landed = spark.read.schema(exploded.schema).parquet(name)
-
-    words = landed.where("word is not null").select("block", "no", "word")
-    by_word = words.repartition("word").sortWithinPartitions("word")
-    coded = by_word.mapInArrow(_encoder(shared), from_arrow_schema(_IDS))
-
-    heads = landed.where("word is null").select("block", F.col("no").alias("n"), "docs", "ends", "at")
-    both = coded.unionByName(heads, allowMissingColumns=True)
-    by_block = both.repartition("block").sortWithinPartitions("block", F.col("nos").isNull())
-    run, schema = _assembler(id_col, id_type, shared)
+    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run, schema = _exploder(id_type, shared, pattern, buckets, BLOCK_CHARS)
+    by_word = rows.mapInArrow(run, from_arrow_schema(schema)).repartition("slot").sortWithinPartitions("slot")
+    run, schema = _encoder(id_type, shared)
+    coded = by_word.mapInArrow(run, from_arrow_schema(schema))
+    by_block = coded.repartition("block").sortWithinPartitions("block", F.col("at").isNotNull())
+    run, schema = _assembler(id_col, id_type)
     return by_block.mapInArrow(run, from_arrow_schema(schema))
 
 

@@ -33,7 +33,7 @@ def terms_of(text: str) -> list[bytes]:
     return text.encode().translate(_TABLE).split()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counter(held_terms: int):
     """Counts per group and term of a task's texts; a row without a term says that a group exists."""
 
     def rows(counts: dict[tuple[str, str], dict[bytes, list[int]]]) -> Iterator[pa.RecordBatch]:
@@ -46,31 +46,35 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 schema=COUNTS,
             )
 
-    counts: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-    size = 0
-    for batch in batches:
-        langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for group, text in zip(zip(langs, sources), batch.column(2)):
-            held = counts.setdefault(group, {})
-            size -= len(held)
-            for term, n in Counter(terms_of(text.as_py())).items():
-                if term in held:
-                    both = held[term]
-                    both[0] += n
-                    both[1] += 1
-                else:
-                    held[term] = [n, 1]
-            size += len(held)
-            if size > HELD:
-                yield from rows(counts)
-                counts, size = {}, 0
-    yield from rows(counts)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        size = 0
+        for batch in batches:
+            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for group, text in zip(zip(langs, sources), batch.column(2)):
+                held = counts.setdefault(group, {})
+                size -= len(held)
+                for term, n in Counter(terms_of(text.as_py())).items():
+                    if term in held:
+                        both = held[term]
+                        both[0] += n
+                        both[1] += 1
+                    else:
+                        held[term] = [n, 1]
+                size += len(held)
+                if size > held_terms:
+                    yield from rows(counts)
+                    counts, size = {}, 0
+        yield from rows(counts)
+
+    return run
 
 
 def _share(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(10^9 * (count + 5) / (total + 5 * kept)), exact: decimals hold the product."""
+    """1 + floor(10^9 * (count + 5) / (total + 5 * kept)), exact, as decimals hold the product; without kept terms
+    there is nothing to share."""
     part = (count + 5).cast("decimal(20,0)") * F.lit(1_000_000_000).cast("decimal(10,0)")
-    whole = (total + 5 * kept).cast("decimal(20,0)")
+    whole = F.greatest(total + 5 * kept, F.lit(1)).cast("decimal(20,0)")
     return F.call_function("div", part, whole) + 1
 
 
@@ -81,7 +85,7 @@ _SLICES = pa.schema(
 PARTIAL = pa.schema([("lang", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("value", pa.int64())])
 
 
-def _matrix(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slice(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One slice: the shares of a block of groups for a block of terms, absent ones filled in."""
     lang, groups, terms = (k.as_py() for k in key)
     heads, cells = [], []
@@ -93,20 +97,19 @@ def _matrix(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         heads.append((number[head], p[head], width[head]))
         cells.append((number[~head], place[~head], p[~head]))
     number, p, width = (np.concatenate(x) for x in zip(*heads))
-    out = np.zeros((GROUP_BLOCK, int(width.max(initial=0))), dtype="<i4")
-    out[number - groups * GROUP_BLOCK] = p.astype("<i4")[:, None]
-    for number_, place, p in cells:
-        out[number_ - groups * GROUP_BLOCK, place] = p
-    low, high = int(number.min()), int(number.max())
-    out = out[: high - low + 1]
+    low = int(number.min())
+    shares = np.zeros((int(number.max()) - low + 1, int(width.max())), dtype="<i4")
+    shares[number - low] = p.astype("<i4")[:, None]
+    for number, place, p in cells:
+        shares[number - low, place] = p
     yield pa.RecordBatch.from_pydict(
-        {"lang": [lang], "groups": [groups], "terms": [terms], "low": [low], "matrix": [out.tobytes()],
-         "height": [len(out)]},
+        {"lang": [lang], "groups": [groups], "terms": [terms], "low": [low], "matrix": [shares.tobytes()],
+         "height": [len(shares)]},
         schema=_SLICES,
     )
 
 
-def _cell(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cell(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial divergences of all pairs of a cell: of one block of groups, or between two."""
     slices = []
     for batch in batches:
@@ -161,7 +164,7 @@ def divergences(
         text_of(docs, source_col).alias("source"),
         text_of(docs, text_col).alias("text"),
     )
-    part = texts.mapInArrow(_count, from_arrow_schema(COUNTS))
+    part = texts.mapInArrow(_counter(HELD), from_arrow_schema(COUNTS))
     with text_batches(docs.sparkSession):
         counts = land(
             part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts"
@@ -233,7 +236,7 @@ def _pairs(shares: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame:
         heads.withColumn("place", F.lit(-1)).withColumn("width", F.coalesce("width", F.lit(0))).select(columns)
         .unionByName(shares.select("lang", side, "terms", "number", "place", "p", F.lit(0).alias("width")).select(columns))
     )
-    slices = rows.groupBy("lang", "groups", "terms").applyInArrow(_matrix, from_arrow_schema(_SLICES))
+    slices = rows.groupBy("lang", "groups", "terms").applyInArrow(_slice, from_arrow_schema(_SLICES))
     n_blocks = groups.groupBy("lang").agg((F.max("number") / GROUP_BLOCK).cast("int").alias("last"))
     placed = land(slices, "slices").join(n_blocks, "lang").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("last")))

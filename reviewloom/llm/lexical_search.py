@@ -115,7 +115,7 @@ class _Best:
         self.floor[item[last]] = score[last]
 
 
-def _ranker(id_type: pa.DataType, outputs, n_docs: int, n_terms: int, top: int):
+def _ranker(id_type: pa.DataType, outputs, n_docs: int, n_terms: int, top: int, scored: int):
     """The best rows of a task for each item, from the counts of its texts."""
     schema = pa.schema([("item", pa.int32()), ("id", id_type), ("score", pa.int64())])
 
@@ -130,9 +130,9 @@ def _ranker(id_type: pa.DataType, outputs, n_docs: int, n_terms: int, top: int):
             m = 100 - 90 + (90 * n * n_docs) // max(n_terms, 1)
             row = np.repeat(np.arange(batch.num_rows), held)
             part = out.weight[term] * ((1_000_000_000 * tf) // (1000 * tf + 8 * m[row]))
-            # cut between texts, so that about SCORED outputs are added up at a time
+            # cut between texts, so that about ``scored`` outputs are added up at a time
             upto = np.cumsum(np.bincount(row, out.size[term], batch.num_rows))
-            cuts = np.searchsorted(upto, np.arange(SCORED, upto[-1] if len(upto) else 0, SCORED)) + 1
+            cuts = np.searchsorted(upto, np.arange(scored, upto[-1] if len(upto) else 0, scored)) + 1
             for rows in np.split(np.arange(batch.num_rows), np.unique(cuts)):
                 if not len(rows):
                     continue
@@ -240,7 +240,7 @@ def _search_block(docs: DataFrame, block: list, top: int, id_col: str, text_col:
         np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(d) + 1))) for d in df], dtype=np.int64),
         np.cumsum(size) - size, size, pair_item[order], len(block),
     )
-    run, schema = _ranker(id_type, spark.sparkContext.broadcast(outputs), n_docs, n_terms, top)
+    run, schema = _ranker(id_type, spark.sparkContext.broadcast(outputs), n_docs, n_terms, top, SCORED)
     best = counted.where(F.size("terms") > 0).mapInArrow(run, from_arrow_schema(schema))
     by_score = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     ranked = best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= top)

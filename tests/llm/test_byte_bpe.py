@@ -65,13 +65,11 @@ def test_long_texts_are_taken_in_parts(monkeypatch):
     assert max(map(len, parts)) == 7 and [w for p in parts for w in p] == whole
 
 
-@pytest.mark.parametrize("block", [1, 200, byte_bpe.BLOCK_BYTES])
+@pytest.mark.parametrize("block", [1, 200, byte_bpe.BLOCK_CHARS])
 def test_round_trip_equals_the_library(spark, ranks, library, monkeypatch, block):
     texts = [*corpus(11, 30), (None, "null id"), (7, "same id"), (7, "same id")]
     texts += [(1000 + i, t) for i, t in enumerate(odd_texts(150))]
-    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", block)
-    run, schema = byte_bpe._exploder(byte_bpe.pa.int64(), type("B", (), {"value": ranks}), PATTERN)
-    monkeypatch.setattr(byte_bpe, "_exploder", lambda *a: _bound(run, schema, block))
+    monkeypatch.setattr(byte_bpe, "BLOCK_CHARS", block)
     rows = byte_bpe.decode(
         byte_bpe.encode(table(spark, texts, extra=True), ranks, PATTERN), ranks
     ).collect()
@@ -80,19 +78,6 @@ def test_round_trip_equals_the_library(spark, ranks, library, monkeypatch, block
     assert got == want
 
 
-def _bound(run, schema, block):
-    """The block size is read in the workers, where the patched value must be set as well."""
-
-    def sized(batches):
-        byte_bpe.BLOCK_BYTES, before = block, byte_bpe.BLOCK_BYTES
-        try:
-            yield from run(batches)
-        finally:
-            byte_bpe.BLOCK_BYTES = before
-
-    return sized, schema
-
-
 def test_empty_table_and_decoding_alone(spark, ranks, library):
     assert byte_bpe.encode(table(spark, []), ranks, PATTERN).count() == 0
     ids = library.encode_ordinary("some text, décodé")
