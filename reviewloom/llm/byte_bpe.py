@@ -23,12 +23,13 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 from reviewloom.llm.common import column, text_of
 
 #: Characters of text at which a block of documents is full, and buckets of words per shuffle partition.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 16 << 20
 BUCKETS_PER_PARTITION = 4
 #: Matches taken from a long text at a time, and what counts as long.
 MATCHES, LONG_TEXT = 1_000_000, 16 << 20
-#: Encoded words of a bucket that a task remembers.
+#: Encoded words of a bucket that a task remembers, and positions that are put together at a time.
 REMEMBERED = 500_000
+ASSEMBLED = 500_000
 #: Up to this length a word's pairs are searched one by one, beyond it they are kept in a heap.
 SHORT_WORD = 40
 
@@ -288,20 +289,26 @@ def _assembler(id_name: str, id_type: pa.DataType):
     def documents(tokens: np.ndarray, packs: list, docs: pa.Array, ends: np.ndarray, at: np.ndarray):
         sizes = np.ones(len(tokens), dtype=np.int64)
         starts = np.arange(len(tokens), dtype=np.int64)
-        flat, filled = [tokens.astype(np.int64) - 1], len(tokens)
+        flat, filled = [tokens.astype(np.int32) - 1], len(tokens)
         for steps, sized, ids in packs:
-            numbers = np.cumsum(steps.astype(np.int64))
-            sized = sized.astype(np.int64)
+            numbers = np.cumsum(steps, dtype=np.int64)
             sizes[numbers] = sized
-            starts[numbers] = filled + np.cumsum(sized) - sized
-            flat.append(ids)
+            starts[numbers] = filled + np.cumsum(sized, dtype=np.int64) - sized
+            flat.append(ids.astype(np.int32))
             filled += len(ids)
-        taken = sizes[at]
-        upto = np.concatenate(([0], np.cumsum(taken)))[np.concatenate(([0], ends))]
-        first = np.repeat(starts[at] - (np.cumsum(taken) - taken), taken)
-        values = np.concatenate(flat).astype(np.int32)[first + np.arange(len(first))]
-        lists = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(values))
-        return pa.RecordBatch.from_arrays([docs, lists], schema=schema)
+        flat = np.concatenate(flat)
+        cuts = np.searchsorted(ends, np.arange(ASSEMBLED, ends[-1], ASSEMBLED)) + 1
+        for part in np.split(np.arange(len(ends)), np.unique(cuts)):
+            if not len(part):
+                continue
+            before = ends[part[0] - 1] if part[0] else 0
+            own = at[before : ends[part[-1]]]
+            taken = sizes[own]
+            upto = np.concatenate(([0], np.cumsum(taken)))
+            values = flat[np.repeat(starts[own] - upto[:-1], taken) + np.arange(upto[-1])]
+            offsets = np.concatenate(([0], upto[ends[part] - before]))
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+            yield pa.RecordBatch.from_arrays([docs.slice(part[0], len(part)), lists], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packs: list[tuple[np.ndarray, ...]] = []
@@ -312,8 +319,8 @@ def _assembler(id_name: str, id_type: pa.DataType):
                     packs.append(tuple(_unpacked(x.as_py()) for x in (steps, sizes, ids)))
                     continue
                 upto = ends.values.to_numpy(zero_copy_only=False)
-                yield documents(_unpacked(tokens.as_py()), packs, docs.values, upto, _unpacked(at.as_py()))
-                packs = []
+                given, packs = packs, []
+                yield from documents(_unpacked(tokens.as_py()), given, docs.values, upto, _unpacked(at.as_py()))
 
     return run, schema
 
