@@ -6,19 +6,25 @@ subjects of any term are the part of one island up to an anchor noun. Predicates
 predicate words of one or two gaps, or, where the own sentence has no subject, of a run of
 sentences.
 
-One window per review numbers the tokens and looks at their neighbours; the words that play a role
-are then gathered into one array per review, whose size the length limit bounds, and all else is
-array expressions on that row. Both steps use the partitioning by ``row_id`` that tokens come with.
+One window per review numbers the tokens, counts the subject nouns and predicates up to each, and
+looks at their neighbours; the words that play a role are then gathered into one array per review.
+Nouns and predicates carry pointers: the island, the counts, the neighbours of the same lemma. So
+whatever a term needs is an element at a known place or a range between two, and a review costs time
+in proportion to its words and to what is found. Both steps use the partitioning by ``row_id`` that
+tokens come with.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from reviewloom.functions.arrays import let, places, spread
+
 
 @dataclass(frozen=True)
 class TokenRules:
@@ -104,6 +110,11 @@ def modifies_noun(rules: TokenRules = JAPANESE_RULES) -> Column:
     )
 
 
+def _count_upto(flag: str) -> Column:
+    so_far = _reading().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.count_if(F.col(flag)).over(so_far).cast("int")
+
+
 def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     """One row per review: the words that play a role, in reading order, and their roles as letters.
 
@@ -125,7 +136,8 @@ def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
         .otherwise(PLAIN)
     )
     word = F.struct(
-        "index", "sentence", "role", "kind", "is_predicate", "lemma", "entity", "issue_category", "polarities")
+        "index", "sentence", "nouns_upto", "verbs_upto", "role", "kind", "is_predicate", "lemma", "entity",
+        "issue_category", "polarities")
     words = F.array_sort(F.collect_list(word))
     letters = F.array_join(
         F.transform(
@@ -138,7 +150,7 @@ def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     return (
         roles.select(
             "row_id", "run_id", "review_id", (F.row_number().over(_reading()) - 1).alias("index"), "sentence",
-            "is_predicate", "lemma", "entity", "issue_category", "polarities", kind.alias("kind"), role.alias("role"))
+            _count_upto("is_subject").alias("nouns_upto"), _count_upto("is_predicate").alias("verbs_upto"), "is_predicate", "lemma", "entity", "issue_category", "polarities", kind.alias("kind"), role.alias("role"))
         .where((F.col("role") != PLAIN) | F.col("polarities").isNotNull())
         .groupBy("row_id", "run_id", "review_id")
         .agg(words.alias("words"))
@@ -147,209 +159,325 @@ def gather(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
 
 
 def find_nouns(gathered: DataFrame) -> DataFrame:
-    """Add the numbered subject ``nouns``, and ``heads``, the numbers that start an island."""
-    nouns = F.transform(
-        F.filter("words", lambda w: w["role"] == SUBJECT),
-        lambda w, i: F.struct(
+    """Add the numbered subject ``nouns``, each with the number of the first noun of its island and
+    the predicates up to it."""
+    # gap n, from 0, is the one before noun n + 1; the last gap, after all nouns, starts nothing
+    heads = places(F.slice("gaps", F.lit(1), F.size("gaps") - 1), lambda gap, i: (i == 0) | gap.rlike(_APART))
+    islands = spread(heads, lambda head, _: head + 1, F.size("gaps") - 1)
+    nouns = let(
+        F.struct(F.filter("words", lambda w: w["role"] == SUBJECT).alias("words"), islands.alias("islands")),
+        lambda found: F.transform(found["words"], lambda w, i: F.struct(
             w["index"].alias("index"), w["sentence"].alias("sentence"), (i + 1).alias("nth"),
+            F.get(found["islands"], i).alias("island"), w["verbs_upto"].alias("verbs_upto"),
             w["lemma"].alias("lemma"), w["entity"].alias("entity"),
-        ),
-    )
-    # gap n is the one before noun n; the last gap, after all nouns, starts nothing that exists
-    heads = F.filter(
-        F.sequence(F.lit(1), F.size("gaps")), lambda n: (n == 1) | F.get("gaps", n - 1).rlike(_APART)
+        )),
     )
-    return gathered.withColumns({"nouns": nouns, "heads": heads})
-
+    return gathered.withColumn("nouns", nouns)
 
-def island(nth: Column) -> Column:
-    """Number of the first noun of a noun's island."""
-    return F.array_max(F.filter("heads", lambda head: head <= nth))
 
+def _verbs(words: Column) -> Column:
+    """The numbered predicates, each with pointers to others of the same lemma.
 
-def find_terms(with_nouns: DataFrame) -> DataFrame:
-    """Add ``terms`` and ``verbs``, each word with the number of subject nouns up to it.
-
-    Only reviews with a polarity term are kept.
+    ``before`` and ``after`` are the numbers of its neighbours (0 and a number beyond all without one),
+    ``last`` is the number of the last one in the same sentence, and ``fresh`` tells that no earlier
+    sentence has one. All of them are read off the order by lemma and number.
     """
-
-    def nth(word: Column) -> Column:
-        return F.size(F.filter("nouns", lambda n: n["index"] <= word["index"])).alias("nth")
-
-    term = F.filter("words", lambda w: w["polarities"].isNotNull())
-    verb = F.filter("words", lambda w: w["is_predicate"])
-    return with_nouns.where(F.exists("words", lambda w: w["polarities"].isNotNull())).select(
-        "row_id", "run_id", "review_id", "nouns", "heads",
-        F.transform(term, lambda w: F.struct(
-            w["index"].alias("index"), w["sentence"].alias("sentence"), nth(w), (w["role"] == SUBJECT).alias("is_subject"),
-            w["kind"].alias("kind"), w["lemma"].alias("lemma"), w["entity"].alias("entity"),
-            w["issue_category"].alias("issue_category"), w["polarities"].alias("polarities"),
-        )).alias("terms"),
-        F.transform(verb, lambda w: F.struct(
-            w["index"].alias("index"), w["sentence"].alias("sentence"), nth(w), w["lemma"].alias("lemma"),
-            w["issue_category"].alias("issue_category"),
-        )).alias("verbs"),
+    ordered = F.array_sort(F.transform(
+        F.filter(words, lambda w: w["is_predicate"]),
+        lambda w: F.struct(
+            w["lemma"].alias("lemma"), w["verbs_upto"].alias("number"), w["index"].alias("index"),
+            w["sentence"].alias("sentence"), w["nouns_upto"].alias("nth"), w["issue_category"].alias("issue_category"),
+        )))
+
+    def linked(by_lemma: Column) -> Column:
+        size = F.size(by_lemma)
+
+        def differs(x: Column, other: Column, *names: str) -> Column:
+            same = F.lit(True)
+            for name in names:
+                same = same & (x[name] == other[name])
+            return ~F.coalesce(same, F.lit(False))
+
+        lemmas = places(by_lemma, lambda x, i: differs(x, F.get(by_lemma, i - 1), "lemma"))
+        runs = places(by_lemma, lambda x, i: differs(x, F.get(by_lemma, i - 1), "lemma", "sentence"))
+        first_sentence = spread(lemmas, lambda i, _: F.get(by_lemma, i)["sentence"], size)
+        last = let(runs, lambda at: F.flatten(F.transform(at, lambda start, i: let(
+            F.coalesce(F.get(at, i + 1), size),
+            lambda stop: F.array_repeat(F.get(by_lemma, stop - 1)["number"], stop - start)))))
+
+        def pointers(found: Column) -> Column:
+            def verb(x: Column, i: Column) -> Column:
+                before, after = F.get(by_lemma, i - 1), F.get(by_lemma, i + 1)
+                return F.struct(
+                    x["number"].alias("number"), x["index"].alias("index"), x["sentence"].alias("sentence"),
+                    x["nth"].alias("nth"), x["lemma"].alias("lemma"), x["issue_category"].alias("issue_category"),
+                    F.when(differs(x, before, "lemma"), 0).otherwise(before["number"]).alias("before"),
+                    F.when(differs(x, after, "lemma"), size + 1).otherwise(after["number"]).alias("after"),
+                    F.get(found["last"], i).alias("last"),
+                    (F.get(found["first_sentence"], i) == x["sentence"]).alias("fresh"),
+                )
+
+            return F.transform(by_lemma, verb)
+
+        return let(F.struct(first_sentence.alias("first_sentence"), last.alias("last")), pointers)
+
+    return F.array_sort(let(ordered, linked))
+
+
+def _upto_sentence(items: Column, sentences: Column) -> Column:
+    """At place s the number of items in sentences up to s, for all sentences from 0."""
+    return let(items, lambda x: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(x)),
+        lambda n: F.array_repeat(
+            n, F.coalesce(F.get(x, n)["sentence"], sentences + 1) - F.coalesce(F.get(x, n - 1)["sentence"], F.lit(0))),
+    )))
+
+
+class _Review:
+    """The arrays of one review, and what stands where; numbers of nouns and predicates start at 1."""
+
+    def __init__(self, arrays: Column) -> None:
+        self.nouns, self.verbs = arrays["nouns"], arrays["verbs"]
+        self.nouns_by, self.verbs_by = arrays["nouns_by"], arrays["verbs_by"]
+
+    def noun(self, nth: Column) -> Column:
+        return F.get(self.nouns, nth - 1)
+
+    def verb(self, number: Column) -> Column:
+        return F.get(self.verbs, number - 1)
+
+    def nouns_upto(self, sentence: Column) -> Column:
+        return F.coalesce(F.get(self.nouns_by, sentence), F.lit(0))
+
+    def verbs_upto(self, sentence: Column) -> Column:
+        return F.coalesce(F.get(self.verbs_by, sentence), F.lit(0))
+
+    def last_noun(self, sentence: Column) -> Column:
+        """Number of the last noun of a sentence, NULL if it has none."""
+        upto = self.nouns_upto(sentence)
+        return F.when(upto > self.nouns_upto(sentence - 1), upto)
+
+    def gap_start(self, nth: Column) -> Column:
+        """Number of the first predicate after noun ``nth`` (0: of all), whether or not another noun is nearer."""
+        return F.coalesce(self.noun(nth)["verbs_upto"], F.lit(0)) + 1
+
+    def gap_end(self, nth: Column) -> Column:
+        """Number of the last predicate before the noun after ``nth``."""
+        return F.coalesce(self.noun(nth + 1)["verbs_upto"], F.size(self.verbs))
+
+    def up(self, low: Column, high: Column, kept: Callable[[Column], Column]) -> Column:
+        """Numbers of the predicates kept from ``low`` to ``high``, in this order."""
+        return self._kept(F.when(low <= high, F.sequence(low, high, F.lit(1))), kept)
+
+    def down(self, high: Column, low: Column, kept: Callable[[Column], Column]) -> Column:
+        return self._kept(F.when(low <= high, F.sequence(high, low, F.lit(-1))), kept)
+
+    def _kept(self, numbers: Column, kept: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.filter(numbers, lambda n: kept(self.verb(n))), F.array().cast("array<int>"))
+
+
+def _surroundings(r: _Review, t: Column) -> Column:
+    """What stands around a term: in its own sentence, and the nearest nouns."""
+    own, nth, upto = t["sentence"], t["nouns_upto"], t["verbs_upto"]
+    start, end = r.verbs_upto(own - 1), r.verbs_upto(own)
+    noun_before = nth - (t["role"] == SUBJECT).cast("int")
+    return F.struct(
+        start.alias("start"), end.alias("end"),  # predicates before the own sentence, and up to its end
+        r.last_noun(own).alias("own_last"),
+        F.when(upto > start, r.verb(upto)["nth"]).alias("verb_before"),
+        F.when(upto < end, r.verb(upto + 1)["nth"]).alias("verb_after"),
+        # sentence of the nearest noun at or before the term, and of the first noun
+        r.noun(nth)["sentence"].alias("near"), r.noun(F.lit(1))["sentence"].alias("first"),
+        noun_before.alias("noun_before"), r.noun(noun_before)["sentence"].alias("noun_before_sentence"),
     )
 
 
-def _last_nth(items: Column, sentence: Column) -> Column:
-    """Gap number of the last item of a sentence, NULL if it has none."""
-    return F.try_element_at(F.filter(items, lambda x: x["sentence"] == sentence), F.lit(-1))["nth"]
-
-
-def classify(found: DataFrame) -> DataFrame:
-    """One row per term, with the case that applies, its anchor noun and its predicate bounds."""
-    # the outer form, as the inner one would have the optimiser build terms twice to skip empty arrays
-    rows = found.select("*", F.explode_outer("terms").alias("t")).drop("terms")
-    t, nouns, verbs = F.col("t"), F.col("nouns"), F.col("verbs")
-    own, at, nth, kind = t["sentence"], t["index"], t["nth"], t["kind"]
-    rows = rows.withColumns({
-        "own_last": _last_nth(nouns, own),
-        "verb_before": F.try_element_at(
-            F.filter(verbs, lambda v: (v["sentence"] == own) & (v["index"] <= at)), F.lit(-1))["nth"],
-        "verb_after": F.try_element_at(
-            F.filter(verbs, lambda v: (v["sentence"] == own) & (v["index"] > at)), F.lit(1))["nth"],
-        # sentence of the nearest noun at or before the term, else of the first noun
-        "near": F.when(nth > 0, F.try_element_at(nouns, nth)["sentence"]),
-        "first": F.try_element_at(nouns, F.lit(1))["sentence"],
-        "noun_before": nth - t["is_subject"].cast("int"),
-    })
-    before, after = F.col("verb_before"), F.col("verb_after")
-    own_noun = F.coalesce(F.col("near") == own, F.lit(False))
-    noun_before_own = (F.col("noun_before") > 0) & (
-        F.try_element_at(nouns, F.greatest(F.col("noun_before"), F.lit(1)))["sentence"] == own
-    )
-    rows = rows.withColumn(
-        "rule",
+def _rule(t: Column, around: Column) -> Column:
+    """The case that applies to a term."""
+    own, kind = t["sentence"], t["kind"]
+    return (
         F.when(
             kind == "noun",
-            F.when(F.coalesce(after == nth, F.lit(False)), "noun_then_predicate")
-            .when(F.coalesce(noun_before_own, F.lit(False)), "noun_as_predicate")
+            F.when(around["verb_after"] == t["nouns_upto"], "noun_then_predicate")
+            .when(around["noun_before_sentence"] == own, "noun_as_predicate")
             .otherwise("noun_alone"),
         )
         .when(kind == "modifier", "modifier")
         .when(kind == "other", "other")
-        .when(own_noun, "subject_before")
-        .when(F.col("own_last").isNotNull(), "subject_after")
-        .when(F.col("near").isNotNull(), "earlier_sentence")
-        .when(F.col("first").isNotNull(), "later_sentence")
-        .otherwise("no_subject"),
+        .when(around["near"] == own, "subject_before")
+        .when(around["own_last"].isNotNull(), "subject_after")
+        .when(around["near"].isNotNull(), "earlier_sentence")
+        .when(around["first"].isNotNull(), "later_sentence")
+        .otherwise("no_subject")
     )
-    rule = F.col("rule")
-    # sentence holding the anchor when the own sentence has none
-    other = F.when(rule == "earlier_sentence", F.col("near")).when(rule == "later_sentence", F.col("first"))
-    rows = rows.withColumn("other", other)
-    rows = rows.withColumns({"other_last": _last_nth(nouns, F.col("other")), "other_verb": _last_nth(verbs, F.col("other"))})
-    after_noun = F.try_element_at(nouns, F.greatest(after, F.lit(1)))
-    anchor = (
-        F.when(rule == "noun_then_predicate", F.when(own_noun, nth))
-        .when(rule == "noun_as_predicate", F.col("noun_before"))
+
+
+def _anchor(r: _Review, t: Column, around: Column, rule: Column) -> Column:
+    """Number of the noun up to which subjects reach, NULL without subjects."""
+    own, nth, after = t["sentence"], t["nouns_upto"], around["verb_after"]
+    return (
+        F.when(rule == "noun_then_predicate", F.when(around["near"] == own, nth))
+        .when(rule == "noun_as_predicate", around["noun_before"])
         .when(
             rule == "modifier",
-            F.when(after.isNull(), F.col("own_last")).when((after > 0) & (after_noun["sentence"] == own), after),
+            F.when(after.isNull(), around["own_last"]).when(r.noun(after)["sentence"] == own, after),
         )
         .when(rule.isin("subject_before", "earlier_sentence"), nth)
-        .when(rule == "subject_after", F.col("own_last"))
-        .when(rule == "later_sentence", F.col("other_last"))
+        .when(rule == "subject_after", around["own_last"])
+        .when(rule == "later_sentence", r.last_noun(around["first"]))
     )
-    # predicates between the own sentence and the one with the anchor, all in the gap before it
-    between = F.exists(
-        verbs,
-        lambda v: F.when(
-            rule == "earlier_sentence", (v["nth"] == nth) & (v["sentence"] >= F.col("other")) & (v["sentence"] <= own)
-        ).otherwise(v["sentence"] < F.col("other")),
-    )
-    return rows.withColumns({"anchor": anchor, "between": F.when(F.col("other").isNotNull(), between)})
-
-
-def _candidates(verbs: Column) -> Column:
-    """Predicates in reach of a term, each with its place in the walk."""
-    t, rule = F.col("t"), F.col("rule")
-    own, at, nth = t["sentence"], t["index"], t["nth"]
-    start = F.coalesce("verb_before", "verb_after")
-    other, between = F.col("other"), F.col("between")
-
-    def near(v: Column) -> Column:
-        return (v["sentence"] == own) & ((v["nth"] == nth) | F.coalesce(v["nth"] == start, F.lit(False)))
-
-    def reach(v: Column) -> Column:
-        same = v["sentence"] == own
-        return (
-            F.when(rule == "noun_then_predicate", same & (v["nth"] == nth) & (v["index"] > at))
-            .when(
-                rule == "noun_as_predicate",
-                same & (v["nth"] == F.col("noun_before")) & (v["index"] < at) & (v["lemma"] != t["lemma"]),
-            )
-            .when(rule == "modifier", same & (v["nth"] == F.col("verb_after")) & (v["index"] > at))
-            .when(rule == "subject_before", near(v))
-            .when(rule == "subject_after", near(v) | (same & (v["nth"] == F.col("own_last"))))
-            .when(
-                rule == "earlier_sentence",
-                F.when(between, (v["nth"] == nth) & (v["sentence"] >= other) & (v["sentence"] <= own))
-                .otherwise((v["sentence"] == other) & (v["nth"] == F.col("other_verb"))),
-            )
-            .when(
-                rule == "later_sentence",
-                F.when(between, (v["sentence"] < other) | ((v["sentence"] == other) & (v["nth"] == F.col("other_last"))))
-                .otherwise((v["sentence"] == other) & (v["nth"] == F.col("other_verb"))),
-            )
-            .otherwise(rule == "no_subject")
-        )
 
-    def walk(v: Column) -> Column:
-        index, sentence = v["index"], v["sentence"]
-        leg = (
-            F.when((sentence == own) & (index <= at), 0)
-            .when((sentence == own) & (near(v) | (rule != "subject_after")), 1)
-            .when(sentence == own, 2)
-            .when(sentence < own, 3)
-            .otherwise(4)
-        )
-        major = F.when(leg == 1, index).when(leg == 4, sentence).otherwise(-index)
-        return F.struct(leg.alias("leg"), major.alias("major"), (-index).alias("minor"), v.alias("verb"))
 
-    return F.transform(
-        F.array_sort(F.transform(F.filter(verbs, lambda v: F.coalesce(reach(v), F.lit(False))), walk)),
-        lambda w: w["verb"],
-    )
+def _predicates(r: _Review, t: Column, around: Column, rule: Column) -> Column:
+    """Numbers of a term's predicates in the order of the walk, the first of each lemma.
 
+    A walk consists of ranges of predicate numbers. Within one, and between neighbouring ranges, a
+    predicate is the first of its lemma if the pointer to its neighbour leads out of what was walked.
+    """
+    nth, upto = t["nouns_upto"], t["verbs_upto"]
+    start, end = around["start"], around["end"]
+
+    def own_sentence(low: Column, high: Column) -> list[Column]:
+        """From the term back to ``low``, then on to ``high``."""
+        return [
+            r.down(upto, low, lambda v: v["after"] > upto),
+            r.up(upto + 1, high, lambda v: v["before"] < low),
+        ]
+
+    def near() -> Column:
+        """The gap of the term and that of the predicate before it, or else after it."""
+        before, after = around["verb_before"], around["verb_after"]
+        low = F.when(before.isNotNull(), F.greatest(start + 1, r.gap_start(before))).otherwise(upto + 1)
+        high = F.when(before.isNotNull() | after.isNull(), F.least(end, r.gap_end(nth))).otherwise(
+            F.least(end, r.gap_end(after)))
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    def after_the_nouns(gaps: Column, found: Column) -> Column:
+        """What follows the own sentence's last noun, from its end, but for lemmas already found."""
+        low = F.greatest(r.gap_start(around["own_last"]), gaps["high"] + 1)
+        rest = r.down(end, low, lambda v: v["last"] == v["number"])
+        return F.array_except(rest, F.transform(found, lambda n: r.verb(n)["last"]))
+
+    def gap_of_last(sentence: Column) -> Column:
+        """The gap of the last predicate of another sentence."""
+        low, high = r.verbs_upto(sentence - 1), r.verbs_upto(sentence)
+        gap = F.greatest(low + 1, r.gap_start(r.verb(high)["nth"]))
+        return F.when(high > low, r.down(high, gap, lambda v: v["after"] > high)).otherwise(
+            F.array().cast("array<int>"))
+
+    def backward(gap: Column) -> Column:
+        """Through the own sentence, then back to the noun before."""
+        low = F.greatest(gap["low"], start + 1)
+        return F.concat(
+            *own_sentence(low, gap["high"]), r.down(start, gap["low"], lambda v: v["after"] > gap["high"]))
+
+    def all_upto(last: Column) -> list[Column]:
+        """Own sentence, sentences before it backward, sentences after it forward, each from its end."""
+        later = r.up(end + 1, last, lambda v: v["fresh"] & (v["last"] == v["number"]))
+        in_order = F.array_sort(F.transform(
+            later, lambda n: F.struct(r.verb(n)["sentence"].alias("sentence"), (-n).alias("minus"))))
+        return [
+            *own_sentence(start + 1, end), r.down(start, F.lit(1), lambda v: v["after"] > end),
+            F.transform(in_order, lambda x: -x["minus"]),
+        ]
+
+    def forward(first: Column) -> Column:
+        """Everything before the sentence of the first noun, then what follows that sentence's nouns."""
+        low, high = r.verbs_upto(first - 1), r.verbs_upto(first)
+        anchor_gap = F.greatest(low + 1, r.gap_start(r.last_noun(first)))
+        return F.concat(
+            *all_upto(low), r.down(high, anchor_gap, lambda v: v["fresh"] & (v["last"] == v["number"])))
+
+    to_earlier = F.struct(
+        r.gap_start(nth).alias("low"), F.least(r.gap_end(nth), end).alias("high"))
+    noun_before = around["noun_before"]
+    behind = F.struct(
+        F.greatest(start + 1, r.gap_start(noun_before)).alias("low"), F.least(upto, r.gap_end(noun_before)).alias("high"))
+
+    def ahead(nth: Column) -> Column:
+        return r.up(upto + 1, F.least(end, r.gap_end(nth)), lambda v: v["before"] <= upto)
 
-def _first_per_lemma(verbs: Column) -> Column:
-    lemmas = F.transform(verbs, lambda v: v["lemma"])
-    return F.filter(verbs, lambda v, i: F.array_position(lemmas, v["lemma"]) == i + 1)
+    return (
+        F.when(rule == "noun_then_predicate", ahead(nth))
+        .when(rule == "modifier", F.when(around["verb_after"].isNotNull(), ahead(around["verb_after"])))
+        .when(
+            rule == "noun_as_predicate",
+            let(behind, lambda gap: r.down(
+                gap["high"], gap["low"], lambda v: (v["after"] > gap["high"]) & (v["lemma"] != t["lemma"]))),
+        )
+        .when(rule == "subject_before", let(near(), lambda gaps: F.concat(*own_sentence(gaps["low"], gaps["high"]))))
+        .when(
+            rule == "subject_after",
+            let(near(), lambda gaps: let(
+                F.concat(*own_sentence(gaps["low"], gaps["high"])),
+                lambda found: F.concat(found, after_the_nouns(gaps, found)))),
+        )
+        .when(
+            rule == "earlier_sentence",
+            let(to_earlier, lambda gap: F.when(gap["low"] <= gap["high"], backward(gap)).otherwise(
+                gap_of_last(around["near"]))),
+        )
+        .when(
+            rule == "later_sentence",
+            F.when(r.verbs_upto(around["first"] - 1) > 0, forward(around["first"])).otherwise(
+                gap_of_last(around["first"])),
+        )
+        .when(rule == "no_subject", F.concat(*all_upto(F.size(r.verbs))))
+    )
 
 
 _SUBJECTS = "array<struct<index:int,lemma:string,entity:string>>"
 _PREDICATES = "array<struct<index:int,lemma:string,issue_category:string>>"
 
 
+def _pair(r: _Review, t: Column) -> Column:
+    """Rule, subjects and predicates of one term."""
+    as_subject = F.array(F.struct(t["index"].alias("index"), t["lemma"].alias("lemma"), t["entity"].alias("entity")))
+    as_verb = F.array(F.struct(
+        t["index"].alias("index"), t["lemma"].alias("lemma"), t["issue_category"].alias("issue_category")))
+
+    def found(around: Column, rule: Column, anchor: Column, walked: Column) -> Column:
+        nouns = F.transform(F.sequence(r.noun(anchor)["island"], anchor), lambda n: let(r.noun(n), lambda s: F.struct(
+            s["index"].alias("index"), s["lemma"].alias("lemma"), s["entity"].alias("entity"))))
+        verbs = F.coalesce(
+            F.transform(walked, lambda n: let(r.verb(n), lambda v: F.struct(
+                v["index"].alias("index"), v["lemma"].alias("lemma"), v["issue_category"].alias("issue_category")))),
+            F.array().cast(_PREDICATES),
+        )
+        return F.struct(
+            t["index"].alias("term_index"), t["lemma"].alias("term"), t["polarities"].alias("polarities"),
+            rule.alias("rule"),
+            F.when(rule == "noun_alone", as_subject).when(anchor.isNotNull(), nouns)
+            .otherwise(F.array()).cast(_SUBJECTS).alias("subjects"),
+            F.when(rule.isin("noun_alone", "other"), F.array())
+            .when(rule == "noun_as_predicate", F.concat(as_verb, verbs))
+            .when(rule == "modifier", F.concat(verbs, as_verb))
+            .otherwise(verbs).cast(_PREDICATES).alias("predicates"),
+        )
+
+    return let(_surroundings(r, t), lambda around: let(_rule(t, around), lambda rule: let(
+        _anchor(r, t, around, rule), lambda anchor: let(
+            _predicates(r, t, around, rule), lambda walked: found(around, rule, anchor, walked)))))
+
+
 def extract_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
     """One row per polarity term: ``subjects`` and ``predicates`` as arrays of tagged words.
 
-    ``tokens`` holds kept words with ``sentence`` and ``place`` and the tags ``polarities``, ``entity``
-    and ``issue_category``. Empty arrays mean none was found.
+    ``tokens`` holds kept words with ``sentence`` (from 0 or 1, ascending) and ``place`` and the tags
+    ``polarities``, ``entity`` and ``issue_category``. Empty arrays mean none was found.
     """
-    rows = classify(find_terms(find_nouns(gather(tokens, rules)))).withColumn("walked", _candidates(F.col("verbs")))
-    t, rule, anchor = F.col("t"), F.col("rule"), F.col("anchor")
-    first = F.coalesce(island(anchor), F.lit(1))
-    nouns = F.transform(
-        F.slice("nouns", first, anchor - first + 1),
-        lambda s: F.struct(s["index"].alias("index"), s["lemma"].alias("lemma"), s["entity"].alias("entity")),
-    )
-    as_subject = F.array(F.struct(t["index"].alias("index"), t["lemma"].alias("lemma"), t["entity"].alias("entity")))
-    as_verb = F.array(F.struct(
-        t["index"].alias("index"), t["lemma"].alias("lemma"), t["issue_category"].alias("issue_category")))
-    verbs = F.transform(
-        _first_per_lemma(F.col("walked")),
-        lambda v: F.struct(v["index"].alias("index"), v["lemma"].alias("lemma"), v["issue_category"].alias("issue_category")),
-    )
-    return rows.select(
-        "run_id", "review_id", "row_id",
-        t["index"].alias("term_index"), t["lemma"].alias("term"), t["polarities"].alias("polarities"), "rule",
-        F.when(rule == "noun_alone", as_subject).when(anchor.isNotNull(), nouns)
-        .otherwise(F.array()).cast(_SUBJECTS).alias("subjects"),
-        F.when(rule.isin("noun_alone", "other"), F.array())
-        .when(rule == "noun_as_predicate", F.concat(as_verb, verbs))
-        .when(rule == "modifier", F.concat(verbs, as_verb))
-        .otherwise(verbs).cast(_PREDICATES).alias("predicates"),
+    reviews = gather(tokens, rules).where(F.exists("words", lambda w: w["polarities"].isNotNull()))
+    sentences = F.try_element_at("words", F.lit(-1))["sentence"]
+    arrays = let(
+        F.struct(F.col("nouns"), _verbs(F.col("words")).alias("verbs"), sentences.alias("sentences")),
+        lambda x: F.struct(
+            x["nouns"].alias("nouns"), x["verbs"].alias("verbs"),
+            _upto_sentence(x["nouns"], x["sentences"]).alias("nouns_by"),
+            _upto_sentence(x["verbs"], x["sentences"]).alias("verbs_by"),
+        ),
     )
+    terms = F.filter("words", lambda w: w["polarities"].isNotNull())
+    pairs = let(arrays, lambda x: F.transform(terms, lambda t: _pair(_Review(x), t)))
+    # the outer form, as the inner one would have the optimiser build the pairs twice to skip empty arrays
+    rows = find_nouns(reviews).select("run_id", "review_id", "row_id", F.explode_outer(pairs).alias("pair"))
+    return rows.select("run_id", "review_id", "row_id", "pair.*")

@@ -2,7 +2,7 @@
 
 A token relation has one row per token, keyed by ``row_id`` and ordered by ``(sentence, place)``.
 Reviews are hashed by ``row_id`` before they are split, so everything below works on co-located
-tokens without another shuffle. Valid reviews have a bounded length, hence so has every group.
+tokens without another shuffle. A group is one review, whatever its length.
 """
 
 from __future__ import annotations
@@ -60,9 +60,13 @@ def words(sentence_rows: DataFrame) -> DataFrame:
 
 
 def morphemes(reviews: DataFrame, profile: TextProfile = JAPANESE) -> DataFrame:
-    """Words and sentence delimiters of a review in reading order, for compound rules."""
+    """Words and sentence delimiters of a review in reading order, for compound rules.
+
+    The first one carries the text, which offsets are searched in.
+    """
     found = F.regexp_extract_all(normalise(F.col("review_text"), profile), F.lit(rf"{WORDS}|\|"), F.lit(0))
-    return by_review(reviews).select(*REVIEW_KEYS, F.posexplode(found).alias("place", "surface"))
+    rows = by_review(reviews).select(*REVIEW_KEYS, "review_text", F.posexplode(found).alias("place", "surface"))
+    return rows.withColumn("review_text", F.when(F.col("place") == 0, F.col("review_text")))
 
 
 def tag_morphemes(word_rows: DataFrame, dictionary: DataFrame, unknown: UnknownWord = UnknownWord()) -> DataFrame:

@@ -265,9 +265,8 @@ def compound_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Words folded from the morphemes of every valid review, with offsets."""
     dictionary = stage(
         spark, sf, "lexicon_compound", lambda: tables.morph_dictionary(spark, sf, tables.COMPOUND_CLASSES))
-    rows = valid(spark, sf)
-    morphemes = tokens.tag_morphemes(tokens.morphemes(rows, text.SPACED), dictionary, tables.UNKNOWN)
-    return compounds.fold_reviews(morphemes, rows).select(
+    morphemes = tokens.tag_morphemes(tokens.morphemes(valid(spark, sf), text.SPACED), dictionary, tables.UNKNOWN)
+    return compounds.fold_reviews(morphemes).select(
         "row_id", "sentence", "place", "surface", "pos", "sub_pos", "inflection", "lemma", "start_offset", "end_offset"
     )
 
@@ -278,9 +277,8 @@ def compound_tokens(spark: SparkSession, sf: str) -> DataFrame:
 def subject_islands(spark: SparkSession, sf: str) -> DataFrame:
     """Subject nouns with the position of the first noun they belong together with."""
     found = extract.find_nouns(extract.gather(tagged_rows(spark, sf), batch.SPACED_LANGUAGE.rules))
-    noun = found.select("row_id", "heads", F.explode_outer("nouns").alias("noun")).where("noun IS NOT NULL")
-    return noun.select(
-        "row_id", "noun.sentence", "noun.index", "noun.nth", extract.island(F.col("noun.nth")).alias("island"))
+    noun = found.select("row_id", F.explode_outer("nouns").alias("noun")).where("noun IS NOT NULL")
+    return noun.select("row_id", "noun.sentence", "noun.index", "noun.nth", "noun.island")
 
 
 def _pairs(df: DataFrame) -> DataFrame:
