@@ -32,34 +32,32 @@ def spread(starts: Column, value: Callable[[Column, Column], Column], size: Colu
 
 def chunked_scan(
     items: Column,
-    start: Column,
+    start: dict[str, Column],
     prepare: Callable[[Column], Column],
-    step: Callable[[Column, Column, Column], Column],
+    step: Callable[[Column, Column, Column], dict[str, Column]],
+    value: str,
     size: int,
 ) -> Column:
-    """Array of integers that a forward scan over ``items`` gives, one per item.
+    """Array with the field ``value`` (an integer) of the state after each of ``items``, in a forward scan.
 
-    ``step`` takes the state (a struct like ``start``), an item and what ``prepare`` made of the state at
-    the beginning of each ``size`` items, and returns a struct of the next ``state`` and a ``value``.
-    Values gather within such a chunk first, so n values are copied n / ``size`` times, not n times.
+    ``step`` takes the state (fields as in ``start``), an item and what ``prepare`` made of the state at
+    the beginning of each ``size`` items, and returns the next state. Values gather within such a chunk
+    first, so n values are copied n / ``size`` times, not n times.
     """
-    n = F.size(items)
-    nothing = F.array().cast("array<int>")
-
-    def inner(state: Column, chunk: Column) -> Column:
-        def one(held: Column, item: Column, prepared: Column) -> Column:
-            return let(step(held["state"], item, prepared), lambda moved: F.struct(
-                moved["state"].alias("state"), F.concat(held["values"], F.array(moved["value"])).alias("values")))
-
-        return let(prepare(state), lambda prepared: F.aggregate(
-            chunk, F.struct(state.alias("state"), nothing.alias("values")),
-            lambda held, item: one(held, item, prepared)))
-
-    def outer(held: Column, at: Column) -> Column:
-        chunk = F.slice(items, at * size + 1, F.lit(size))
-        return let(inner(held["state"], chunk), lambda got: F.struct(
-            got["state"].alias("state"), F.concat(held["values"], got["values"]).alias("values")))
-
-    chunks = F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))
-    first = F.struct(start.alias("state"), nothing.alias("values"))
-    return F.when(n > 0, F.aggregate(chunks, first, outer, lambda held: held["values"])).otherwise(nothing)
+    nothing = F.array().cast("array<int>").alias("values")
+
+    def state(fields: dict[str, Column]) -> list[Column]:
+        return [field.alias(name) for name, field in fields.items()]
+
+    def chunk(held: Column, at: Column) -> Column:
+        part = F.slice(items, at * size + 1, F.lit(size))
+        begin = F.struct(*state({name: held[name] for name in start}), nothing)
+        # a value is noted one step late, so that a step works it out once
+        scanned = let(prepare(held), lambda prepared: F.aggregate(part, begin, lambda x, item: F.struct(
+            *state(step(x, item, prepared)), F.array_append(x["values"], x[value]).alias("values"))))
+        return let(scanned, lambda x: F.struct(*[x[name].alias(name) for name in start], F.concat(
+            held["values"], F.slice(F.array_append(x["values"], x[value]), F.lit(2), F.lit(size))).alias("values")))
+
+    chunks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int"))
+    values = F.aggregate(chunks, F.struct(*state(start), nothing), chunk, lambda held: held["values"])
+    return F.when(F.size(items) > 0, values).otherwise(F.array().cast("array<int>"))

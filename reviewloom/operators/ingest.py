@@ -53,12 +53,17 @@ def with_ingest_metadata(
     scan: DataFrame, run_id: str | None = None, ingested_at: datetime | None = None,
     repeatable: bool = False,
 ) -> DataFrame:
-    """Stamp a review scan with its metadata.
+    """Stamp a review scan with its metadata; a scan without row numbers gets them from its files.
 
     ``repeatable`` derives ``row_id`` from run, path and row number; otherwise it is a random UUID.
     """
     instant = (ingested_at or datetime.now(timezone.utc)).replace(microsecond=0)
-    stamped = number_rows(scan).withColumns({
+    if "row_number" in scan.columns:
+        name = F.url_decode(F.replace(F.substring_index("source_path", "/", -1), F.lit("+"), F.lit("%2B")))
+        numbered = scan.withColumn("source_file", name)
+    else:
+        numbered = number_rows(scan)
+    stamped = numbered.withColumns({
         "ingested_at": F.lit(instant),
         "run_id": F.lit(run_id or make_run_id()),
     })

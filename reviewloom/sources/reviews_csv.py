@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reviewloom import schemas as S
 from reviewloom.operators.ingest import number_rows
 from reviewloom.operators.lookups import first_per_key
+from reviewloom.sources.csv_records import read_records
 
 LEXICONS = {
     "sentiment": ("term", "polarity", "language"),
@@ -21,21 +21,21 @@ LEXICONS = {
 def scan_reviews_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Headered UTF-8 review CSV: quoted line breaks allowed, blank lines skipped, surplus fields dropped.
 
+    Returns the fields with ``source_path`` and ``row_number``. A large file is read by many tasks, line
+    breaks inside quotes or not (see ``csv_records``); Spark's own parser then takes each record apart.
     An empty field is an empty text; only a field missing at the end of its row is NULL. Spark reads
     both as NULL, so rows of another length, which it keeps as malformed, tell them apart by the
-    number of separators outside quotes. Quoted line breaks make a file unsplittable; deliver large
-    inputs as many files.
+    number of separators outside quotes.
     """
     names = S.REVIEW_CSV.fieldNames()
-    schema = T.StructType([*S.REVIEW_CSV.fields, T.StructField("_malformed", T.StringType())])
-    rows = spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, escape='"', encoding="UTF-8",
-        enforceSchema=True, columnNameOfCorruptRecord="_malformed",
-    )
-    separators = F.length(F.regexp_replace(F.regexp_replace("_malformed", r'"(?:[^"]|"")*+"', ""), "[^,]", ""))
+    schema = ", ".join(f"{name} string" for name in [*names, "_malformed"])
+    options = {"escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": "_malformed", "mode": "PERMISSIVE"}
+    rows = read_records(spark, path).withColumn("fields", F.from_csv("record", schema, options))
+    malformed = F.col("fields._malformed")
+    separators = F.length(F.regexp_replace(F.regexp_replace(malformed, r'"[^"]*+(?:""[^"]*+)*+"', ""), "[^,]", ""))
     fields = F.coalesce(separators + 1, F.lit(len(names)))
-    return rows.select(*[
-        F.when(fields > i, F.coalesce(F.col(c), F.lit(""))).alias(c) for i, c in enumerate(names)
+    return rows.select("source_path", "row_number", *[
+        F.when(fields > i, F.coalesce(F.col(f"fields.{c}"), F.lit(""))).alias(c) for i, c in enumerate(names)
     ])
 
 
