@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +87,20 @@ def nfkc(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFKC")
 
 
+def _steady() -> str:
+    """Pattern for texts that NFKC cannot change: characters below the combining marks that have no
+    other form, as only marks and later letters ever compose with what stands before them."""
+    kept = [chr(c) for c in range(0x300) if unicodedata.normalize("NFKC", chr(c)) == chr(c)]
+    return "^[" + "".join(f"\\x{{{ord(c):x}}}" for c in kept) + "]*+$"
+
+
+def with_nfkc(rows: DataFrame, source: str, target: str) -> DataFrame:
+    """``rows`` with ``target``, the NFKC form of ``source``; only rows that may change go through Python."""
+    steady = F.coalesce(F.col(source).rlike(_steady()), F.lit(True))
+    return rows.where(steady).withColumn(target, F.col(source)).unionByName(
+        rows.where(~steady).withColumn(target, nfkc(F.col(source))))
+
+
 def orthography(text: Column) -> Column:
     for pattern, replacement in ORTHOGRAPHY:
         text = F.regexp_replace(text, pattern, replacement)

@@ -460,8 +460,9 @@ def _pair(r: _Review, t: Column) -> Column:
             _predicates(r, t, around, rule), lambda walked: found(around, rule, anchor, walked)))))
 
 
-def extract_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
-    """One row per polarity term: ``subjects`` and ``predicates`` as arrays of tagged words.
+def review_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
+    """One row per review with a polarity term: ``pairs`` holds, for each term, its rule and its
+    ``subjects`` and ``predicates`` as arrays of tagged words.
 
     ``tokens`` holds kept words with ``sentence`` (from 0 or 1, ascending) and ``place`` and the tags
     ``polarities``, ``entity`` and ``issue_category``. Empty arrays mean none was found.
@@ -478,6 +479,17 @@ def extract_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> Data
     )
     terms = F.filter("words", lambda w: w["polarities"].isNotNull())
     pairs = let(arrays, lambda x: F.transform(terms, lambda t: _pair(_Review(x), t)))
+    return find_nouns(reviews).select("run_id", "review_id", "row_id", pairs.alias("pairs"))
+
+
+def explode_pairs(reviews: DataFrame) -> DataFrame:
+    """One row per polarity term."""
     # the outer form, as the inner one would have the optimiser build the pairs twice to skip empty arrays
-    rows = find_nouns(reviews).select("run_id", "review_id", "row_id", F.explode_outer(pairs).alias("pair"))
+    rows = reviews.select("run_id", "review_id", "row_id", F.explode_outer("pairs").alias("pair"))
     return rows.select("run_id", "review_id", "row_id", "pair.*")
+
+
+def extract_pairs(tokens: DataFrame, rules: TokenRules = JAPANESE_RULES) -> DataFrame:
+    """One row per polarity term: ``term_index``, ``term``, ``polarities``, ``rule``, ``subjects``,
+    ``predicates``; see :func:`review_pairs`."""
+    return explode_pairs(review_pairs(tokens, rules))

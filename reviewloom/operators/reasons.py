@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import schemas as S
 from reviewloom.functions import ids
+from reviewloom.functions.arrays import let
 
 # What a missing part costs, and what each token of distance costs.
 NO_ENTITY = 0.2
@@ -23,16 +24,42 @@ def split_predicates(pairs: DataFrame) -> DataFrame:
     ).select("*", F.explode_outer("predicates").alias("predicate")).drop("predicates")
 
 
-def distinct_reasons(reasons: DataFrame) -> DataFrame:
-    """Collapse reasons of a review with the same subject and predicate positions and sentiment.
+def by_review(pairs: DataFrame) -> DataFrame:
+    """Pairs of a row per term as one row per review, as :func:`extract.review_pairs` gives them."""
+    if "pairs" in pairs.columns:
+        return pairs
+    pair = F.struct("term_index", "polarities", "subjects", "predicates")
+    return pairs.groupBy("run_id", "review_id", "row_id").agg(F.collect_list(pair).alias("pairs"))
 
-    ``row_id`` is part of the key, so the rows are already co-located and combine before any shuffle.
+
+def distinct_reasons(pairs: DataFrame) -> DataFrame:
+    """One row per reason of a review: its terms' pairs split by polarity and predicate, where those
+    with the same subject and predicate positions and sentiment are one.
+
+    Duplicates stand in one review, so they are removed on its row: in the order of their key, all but
+    the first of equal ones go. Nothing is shuffled if ``pairs`` has a row per review.
     """
-    keyed = reasons.withColumns({
-        "subject_indices": F.transform("subjects", lambda s: s["index"]),
-        "predicate_index": F.col("predicate.index"),
-    })
-    return keyed.dropDuplicates(["row_id", "subject_indices", "predicate_index", "sentiment_type"])
+    def of_term(pair: Column) -> Column:
+        predicates = F.when(F.size(pair["predicates"]) > 0, pair["predicates"]).otherwise(
+            F.array(F.try_element_at(pair["predicates"], F.lit(1))))
+        return F.flatten(F.transform(pair["polarities"], lambda label: F.transform(predicates, lambda predicate: F.struct(
+            F.transform(pair["subjects"], lambda s: s["index"]).alias("subject_indices"),
+            predicate["index"].alias("predicate_index"), label.alias("sentiment_type"),
+            pair["subjects"].alias("subjects"), predicate.alias("predicate"),
+        ))))
+
+    def is_new(x: Column, before: Column) -> Column:
+        same = F.lit(True)
+        for name in ("subject_indices", "predicate_index", "sentiment_type"):
+            same = same & x[name].eqNullSafe(before[name])
+        return ~same
+
+    # all of a review's reasons, sorted by their key, which comes first
+    reasons = F.array_sort(F.flatten(F.transform("pairs", of_term)))
+    distinct = let(reasons, lambda found: F.filter(
+        found, lambda x, i: (i == 0) | is_new(x, F.get(found, i - 1))))
+    rows = by_review(pairs).select("run_id", "review_id", "row_id", F.explode_outer(distinct).alias("reason"))
+    return rows.where("reason IS NOT NULL").select("run_id", "review_id", "row_id", "reason.*")
 
 
 def first_entity(subjects: Column) -> Column:
@@ -86,5 +113,5 @@ def finish_reasons(distinct: DataFrame, random_ids: bool = False) -> DataFrame:
 
 
 def build_reasons(pairs: DataFrame, random_ids: bool = False) -> DataFrame:
-    """Extracted pairs of all reviews to reasons."""
-    return finish_reasons(distinct_reasons(split_predicates(pairs)), random_ids).select(*S.REASON_COLUMNS)
+    """Extracted pairs of all reviews, a row per review or per term, to reasons."""
+    return finish_reasons(distinct_reasons(pairs), random_ids).select(*S.REASON_COLUMNS)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reviewloom import schemas as S
@@ -102,8 +103,8 @@ def split_by_validity(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.where("is_valid"), validated.where("NOT is_valid").withColumn("tokens", no_tokens)
 
 
-def reason_violations(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexicon: DataFrame) -> DataFrame:
-    """Extracted reasons that break a rule, with the names of the broken rules.
+def with_violations(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexicon: DataFrame) -> DataFrame:
+    """Extracted reasons with the names of the rules that they break, mostly none.
 
     Category domains are collapsed to one row per distinct category before the lookup.
     """
@@ -128,12 +129,35 @@ def reason_violations(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexic
             "unknown issue",
         ),
     )
-    return (
-        checked.withColumn("violations", F.array_compact(rules))
-        .where(F.size("violations") > 0)
-        .select(*reasons.columns, "violations")
+    return checked.withColumn("violations", F.array_compact(rules)).select(*reasons.columns, "violations")
+
+
+def reason_violations(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexicon: DataFrame) -> DataFrame:
+    """Extracted reasons that break a rule, with the names of the broken rules."""
+    return with_violations(reasons, entity_lexicon, issue_lexicon).where(F.size("violations") > 0)
+
+
+def gated_reasons(
+    reasons: DataFrame, entity_lexicon: DataFrame, issue_lexicon: DataFrame
+) -> tuple[DataFrame, Callable[[], None]]:
+    """Reasons to be written, and a gate to call after the write.
+
+    The write itself observes how many reasons break a rule, so the gate, which then stops the run, does
+    not read them again.
+    """
+    observed = Observation()
+    broken = F.size("violations") > 0
+    checked = with_violations(reasons, entity_lexicon, issue_lexicon).observe(
+        observed, F.count_if(broken).alias("broken"),
+        F.min(F.when(broken, F.concat_ws(": ", "reason_id", F.array_join("violations", ", ")))).alias("first"),
     )
 
+    def gate() -> None:
+        if observed.get["broken"]:
+            raise ValueError(f"{observed.get['broken']} invalid reasons, first {observed.get['first']}")
+
+    return checked.drop("violations"), gate
+
 
 def assert_reasons(reasons: DataFrame, entity_lexicon: DataFrame, issue_lexicon: DataFrame) -> None:
     """Stop the run, before anything is exported, if any reason breaks a rule."""

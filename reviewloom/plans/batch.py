@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from reviewloom import schemas as S
 from reviewloom.functions.text import JAPANESE, SPACED, TextProfile
 from reviewloom.operators import compounds, tokens
-from reviewloom.operators.extract import JAPANESE_RULES, SPACED_RULES, TokenRules, extract_pairs
+from reviewloom.operators.extract import JAPANESE_RULES, SPACED_RULES, TokenRules, review_pairs
 from reviewloom.operators.ingest import make_run_id, with_ingest_metadata
 from reviewloom.operators.reasons import build_reasons
-from reviewloom.operators.validate import LengthLimits, assert_reasons, validate_reviews
+from reviewloom.operators.validate import LengthLimits, gated_reasons, validate_reviews
 from reviewloom.session import land
 from reviewloom.sources import sinks
 from reviewloom.sources.reviews_csv import scan_reviews_csv
@@ -53,7 +53,7 @@ def extract_reasons(
 ) -> DataFrame:
     """Tokens to reasons, for the given polarities."""
     merged = land(tokens.merge_lexicons(lexicons, labels), "lexicon")
-    return build_reasons(extract_pairs(tokens.tag_terms(token_rows, merged), rules), random_ids)
+    return build_reasons(review_pairs(tokens.tag_terms(token_rows, merged), rules), random_ids)
 
 
 def run(
@@ -87,7 +87,8 @@ def run(
     sinks.write_validated(validated, f"{output_dir}/review_validated", mode, fmt)
 
     found = extract_reasons(analyse(validated.where("is_valid")), lexicons, labels, rules)
-    found.write.mode("errorifexists").parquet(f"{batch}/reasons")
+    checked, gate = gated_reasons(found, lexicons["entity"], lexicons["issue"])
+    checked.write.mode("errorifexists").parquet(f"{batch}/reasons")
+    gate()  # before anything is exported
     reasons = spark.read.parquet(f"{batch}/reasons")
-    assert_reasons(reasons, lexicons["entity"], lexicons["issue"])
     sinks.write_reasons(reasons, f"{output_dir}/review_reasons", mode, fmt)

@@ -13,7 +13,7 @@ from reviewloom.functions import text
 from reviewloom.operators import compounds, dedup, extract, ingest, reasons, tokens, validate
 from reviewloom.operators.lookups import last_per_key
 from reviewloom.plans import batch, evaluate, views
-from reviewloom.session import stage, stage_path
+from reviewloom.session import stage, stage_path, table_stage
 from reviewloom.sources import driver_tables as tables
 from reviewloom.sources import reviews_csv, sinks
 
@@ -87,21 +87,38 @@ def tagged_rows(spark: SparkSession, sf: str, language: batch.Language = batch.S
     return tokens.tag_terms(token_rows(spark, sf, language), merged)
 
 
-def pair_rows(spark: SparkSession, sf: str) -> DataFrame:
+def review_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per review, so that its reasons need no shuffle."""
     return stage(
         spark, sf, "pairs",
-        lambda: extract.extract_pairs(tagged_rows(spark, sf), batch.SPACED_LANGUAGE.rules),
+        lambda: extract.review_pairs(tagged_rows(spark, sf), batch.SPACED_LANGUAGE.rules),
     )
 
 
+def pair_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.explode_pairs(review_pairs(spark, sf))
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def reason_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(spark, sf, "reasons", lambda: reasons.build_reasons(pair_rows(spark, sf)))
+    """Reasons, bucketed like the valid reviews that they are joined with."""
+    return table_stage(spark, sf, "reasons", lambda table, path: sinks.save_reasons_table(
+        reasons.build_reasons(review_pairs(spark, sf)), table, _buckets(spark), "truncate", path))
+
+
+def latest_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest versions of reviews, of valid ones: invalid rows may lack the id that rows are hashed by."""
+    return table_stage(spark, sf, "latest_valid", lambda table, path: sinks.save_bucketed(
+        latest(spark, sf).where("is_valid"), table, _buckets(spark), "truncate", path))
 
 
 def top1(spark: SparkSession, sf: str) -> DataFrame:
     return stage(
         spark, sf, "top1",
-        lambda: views.reasons_top1_per_review(reason_rows(spark, sf), latest(spark, sf)),
+        lambda: views.reasons_top1_per_review(reason_rows(spark, sf), latest_valid(spark, sf)),
     )
 
 
@@ -227,8 +244,9 @@ def normalised_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compatibility_forms(spark: SparkSession, sf: str) -> DataFrame:
-    """Full NFKC in Arrow batches."""
-    return tables.raw_reviews(spark, sf).select("row_id", text.nfkc(F.col("review_text")).alias("folded"))
+    """Full NFKC, in Arrow batches where a text may change."""
+    rows = tables.raw_reviews(spark, sf).select("row_id", "review_text")
+    return text.with_nfkc(rows, "review_text", "folded").select("row_id", "folded")
 
 
 def orthographic_forms(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +330,7 @@ def split_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distinct_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    kept = reasons.distinct_reasons(reasons.split_predicates(pair_rows(spark, sf)))
+    kept = reasons.distinct_reasons(review_pairs(spark, sf))
     distance = reasons.nearest_distance(F.col("subject_indices"), F.col("predicate_index"))
     # a name used inside a lambda must not be given anew in the same select: it would mean the new one
     kept = kept.select("row_id", "sentiment_type", "subject_indices", "predicate_index", distance.alias("distance"))
@@ -335,11 +353,11 @@ def over_top1(view: Callable[..., DataFrame], *args) -> Query:
 
 
 def reasons_enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return views.reasons_enriched(reason_rows(spark, sf), latest(spark, sf))
+    return views.reasons_enriched(reason_rows(spark, sf), latest_valid(spark, sf))
 
 
 def reasons_top1(spark: SparkSession, sf: str) -> DataFrame:
-    return views.reasons_top1_per_review(reason_rows(spark, sf), latest(spark, sf))
+    return views.reasons_top1_per_review(reason_rows(spark, sf), latest_valid(spark, sf))
 
 
 def extraction_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -357,14 +375,14 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
         tables.pick(tables.ENTITIES, F.substring(F.md5(F.col("doc_id").cast("string")), 2, 1)).alias("gold_entity"),
         tables.pick(tables.ISSUES, F.substring(F.md5(F.col("doc_id").cast("string")), 3, 1)).alias("gold_issue"),
     )
-    rows = latest(spark, sf).where("is_valid").select(
+    rows = latest_valid(spark, sf).select(
         "run_id", "review_id", F.substring_index("source_path", "/", -1).cast("long").alias("doc_id"))
     return rows.join(labels, "doc_id").drop("doc_id")
 
 
 def _canonical(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     negative = top1(spark, sf).where(F.col("sentiment_type") == "negative")
-    return latest(spark, sf).where("is_valid"), negative, gold(spark, sf)
+    return latest_valid(spark, sf), negative, gold(spark, sf)
 
 
 def extraction_quality(spark: SparkSession, sf: str) -> DataFrame:

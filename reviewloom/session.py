@@ -62,6 +62,19 @@ def stage(
     return spark.read.schema(_schema(_STAGES[key])).parquet(path)
 
 
+def table_stage(
+    spark: SparkSession, dataset: str, name: str, write: Callable[[str, str], None]
+) -> DataFrame:
+    """Like :func:`stage`, as a catalog table that keeps its buckets; ``write`` gets its name and path."""
+    path = stage_path(spark, dataset, name)
+    table = f"reviewloom_{name}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _STAGES:
+        write(table, path)
+        _STAGES[key] = table
+    return spark.table(table)
+
+
 def forget_stages() -> None:
     """Make the next use of every stage rebuild it (benchmarks measure cold builds)."""
     _STAGES.clear()

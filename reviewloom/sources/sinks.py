@@ -11,6 +11,7 @@ CSV_OPTIONS = {
     "header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX",
 }
+REVIEW_RUN = ["review_id", "run_id"]
 WRITE_MODES = {"append": "append", "truncate": "overwrite"}
 
 
@@ -58,10 +59,23 @@ def write_reasons(reasons: DataFrame, path: str, mode: str = "append", fmt: str
     _write(rows.repartitionByRange("review_id", "reason_id").sortWithinPartitions("review_id"), path, mode, fmt)
 
 
-def save_reasons_table(reasons: DataFrame, table: str, buckets: int, mode: str = "append") -> None:
-    """Reasons as a catalog table bucketed by ``review_id``, for joins without a shuffle."""
-    rows = require_not_null(reasons.select(*S.REASON_COLUMNS), S.REASON_REQUIRED)
-    rows.write.mode(WRITE_MODES[mode]).bucketBy(buckets, "review_id").sortBy("review_id").saveAsTable(table)
+def save_bucketed(
+    rows: DataFrame, table: str, buckets: int, mode: str = "append", path: str | None = None
+) -> None:
+    """A catalog table bucketed by review and run: whatever is grouped or joined by both needs no shuffle.
+
+    Rows are hashed as their buckets are, so that each task writes one file.
+    """
+    writer = rows.repartition(buckets, *REVIEW_RUN).write.mode(WRITE_MODES[mode]).bucketBy(buckets, *REVIEW_RUN)
+    if path:
+        writer = writer.option("path", path)
+    writer.sortBy(*REVIEW_RUN).saveAsTable(table)
+
+
+def save_reasons_table(
+    reasons: DataFrame, table: str, buckets: int, mode: str = "append", path: str | None = None
+) -> None:
+    save_bucketed(require_not_null(reasons.select(*S.REASON_COLUMNS), S.REASON_REQUIRED), table, buckets, mode, path)
 
 
 def _write(rows: DataFrame, path: str, mode: str, fmt: str, partition_by: list[str] | None = None) -> None:
