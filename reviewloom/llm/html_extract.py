@@ -45,6 +45,7 @@ ASIDE_NAMES = frozenset(
     " sponsored subscribe toolbar topbar widget".split()
 )
 CONTENT_TAGS = ("article", "main")
+LISTS = frozenset("li ul ol menu".split())
 
 
 @dataclass
@@ -59,17 +60,82 @@ class Piece:
     text: str
 
 
-def pieces(page: str) -> list[Piece]:
-    """The page in reading order. Unclosed paragraphs and list items end where HTML ends them."""
-    out: list[Piece] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, aside, content
-    block, aside, content = 0, False, False
+class _Tree:
+    """Elements in the order of their opening tags, and which of them are open."""
+
+    def __init__(self) -> None:
+        self.names, self.parents, self.words = [""], [-1], [0]
+        self.by_tag, self.by_name = [False], [False]
+        self.stack = [0]
+        self.open: Counter = Counter()
+        self.lists: list[int] = []  # places in the stack of open lists and items
+
+    def push(self, name: str, by_tag: bool, by_name: bool) -> None:
+        node = len(self.names)
+        self.parents.append(self.stack[-1])
+        self.names.append(name)
+        self.words.append(0)
+        self.by_tag.append(by_tag)
+        self.by_name.append(by_name)
+        if name in LISTS:
+            self.lists.append(len(self.stack))
+        self.stack.append(node)
+        self.open[name] += 1
+
+    def pop(self) -> int:
+        node = self.stack.pop()
+        self.open[self.names[node]] -= 1
+        if self.lists and self.lists[-1] == len(self.stack):
+            self.lists.pop()
+        return node
 
-    def settle() -> None:
-        nonlocal aside, content
-        aside = any(s[1] for s in stack)
-        content = any(s[2] for s in stack)
+    def close(self, name: str) -> int | None:
+        """Close the innermost element of a name and all within it; None without one."""
+        if not self.open[name]:
+            return None
+        while self.names[node := self.pop()] != name:
+            pass
+        return node
 
+    def content(self) -> bool:
+        return any(self.open[name] for name in CONTENT_TAGS)
+
+    def settle(self) -> tuple[list[bool], list[bool], list[bool]]:
+        """For each element whether it, or one around it, stands aside, is content, is a link.
+
+        The words of a class never put a page's content aside: not the ``article`` or ``main`` elements
+        with at least half the words of the largest, nor what is around them; without such elements, not
+        those that hold most of the page's words.
+        """
+        names, parents = self.names, self.parents
+        for node in range(len(names) - 1, 0, -1):
+            self.words[parents[node]] += self.words[node]
+        largest = max((w for n, w in zip(names, self.words) if n in CONTENT_TAGS), default=0)
+        kept = [False] * len(names)
+        for node in range(len(names) - 1, -1, -1):
+            if largest:
+                kept[node] |= names[node] in CONTENT_TAGS and 2 * self.words[node] >= largest
+            else:
+                kept[node] = 2 * self.words[node] > self.words[0]
+            kept[node] |= names[node] in ("html", "body")
+            if kept[node] and node and largest:
+                kept[parents[node]] = True
+        aside, content, link = ([False] * len(names) for _ in range(3))
+        for node in range(1, len(names)):
+            up = parents[node]
+            aside[node] = aside[up] or self.by_tag[node] or (self.by_name[node] and not kept[node])
+            content[node] = content[up] or names[node] in CONTENT_TAGS
+            link[node] = link[up] or names[node] == "a"
+        return aside, content, link
+
+
+def pieces(page: str) -> list[Piece]:
+    """The page in reading order. Unclosed paragraphs and list items end where HTML ends them.
+
+    Takes time in proportion to the page, however deep or unclosed its elements are.
+    """
+    found: list[tuple[str, int, int, int, str]] = []  # kind, words, block, element, text
+    tree, block = _Tree(), 0
     for match in TOKEN.finditer(page):
         name = (match[3] or match[6] or "").lower()
         if not name:
@@ -78,44 +144,45 @@ def pieces(page: str) -> list[Piece]:
                 continue  # comment, declaration or element without text
             text = html.unescape(text)
             words = len(text.split())
-            link = any(s[0] == "a" for s in stack)
-            kind = "word:aside" if aside else "word:link" if link else "word"
             if words or text:
-                out.append(Piece(kind, words, block, aside, content, text))
+                tree.words[tree.stack[-1]] += words
+                found.append(("word", words, block, tree.stack[-1], text))
             continue
         closing = bool(match[2] or match[5])
         if name in BLOCKS:
             block += 1
         elif name == "br":
-            out.append(Piece("space", 0, block, aside, content, " "))
-        kind = name
+            found.append(("space", 0, block, tree.stack[-1], " "))
+        node = tree.stack[-1]
         if closing:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None:
-                del stack[at:]
-                settle()
+            closed = tree.close(name)
+            node = node if closed is None else closed
         elif name not in VOID:
             if name in BLOCKS:
                 # a paragraph, and what is open inside it, ends at the next block
-                at = next((i for i, s in enumerate(stack) if s[0] == "p"), None)
-                if at is not None:
-                    del stack[at:]
-            if name == "li":
-                at = len(stack) - 1
-                while at >= 0 and stack[at][0] not in ("li", "ul", "ol", "menu"):
-                    at -= 1
-                if at >= 0 and stack[at][0] == "li":
-                    del stack[at:]
+                while tree.open["p"]:
+                    tree.pop()
+            if name == "li" and tree.lists and tree.names[tree.stack[tree.lists[-1]]] == "li":
+                tree.close("li")
             named = NAMING.findall(match[4] or match[7] or "")
             tokens = set(re.findall(r"[a-z]+", " ".join(map("".join, named)).lower()))
-            off = name in ASIDE_TAGS or bool(tokens & ASIDE_NAMES)
-            if name == "header" and not any(s[2] for s in stack):
-                off = True
-            stack.append((name, off, name in CONTENT_TAGS))
-            settle()
-            if off:
-                kind = "aside"
-        out.append(Piece("tag:" + kind, 0, block, aside, content and name not in CONTENT_TAGS, ""))
+            by_tag = name in ASIDE_TAGS or (name == "header" and not tree.content())
+            tree.push(name, by_tag, bool(tokens & ASIDE_NAMES))
+            node = tree.stack[-1]
+        found.append(("tag:" + name, 0, block, node, "</" if closing or name in VOID else "<"))
+
+    aside, content, link = tree.settle()
+    out: list[Piece] = []
+    for kind, words, at, node, text in found:
+        if kind == "word":
+            kind = "word:aside" if aside[node] else "word:link" if link[node] else "word"
+            out.append(Piece(kind, words, at, aside[node], content[node], text))
+        elif kind == "space":
+            out.append(Piece(kind, 0, at, aside[node], content[node], text))
+        else:
+            opens_aside = text == "<" and aside[node] and not aside[tree.parents[node]]
+            inside = content[node] and tree.names[node] not in CONTENT_TAGS
+            out.append(Piece("tag:aside" if opens_aside else kind, 0, at, aside[node], inside, ""))
     return out
 
 
@@ -125,6 +192,18 @@ DEFAULT = {"word": 1.0, "word:link": 0.2, "word:aside": -1.0, "tag": -1.0} | {
 }
 
 
+def score(piece: Piece, weights: dict[str, float]) -> float:
+    """What a piece adds to a run. Inside an ``article`` or ``main`` element, what stands aside, and is
+    left out anyway, costs nothing, and a tag no more than half a word earns, so that neither ends a run
+    there."""
+    if piece.content and piece.aside:
+        return 0.0
+    if piece.words:
+        return piece.words * weights[piece.kind]
+    cost = weights.get(piece.kind, weights["tag"])
+    return max(cost, -weights["word"] / 2) if piece.content else cost
+
+
 def scored(found: list[Piece], weights: dict[str, float]) -> tuple[int, int]:
     """First and last index + 1 of the best contiguous run, by one linear scan; (0, 0) if none."""
     best, span, total, start = 0.0, (0, 0), 0.0, 0
@@ -133,10 +212,7 @@ def scored(found: list[Piece], weights: dict[str, float]) -> tuple[int, int]:
             continue
         if total <= 0:
             total, start = 0.0, i
-        if piece.words:
-            total += piece.words * weights[piece.kind]
-        else:
-            total += weights.get(piece.kind, weights["tag"])
+        total += score(piece, weights)
         if total > best:
             best, span = total, (start, i + 1)
     return span
@@ -162,7 +238,7 @@ def fit_weights(pages: DataFrame, max_pages: int = 5_000, html_col: str = "html"
     ``max_pages`` different ones of least hash are read (the hashes are ranked, pages are not moved
     for it). A score is the smoothed log-odds of the kind inside and
     outside the labelled element, kept positive for words and negative for tags and asides. Counts
-    are summed by Spark; one row per kind (HTML element name) reaches the driver, at most 1,000.
+    are summed by Spark; one row per kind (element name in the sample) reaches the driver.
     """
     labelled = pages.select(text_of(pages, html_col).alias("html")).where(
         F.lower("html").rlike(r"<(article|main)[\s>]")
@@ -186,9 +262,8 @@ def fit_weights(pages: DataFrame, max_pages: int = 5_000, html_col: str = "html"
     counts = sample.mapInPandas(count, "kind string, inside boolean, n long")
     n_in = F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("n_in")
     n_out = F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("n_out")
-    rows = counts.groupBy("kind").agg(n_in, n_out).orderBy(F.desc(F.col("n_in") + F.col("n_out")))
     weights = dict(DEFAULT)
-    for kind, inside, outside in rows.limit(1_000).collect():
+    for kind, inside, outside in counts.groupBy("kind").agg(n_in, n_out).collect():
         odds = math.log((inside + 0.5) / (outside + 0.5))
         if kind == "word":
             weights[kind] = min(max(odds, 0.5), 2.0)

@@ -1,6 +1,9 @@
+import random
+import time
+
 import pytest
 
-from reviewloom.llm.html_extract import DEFAULT, extract, fit_weights, main_text, pieces
+from reviewloom.llm.html_extract import DEFAULT, extract, fit_weights, main_text, pieces, score
 
 BODY = " ".join(f"word{i}" for i in range(30))
 PAGE = f"""<!DOCTYPE html><html lang=en><head><title>Title words here</title><style>p{{x}}</style>
@@ -45,17 +48,10 @@ def test_best_run_equals_all_runs():
     from reviewloom.llm.html_extract import scored
 
     found = pieces(PAGE)
-    score = [
-        p.words * DEFAULT[p.kind]
-        if p.words
-        else DEFAULT.get(p.kind, DEFAULT["tag"])
-        if p.kind.startswith("tag:")
-        else 0
-        for p in found
-    ]
+    scores = [score(p, DEFAULT) if p.words or p.kind.startswith("tag:") else 0 for p in found]
     start, end = scored(found, DEFAULT)
-    best = max(sum(score[i:j]) for i in range(len(score)) for j in range(i + 1, len(score) + 1))
-    assert sum(score[start:end]) == pytest.approx(best)
+    best = max(sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1))
+    assert sum(scores[start:end]) == pytest.approx(best)
 
 
 def test_rows(spark):
@@ -73,3 +69,50 @@ def test_rows(spark):
     assert extract(pages.limit(0)).count() == 0
     nothing = fit_weights(pages.where("page_id = 20"))
     assert nothing == DEFAULT
+
+
+@pytest.mark.parametrize("body, article", [
+    ("<body>", "<article>"), ("<body class='has-sidebar'>", "<article>"), ("<body class='single comments-open'>", "<article>"),
+    ("<body class='header-fixed'>", "<article>"), ("<body id='newsletter-archive'>", "<article>"),
+    ("<body>", "<article class='post comments-open'>"), ("<body><div id='sidebar-left'>", "<article class=related>"),
+])
+def test_class_words_never_void_the_article(body, article):
+    page = PAGE.replace('<body class="x">', body).replace("<article>", article, 1).replace('var t="</p>' + article, 'var t="</p><article>')
+    assert main_text(page, DEFAULT) == main_text(PAGE, DEFAULT) != ""
+
+
+def test_comments_in_article_elements_go():
+    comments = "<div id=comments>" + f"<article class=comment><p>{BODY[:90]}</p></article>" * 9 + "</div>"
+    page = f"<body><main><article><p>{BODY}</p></article>{comments}</main></body>"
+    assert main_text(page, DEFAULT) == BODY
+
+
+def test_wrapper_of_most_words_stays():
+    page = f"<body><div class='header'>Site</div><div class='with-sidebar'><p>{BODY}</p><p>{BODY}</p></div></body>"
+    assert main_text(page, DEFAULT) == f"{BODY}\n\n{BODY}"
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x " * 100_000, "<ul>" + "<span>" * 30_000 + "<li>y</li>" * 30_000, "<b>" * 40_000 + "</i>z" * 40_000,
+    "<p><i>q" * 50_000,
+])
+def test_time_is_linear_in_open_elements(page):
+    start = time.perf_counter()
+    assert pieces(page)
+    assert time.perf_counter() - start < 5
+
+
+def test_fitted_weights_keep_articles_whole(spark):
+    """Menus hold all lists of the labelled pages; an article with lists, adverts and short blocks stays."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        menu = "<nav><ul>" + "".join(f"<li><a href=x>m{rng.randrange(99)}</a></li>" for _ in range(30)) + "</ul></nav>"
+        text = "".join(f"<p>{BODY}</p>" for _ in range(rng.randrange(1, 6)))
+        rows.append((i, f"u{i}", f"<body>{menu}<article><h1>Title</h1>{text}</article><div class=ad>{BODY}</div></body>"))
+    weights = fit_weights(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert weights["tag:li"] < -2
+    first = " ".join(f"start{i}" for i in range(20))
+    advert = "<div class=ad>" + "buy this now " * 30 + "</div><ul>" + "<li>one</li>" * 40 + "</ul>"
+    page = rows[0][2].split("<article>")[0] + f"<article><h1>Head</h1><p>{first}</p>{advert}<p>{BODY}</p></article>"
+    assert main_text(page, weights) == "\n\n".join(["Head", first, *["one"] * 40, BODY])
