@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -58,6 +59,7 @@ class Lexicon:
         fuzzy_from: int = 5,
         fuzzy_share: float = FUZZY_SHARE,
         swapped_from: int = 4,
+        near: dict[str, float] | None = None,
     ) -> None:
         self.root, self.fuzzy_from = Node(), fuzzy_from
         self.fuzzy = Node()
@@ -69,6 +71,9 @@ class Lexicon:
             self._add(self.root, term.rstrip("*"), weight, term.endswith("*"))
             if term.endswith("*") or weight < least:
                 continue
+            weight = (near or {}).get(term, weight)
+            if weight <= 0:
+                continue
             if len(term) >= fuzzy_from:
                 self._add(self.fuzzy, term, weight, False)
                 self.near |= {term, *_shortened(term)}
@@ -128,9 +133,26 @@ class Lexicon:
         return best
 
 
-def whole_lexicon(terms: dict[str, float]) -> Lexicon:
-    """Every whole word long enough for one edit is sought misspelt, whatever its weight."""
-    return Lexicon(terms, fuzzy_share=0.0)
+def whole_lexicon(terms: dict[str, float], near: dict[str, float] | None = None) -> Lexicon:
+    """Every whole word long enough for one edit is sought misspelt, whatever its weight; ``near`` may
+    give misspellings a weight of their own."""
+    return Lexicon(terms, fuzzy_share=0.0, near=near)
+
+
+def near_terms(terms: list[str]) -> Callable[[str], list[str]]:
+    """For a word the whole-word terms that it may be a misspelling of."""
+    alone = {t: whole_lexicon({t: 1.0}) for t in terms if not t.endswith("*")}
+    by_part: dict[str, set[str]] = {}
+    for term in alone:
+        swapped = [term[:i] + term[i + 1] + term[i] + term[i + 2 :] for i in range(len(term) - 1)]
+        for part in (term, *_shortened(term), *swapped):
+            by_part.setdefault(part, set()).add(term)
+
+    def found(word: str) -> list[str]:
+        near = set().union(*(by_part.get(part, ()) for part in (word, *_shortened(word))))
+        return [t for t in near if alone[t].lookup(word)[1]] if near and word not in alone else []
+
+    return found
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
@@ -175,19 +197,38 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         math.log1p(misspelt),
         math.log1p(quoted),
         top,
-        math.log1p(100 * (exact / 10) / n) if n else 0.0,
+        math.log1p(100 * ((exact + misspelt) / 10) / n) if n else 0.0,
         1.0,
     ]
 
 
+def misspell(text: str, terms: dict[str, float]) -> str:
+    """The text with each whole-word term misspelt, by a swap of two inner letters or, if they are the
+    same, without one of them; which ones follows from the word's place. Terms of three letters stay."""
+
+    def wrong(match: re.Match) -> str:
+        word = match.group()
+        if word.lower() not in terms or len(word) < 4:
+            return word
+        i = 1 + zlib.crc32(f"{match.start()} {word}".encode()) % (len(word) - 3 + (len(word) > 4))
+        if i + 1 < len(word) and word[i] != word[i + 1]:
+            return word[:i] + word[i + 1] + word[i] + word[i + 2 :]
+        return word[:i] + word[i + 1 :] if len(word) > 4 else word
+
+    return WORD.sub(wrong, text)
+
+
 def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 4 == 2
 
 
 @dataclass(frozen=True)
 class Model:
+    """Log-odds of terms, those of their misspellings, and the weights of the features."""
+
     terms: dict[str, float]
     weights: tuple[float, ...]
+    near: dict[str, float] = field(default_factory=dict)
 
 
 def _terms_of(text: Column) -> Column:
@@ -228,7 +269,9 @@ def fit(
     Terms are counted per label by a grouped aggregation; kept are the at most ``max_terms`` of
     smoothed log-odds of 2 or more held by 5 or more toxic rows; a stem must be held by clearly more
     of them than any one whole word it begins, and takes no place among the terms else. Only these, and ``FEATURES`` numbers for each
-    training row, reach the driver, where a logistic regression is fitted.
+    training row, reach the driver, where a logistic regression is fitted. Rows with whole-word terms
+    train it once more with these misspelt, as few texts misspell by themselves, and no hit may lower a
+    score, so a misspelt insult counts like an insult and more than none.
     Without toxic training rows every score is the same.
     """
     rows = training_rows(docs, labels, max_rows)
@@ -254,19 +297,67 @@ def fit(
     best = best.join(begun, F.col("term") == F.col("begun"), "left")
     best = best.where(~stem | (F.col("pos") > 1.2 * F.coalesce("alone", F.lit(0))))
     best = best.orderBy(F.desc("odds"), F.desc("pos"), "term").limit(max_terms)
-    terms = {r.term: float(r.odds) for r in best.collect()}
+    kept = best.collect()
+    terms = {r.term: float(r.odds) for r in kept}
+    near = _near_weights(counts, terms, {r.term: r.pos for r in kept}, p, n)
     x, y = [], []
+    wrong = F.udf(lambda text: misspell(text, terms), "string")
+    wrongly = rows.withColumn("wrong", wrong("text")).where("wrong <> text")
+    trained = rows.unionByName(wrongly.select(F.col("wrong").alias("text"), "toxic"))
     with text_batches(docs.sparkSession):
-        featured = _featured(rows, terms, ["toxic"]).collect()
+        featured = _featured(trained, terms, near, ["toxic"]).collect()
     for row in featured:
         x.append(row.features)
         y.append(row.toxic)
     if not p or p == n:
-        return Model(terms, (0.0,) * (FEATURES - 1) + (-20.0 if not p else 20.0,))
-    return Model(terms, tuple(_logistic(np.array(x), np.array(y, dtype=float))))
+        return Model(terms, (0.0,) * (FEATURES - 1) + (-20.0 if not p else 20.0,), near)
+    return Model(terms, tuple(_logistic(np.array(x), np.array(y, dtype=float))), near)
+
+
+def _near_weights(
+    counts: DataFrame, terms: dict[str, float], held: dict[str, int], p: int, n: int
+) -> dict[str, float]:
+    """Log-odds of the misspellings of each whole-word term, from 0 to those of the term.
+
+    Each row that holds the term is taken to misspell it once as well; against that stand the words of
+    the training rows that are within one edit of the term by chance. One row per term is collected.
+    """
+    if not terms:
+        return {}
+
+    @F.pandas_udf("array<string>")
+    def near(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        found = near_terms(list(terms))
+        for words in batches:
+            yield pd.Series([found(word) for word in words])
+
+    words = counts.where(~F.col("term").endswith("*") & (F.length("term") >= 3))
+    chance = words.select(F.explode(near("term")).alias("near"), "pos", "all").groupBy("near").agg(
+        F.sum("pos").alias("pos"), F.sum("all").alias("all")
+    )
+    weights = {}
+    for row in chance.collect():
+        odds = math.log((row["pos"] + held[row["near"]] + 0.5) / (p + 1)) - math.log(
+            (row["all"] - row["pos"] + 0.5) / (n - p + 1)
+        )
+        weights[row["near"]] = min(max(odds, 0.0), terms[row["near"]])
+    return weights
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights without negative ones but for the constant, the last: those of features whose weight
+    would be negative are 0, and the others fitted without them."""
+    used = np.ones(x.shape[1], dtype=bool)
+    while True:
+        w = np.zeros(x.shape[1])
+        w[used] = _newton(x[:, used], y)
+        negative = (w < 0) & (np.arange(len(w)) < len(w) - 1)
+        if not negative.any():
+            return w
+        used[np.argmin(np.where(negative, w, 0))] = False
+
+
+def _newton(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -278,10 +369,12 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _featured(rows: DataFrame, terms: dict[str, float], keep: list[str]) -> DataFrame:
+def _featured(
+    rows: DataFrame, terms: dict[str, float], near: dict[str, float], keep: list[str]
+) -> DataFrame:
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def featured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lexicon = whole_lexicon(terms)
+        lexicon = whole_lexicon(terms, near)
         for texts in batches:
             yield pd.Series([features(t, lexicon) for t in texts])
 
@@ -299,7 +392,7 @@ def toxicity(
     """
     model = fit(docs, labels, **limits)
     rows = docs.select(column(docs, "doc_id").alias("doc_id"), text_of(docs, "text").alias("text"))
-    scored = _featured(rows, model.terms, ["doc_id"])
+    scored = _featured(rows, model.terms, model.near, ["doc_id"])
     logit = sum(F.get("features", F.lit(i)) * F.lit(float(w)) for i, w in enumerate(model.weights))
     return scored.select("doc_id", (1 / (1 + F.exp(-logit))).alias("score")).select(
         "doc_id",

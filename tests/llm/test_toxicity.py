@@ -1,10 +1,11 @@
+import math
 import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.llm.toxicity import Lexicon, features, fit, held_out, toxicity, whole_lexicon
+from reviewloom.llm.toxicity import Lexicon, features, fit, held_out, misspell, near_terms, toxicity, whole_lexicon
 from tests.llm.helpers import table, words
 
 
@@ -126,3 +127,55 @@ def test_no_labels_and_no_rows(spark):
     none = labels.limit(0)
     assert {r.predicted for r in toxicity(docs, none).collect()} == {0}
     assert toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_misspelling_is_one_edit_and_repeatable():
+    terms = {"stupid": 3.0, "idiot": 4.0, "scum": 2.0, "aab": 2.0, "boooo": 1.0, "mor*": 1.0}
+    lexicon = whole_lexicon(terms)
+    text = "You Stupid IDIOT, scum aab boooo moron " * 9
+    wrong = misspell(text, terms)
+    assert wrong == misspell(text, terms) and len(wrong.split()) == len(text.split())
+    for a, b in zip(text.lower().split(), wrong.lower().split()):
+        a, b = a.strip(","), b.strip(",")
+        assert (a == b) == (a in ("you", "aab", "moron")), (a, b)
+        if a != b:
+            assert lexicon.lookup(b) == (terms[a], 1), (a, b)
+
+
+def test_fitted_scores_of_misspelt_and_quoted_insults(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit(docs, labels)
+    lexicon = whole_lexicon(model.terms, model.near)
+
+    def score(text):
+        logit = sum(a * b for a, b in zip(features(text, lexicon), model.weights))
+        return 1 / (1 + math.exp(-logit))
+
+    insults = [t for t in sorted(model.terms, key=model.terms.get) if t[-1] != "*" and len(t) >= 5][-5:]
+    harmless = score("you are a friend")
+    for insult in insults:
+        wrong = misspell(f"you are a {insult}", model.terms)
+        assert insult not in wrong
+        quoted = score(f'he wrote "you are a {insult}" there')
+        assert score(f"you are a {insult}") >= score(wrong) > harmless
+        assert score(f"you are a {insult}") > quoted >= harmless
+    assert min(model.weights[:-1]) >= 0
+
+
+def test_terms_near_a_word_are_those_within_one_edit():
+    terms = {"stupid": 3.0, "idiot": 4.0, "scum": 2.0, "idiom": 1.0, "mor*": 1.0}
+    find, whole = near_terms(list(terms)), {t: whole_lexicon({t: 1.0}) for t in terms}
+    rng = random.Random(4)
+    tried = {"".join(rng.choice("idotscumpr") for _ in range(rng.randrange(1, 8))) for _ in range(2000)}
+    for t in terms:
+        tried |= {t, t[1:], t + "x", t[:2] + "q" + t[2:], t[:1] + t[2:3] + t[1:2] + t[3:]}
+    for word in tried - set(terms):
+        assert set(find(word)) == {t for t in terms if t[-1] != "*" and whole[t].lookup(word)[1]}, word
+
+
+def test_misspellings_common_in_clean_rows_weigh_less(spark):
+    docs = [(i, "a stupid thing said often" if i % 2 else "a studid stuffing thing") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = fit(table(spark, docs), labels)
+    assert model.near["stupid"] < 1 < model.terms["stupid"]
