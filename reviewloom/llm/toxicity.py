@@ -278,7 +278,8 @@ def fit(
     totals = rows.agg(F.sum("toxic").alias("p"), F.count("*").alias("n")).first()
     p, n = totals.p or 0, totals.n
     held = rows.select(F.explode(_terms_of(F.col("text"))).alias("term"), "toxic")
-    counts = held.groupBy("term").agg(F.sum("toxic").alias("pos"), F.count("*").alias("all"))
+    counts = land(
+        held.groupBy("term").agg(F.sum("toxic").alias("pos"), F.count("*").alias("all")), "term-counts")
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log(
         (F.col("all") - F.col("pos") + 0.5) / (n - p + 1)
     )
