@@ -30,6 +30,9 @@ BAND_RATIO = 1.4
 #: Bits of the parity sketch of a set, and how many pivots a signature gets more from round to round.
 SKETCH = 1024
 MORE_PIVOTS = 8
+#: What names a set, and its pivot.
+SET = ["id", "text_key"]
+PIVOT = ["p_id", "p_key"]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -87,6 +90,23 @@ class Threshold:
         """Largest symmetric difference of a linked pair whose smaller set has at most n."""
         return (self.den - self.num) * (n + n * self.den // self.num) // (self.den + self.num)
 
+    def close(self, differ: int, sizes: int) -> bool:
+        """Whether sets of ``sizes`` elements together link, ``differ`` apart."""
+        return (self.den + self.num) * differ <= (self.den - self.num) * sizes
+
+    def radius(self, n: int) -> int:
+        """Up to how many elements apart sets are near a pivot of n; any number gives whole results."""
+        return n // 2 + self.apart(n)
+
+    def prefix(self, differ: int, n: int, pivot: int, linked: bool) -> int:
+        """How many of a set's ``differ`` differences from a pivot are signatures; see ``NearCopies``."""
+        total, apart = self.den + self.num, self.den - self.num
+        if linked:
+            least = (total * differ + apart * (pivot - n)) // (2 * total) + 1
+        else:
+            least = -((apart * (n + pivot) - total * differ) // (2 * total))
+        return differ - max(least, 1) + 1
+
 
 @lru_cache(maxsize=None)
 def band(i: int) -> tuple[int, int]:
@@ -170,10 +190,16 @@ def _set_rows(id_type: pa.DataType, size: int):
 
 
 def _signature_rows(
-    id_type: pa.DataType, size: int, threshold: Threshold, plan: dict[int, Allocation]
+    id_type: pa.DataType,
+    size: int,
+    threshold: Threshold,
+    plan: dict[int, Allocation],
+    keyed: bool = False,
 ):
+    """Signatures of ids and texts; ``keyed`` if the texts' keys follow and are to be kept."""
     schema = pa.schema(
         [("sig", pa.int64()), ("id", id_type), ("n", pa.int32()), ("full", pa.bool_())]
+        + [("text_key", pa.int64())] * keyed
     )
 
     def signatures(h: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
@@ -201,7 +227,8 @@ def _signature_rows(
         where = pa.array(np.concatenate(at))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(sigs).view(np.int64)), batch.column(0).take(where),
-             pa.array(np.concatenate(n)), pa.array(np.concatenate(full))],
+             pa.array(np.concatenate(n)), pa.array(np.concatenate(full)),
+             *[key.take(where) for key in batch.columns[2:]]],
             schema=schema,
         )
 
@@ -228,27 +255,46 @@ def _signature_rows(
     return run, schema
 
 
-def _verified(id_type: pa.DataType, size: int, threshold: Threshold):
-    schema = pa.schema([("a", id_type), ("b", id_type)])
+def _compared(id_type: pa.DataType, size: int, threshold: Threshold):
+    """Of pairs of a pivot and a member with their texts: the linked and the near ones, the latter with
+    their differences, how many of these are signatures, and whether the member leaves (``strict``)."""
+    schema = pa.schema(
+        [("p_id", id_type), ("p_key", pa.int64()), ("id", id_type), ("text_key", pa.int64()),
+         ("n", pa.int32()), ("linked", pa.bool_()), ("strict", pa.bool_()),
+         ("prefix", pa.int32()), ("differ", pa.list_(pa.int64()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_text, last = None, set()
+        shingles = Shingler(size)
+        last_text, pivot, pivot_set = None, None, None
         for batch in batches:
-            linked = []
-            left, right = batch.column(2), batch.column(3)
+            at, rows = [], ([], [], [], [], [])
             for i in range(batch.num_rows):
-                text = right[i].as_py()
+                text, other = batch.column(4)[i].as_py(), batch.column(5)[i].as_py()
                 if text != last_text:
-                    last_text, last = text, shingle_set(text, size)
-                other = shingle_set(left[i].as_py(), size)
-                both = len(last & other)
-                if threshold.den * both >= threshold.num * (len(last) + len(other) - both):
-                    linked.append(i)
-            if linked:
-                at = pa.array(linked, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at)], schema=schema
-                )
+                    last_text, pivot, pivot_set = text, shingles(text), None
+                h = shingles(other)
+                differ = np.setxor1d(h, pivot, assume_unique=True)
+                linked = threshold.close(len(differ), len(h) + len(pivot))
+                if linked:
+                    pivot_set = pivot_set or shingle_set(text, size)
+                    other_set = shingle_set(other, size)
+                    linked = threshold.close(
+                        len(pivot_set ^ other_set), len(pivot_set) + len(other_set)
+                    )
+                room = threshold.radius(len(pivot)) - len(differ)
+                if room < 0 and not linked:
+                    continue
+                at.append(i)
+                prefix = threshold.prefix(len(differ), len(h), len(pivot), linked)
+                found = differ.view(np.int64) if room >= 0 else None
+                strict = room >= threshold.apart(len(h))
+                for column_, value in zip(rows, (len(h), linked, strict, prefix, found)):
+                    column_.append(value)
+            if at:
+                keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in range(4)]
+                found = [pa.array(v, schema.field(4 + i).type) for i, v in enumerate(rows)]
+                yield pa.RecordBatch.from_arrays(keys + found, schema=schema)
 
     return run, schema
 
@@ -279,6 +325,17 @@ def _band_plan(sets: DataFrame, threshold: Threshold) -> dict[int, Allocation]:
     return plan
 
 
+def _several(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members with their ``component``, of signatures that hold more than one."""
+    if labels is not None:
+        members = members.join(labels, "id", "left")
+        members = members.withColumn("component", F.coalesce("component", "id"))
+    else:
+        members = members.withColumn("component", F.col("id"))
+    held = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(held.where("low <> high").select("sig"), "sig", "left_semi")
+
+
 class NearCopies:
     """Links between documents whose sets of word shingles have a Jaccard of num / den or more.
 
@@ -289,13 +346,21 @@ class NearCopies:
     1. Equal sets (128-bit digest) are found by grouping; one of them goes on.
     2. The others are hashed into segments by size band. Linked sets that are at most h elements
        apart agree on one of the signatures that ``allocate`` chose for their band.
-    3. Rows of a signature that at least two documents hold are compared with a pivot each, the
-       least id: links found make components, and a signature whose rows are of one component is
-       finished. Otherwise its pivot is done with and more are drawn, 8, 64, ... at a time, members
-       of the smallest components first. So a group of near copies costs some comparisons each,
-       never all pairs, and strangers that share a signature are all compared.
-    4. Pairs are first compared by parity sketches, which no linked pair fails, and then exactly, on
-       the words of both texts.
+    3. Rows of a signature that at least two documents hold are compared with a pivot, the least id:
+       links found make components, and a signature whose other rows are of one component is
+       finished. Otherwise rows near the pivot go on by other signatures (4), and the rest of the
+       signature draws more pivots, 8, 64, ... at a time, members of the smallest components first.
+    4. Sets x, y that link across components cannot both link with pivot b, so their differences
+       X, Y from b have common elements. With c = (den - num) / (den + num), sets link when they are
+       at most c times their sizes apart, so |X & Y| >= (|X| + |Y| - c(x + y)) / 2. If x does not
+       link with b this is at least (|X| - c(x + b)) / 2, and if only x does, above
+       (|X| + c(b - x)) / 2. So x needs as signatures only the rarest elements of X, as many as X
+       has beyond that (a prefix filter). Variants of one template, each with words of its own,
+       so meet one pivot and hardly each other. Linked sets are either both near b or both beyond
+       its radius less ``apart``; between the two a set goes both ways. A set leaves its signature
+       at the first pivot that it is nearer to than that.
+    5. Pairs are first compared by parity sketches, which no linked or near pair fails, and then
+       exactly, on the words of both texts.
     """
 
     def __init__(
@@ -329,20 +394,25 @@ class NearCopies:
         return full.join(classes, ["h1", "h2", "n"]).where("id <> rep").select("id", "text_key", "rep")
 
     def live_signatures(self, copies: DataFrame) -> DataFrame:
-        """``sig``, ``id``, ``n``, ``full`` of signatures that several documents hold."""
+        """``sig``, ``id``, ``text_key``, ``n`` of signatures that several documents hold, at least
+        one as a whole segment."""
         skip = copies.select(F.col("id").alias("c_id"), F.col("text_key").alias("c_key"))
         if copies.count() <= BROADCAST_ROWS:
             skip = F.broadcast(skip)
         on = (F.col("id") == F.col("c_id")) & (F.col("text_key") == F.col("c_key"))
-        own = self.rows.where("id is not null").join(skip, on, "left_anti").select("id", "text")
+        own = self.rows.where("id is not null").join(skip, on, "left_anti").select("id", "text", "text_key")
         plan = _band_plan(self.sets, self.threshold)
-        run, schema = _signature_rows(self.id_type, self.size, self.threshold, plan)
+        run, schema = _signature_rows(self.id_type, self.size, self.threshold, plan, keyed=True)
         rows = own.mapInArrow(run, from_arrow_schema(schema))
         # a window, as an aggregation and a join would compute and shuffle the signatures twice; one
         # signature has at most a row for each document of its size band
         held = Window.partitionBy("sig")
-        rows = rows.withColumn("low", F.min("id").over(held)).withColumn("high", F.max("id").over(held))
-        return rows.where("low <> high").drop("low", "high")
+        rows = (
+            rows.withColumn("low", F.min("id").over(held))
+            .withColumn("high", F.max("id").over(held))
+            .withColumn("any_full", F.max("full").over(held))
+        )
+        return rows.where("low <> high and any_full").select("sig", *SET, "n").distinct()
 
     def labels(self) -> DataFrame:
         """``id``, ``component`` of the ids that any links connect to another."""
@@ -352,21 +422,21 @@ class NearCopies:
         members = members.withColumn("component", F.col("id"))
         ids = members.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
         live = F.col("id") == F.col("live_id")
-        texts = land(self.rows.join(ids, live, "left_semi").select("id", "text"), "texts")
-        sketches = land(self.sets.join(ids, live, "left_semi").select("id", "n", "sketch"), "sketches")
-        labels, compared, pivots = None, None, 1
+        texts = land(self.rows.join(ids, live, "left_semi").select(*SET, "text").distinct(), "texts")
+        sketches = self.sets.join(ids, live, "left_semi").select(*SET, "n", "sketch").distinct()
+        sketches = land(sketches, "sketches")
+        labels, pivots = None, 1
         while not members.isEmpty():
             ranked = land(self._ranked(members), "ranked")
-            pairs = self._candidates(ranked, pivots, sketches)
-            if compared is not None:
-                pairs = pairs.join(compared, ["a", "b"], "left_anti")
-            pairs = land(pairs, "pairs")
-            compared = pairs if compared is None else compared.unionByName(pairs)
+            pairs = land(self._candidates(ranked, pivots, sketches), "pairs")
             with text_batches(self.spark, 200):
-                linked = land(self._verify(pairs, texts), "links")
+                near = land(self._verify(pairs, texts), "near")
+            linked = near.where("linked and p_id <> id").select(
+                F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")
+            )
             if not linked.isEmpty():
-                labels = merged(labels, linked)
-            members = land(self._unfinished(ranked.where(F.col("rank") > pivots), labels), "members")
+                labels = merged(labels, linked.distinct())
+            members = self._unfinished(ranked, pivots, near, labels)
             pivots *= MORE_PIVOTS
         equal = copies.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
         return merged(labels, equal)
@@ -375,61 +445,71 @@ class NearCopies:
     def _ranked(members: DataFrame) -> DataFrame:
         """Members of a signature by the size of their component there, smallest first."""
         share = F.count("*").over(Window.partitionBy("sig", "component"))
-        first = Window.partitionBy("sig").orderBy("share", "id", "n", "full")
+        first = Window.partitionBy("sig").orderBy("share", *SET)
         return members.withColumn("share", share).withColumn("rank", F.row_number().over(first))
 
+    @staticmethod
+    def _met(ranked: DataFrame, pivots: int, members: DataFrame) -> DataFrame:
+        """``sig``, ``p_rank`` and both names of pivots and the members after them."""
+        p = ranked.where(F.col("rank") <= pivots).select(
+            "sig", F.col("id").alias("p_id"), F.col("text_key").alias("p_key"), F.col("rank").alias("p_rank")
+        )
+        met = members.join(p, "sig").where("rank > p_rank")
+        return met.select("sig", "p_rank", *PIVOT, *SET)
+
     def _candidates(self, ranked: DataFrame, pivots: int, sketches: DataFrame) -> DataFrame:
-        """Distinct (a, b), a < b, of a pivot and another member that may link.
+        """Distinct pairs of a pivot and a member that may link or be near.
 
-        Sizes must allow it, the components must differ, one of the signatures must be a whole
-        segment, and the parity sketches (bits set where an odd number of elements falls) must not
-        differ in more bits than the sets may in elements; that holds for every linked pair.
+        Parity sketches (bits set where an odd number of elements falls) never differ in more bits
+        than the sets do in elements.
         """
         den, num = self.threshold.den, self.threshold.num
-        p = ranked.where(F.col("rank") <= pivots).select(
-            "sig", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "full", "component", "rank")]
-        )
-        fits = (
-            (F.col("p_component") != F.col("component"))
-            & (F.col("p_id") != F.col("id"))
-            & ((F.col("rank") > pivots) | (F.col("p_rank") < F.col("rank")))
-            & (F.col("p_full") | F.col("full"))
-            & (F.least("p_n", "n") * den >= F.greatest("p_n", "n") * num)
+        pairs = self._met(ranked, pivots, ranked).select(*PIVOT, *SET).distinct()
+        own = sketches.select(*SET, "n", "sketch")
+        other = sketches.select(
+            *[F.col(c).alias(p) for c, p in zip(SET, PIVOT)], F.col("n").alias("p_n"), F.col("sketch").alias("p_sketch")
         )
-        met = ranked.join(p, "sig").where(fits)
-        pairs = met.select(F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")).distinct()
-        for end in ("a", "b"):
-            own = sketches.select(
-                F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")
-            )
-            pairs = pairs.join(own, end)
+        pairs = pairs.join(own, SET).join(other, PIVOT)
         differ = sum(
-            F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i))))
+            F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("p_sketch", F.lit(i))))
             for i in range(SKETCH // 64)
         )
-        may = F.floor((den - num) * (F.col("n_a") + F.col("n_b")) / (den + num))
-        return pairs.where(differ <= may).select("a", "b").distinct()
+        links = F.floor((den - num) * (F.col("n") + F.col("p_n")) / (den + num))
+        near = F.col("p_n") / 2 + F.floor((den - num) * (F.col("p_n") * (1 + den / num)) / (den + num)) + 1
+        return pairs.where(differ <= F.greatest(links, near)).select(*PIVOT, *SET)
 
     def _verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        run, schema = _verified(self.id_type, self.size, self.threshold)
-        return both.mapInArrow(run, from_arrow_schema(schema)).distinct()
-
-    @staticmethod
-    def _unfinished(rest: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Rows not yet used as pivots, of signatures that still hold several components."""
-        key = ["sig", "id", "n", "full"]
-        named = rest.select(*key, F.col("id").alias("component"))
-        if labels is not None:
-            named = rest.select(*key).join(labels, "id", "left").select(
-                *key, F.coalesce("component", "id").alias("component")
-            )
-        several = named.groupBy("sig").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
+        pivot = texts.select(
+            *[F.col(c).alias(p) for c, p in zip(SET, PIVOT)], F.col("text").alias("p_text")
+        )
+        both = pairs.join(texts, SET).join(pivot, PIVOT).select(*PIVOT, *SET, "p_text", "text")
+        run, schema = _compared(self.id_type, self.size, self.threshold)
+        return both.mapInArrow(run, from_arrow_schema(schema))
+
+    def _unfinished(
+        self, ranked: DataFrame, pivots: int, near: DataFrame, labels: DataFrame | None
+    ) -> DataFrame:
+        """Members of signatures, old and new, that still hold several components."""
+        rest = ranked.where(F.col("rank") > pivots).select("sig", *SET, "n", "rank")
+        rest = land(_several(rest, labels), "rest")
+        if rest.isEmpty():
+            return rest
+        met = self._met(ranked, pivots, rest).join(
+            near.where("differ is not null").select(*PIVOT, *SET, "strict"), [*PIVOT, *SET]
         )
-        return named.join(several.where("low <> high").select("sig"), "sig", "left_semi")
+        met = land(met, "met")
+        left = met.where("strict").groupBy("sig", *SET).agg(F.min("p_rank").alias("stop"))
+        far = rest.join(left, ["sig", *SET], "left_anti").select("sig", *SET, "n")
+        going = met.join(left, ["sig", *SET], "left").where("stop is null or p_rank <= stop")
+        pairs = going.select(*PIVOT, *SET).distinct()
+        elements = near.where("prefix > 0").join(pairs, [*PIVOT, *SET], "left_semi")
+        elements = elements.select(*PIVOT, *SET, "n", "prefix", F.explode("differ").alias("element"))
+        elements = elements.withColumn("sig", F.xxhash64(*PIVOT, "element"))
+        held = elements.groupBy("sig").agg(F.count("*").alias("held")).where("held > 1")
+        rarest = Window.partitionBy(*PIVOT, *SET).orderBy(F.col("held").asc_nulls_first(), "sig")
+        new = elements.join(held, "sig", "left").withColumn("place", F.row_number().over(rarest))
+        new = new.where("place <= prefix and held is not null").select("sig", *SET, "n").distinct()
+        return land(_several(land(far.unionByName(new), "both"), labels), "members")
 
     def per_document(self) -> DataFrame:
         """``id``, ``text_key``, ``n_shingles``, ``component_id`` (smallest id reached), per row."""
