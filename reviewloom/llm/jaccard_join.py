@@ -29,7 +29,10 @@ CANDIDATE = 4.0
 BAND_RATIO = 1.4
 #: Bits of the parity sketch of a set, and how many pivots a signature gets more from round to round.
 SKETCH = 1024
-MORE_PIVOTS = 8
+MORE_PIVOTS = 4
+#: Up to how many rows all pairs of a signature are looked at, without and with places of differences
+#: (which keep nearly all pairs from being made); more go by pivots.
+SMALL, PLACED = 64, 1024
 #: What names a set, and its pivot.
 SET = ["id", "text_key"]
 PIVOT = ["p_id", "p_key"]
@@ -348,14 +351,17 @@ class NearCopies:
        apart agree on one of the signatures that ``allocate`` chose for their band.
     3. Rows of a signature that at least two documents hold are compared with a pivot, the least id:
        links found make components, and a signature whose other rows are of one component is
-       finished. Otherwise rows near the pivot go on by other signatures (4), and the rest of the
-       signature draws more pivots, 8, 64, ... at a time, members of the smallest components first.
+       finished. Otherwise rows near the pivot go on by other signatures (4), and the rest draws
+       more pivots, 4, 16, ... at a time, members of the smallest components first. From the second
+       round on, all members of a signature of at most ``SMALL`` (``PLACED``) rows are pivots,
+       which finishes it.
     4. Sets x, y that link across components cannot both link with pivot b, so their differences
        X, Y from b have common elements. With c = (den - num) / (den + num), sets link when they are
        at most c times their sizes apart, so |X & Y| >= (|X| + |Y| - c(x + y)) / 2. If x does not
        link with b this is at least (|X| - c(x + b)) / 2, and if only x does, above
        (|X| + c(b - x)) / 2. So x needs as signatures only the rarest elements of X, as many as X
-       has beyond that (a prefix filter). Variants of one template, each with words of its own,
+       has beyond that (a prefix filter), and sets that share one as their first need enough
+       differences after it. Variants of one template, each with words of its own,
        so meet one pivot and hardly each other. Linked sets are either both near b or both beyond
        its radius less ``apart``; between the two a set goes both ways. A set leaves its signature
        at the first pivot that it is nearer to than that.
@@ -419,7 +425,10 @@ class NearCopies:
         copies = land(self.equal_sets(), "copies")
         with text_batches(self.spark):
             members = land(self.live_signatures(copies), "signatures")
-        members = members.withColumn("component", F.col("id"))
+        unplaced = F.lit(None).cast("int")
+        members = members.select(
+            "*", F.col("id").alias("component"), unplaced.alias("apart"), unplaced.alias("place")
+        )
         ids = members.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
         live = F.col("id") == F.col("live_id")
         texts = land(self.rows.join(ids, live, "left_semi").select(*SET, "text").distinct(), "texts")
@@ -427,8 +436,8 @@ class NearCopies:
         sketches = land(sketches, "sketches")
         labels, pivots = None, 1
         while not members.isEmpty():
-            ranked = land(self._ranked(members), "ranked")
-            pairs = land(self._candidates(ranked, pivots, sketches), "pairs")
+            ranked = land(self._ranked(members, pivots), "ranked")
+            pairs = land(self._candidates(ranked, sketches), "pairs")
             with text_batches(self.spark, 200):
                 near = land(self._verify(pairs, texts), "near")
             linked = near.where("linked and p_id <> id").select(
@@ -436,38 +445,66 @@ class NearCopies:
             )
             if not linked.isEmpty():
                 labels = merged(labels, linked.distinct())
-            members = self._unfinished(ranked, pivots, near, labels)
+            members = self._unfinished(ranked, near, labels)
             pivots *= MORE_PIVOTS
         equal = copies.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
         return merged(labels, equal)
 
     @staticmethod
-    def _ranked(members: DataFrame) -> DataFrame:
-        """Members of a signature by the size of their component there, smallest first."""
+    def _ranked(members: DataFrame, pivots: int) -> DataFrame:
+        """Members of a signature by the size of their component there, smallest first, and how many
+        are its ``pivots``: all of them where it is small, but in the first round."""
         share = F.count("*").over(Window.partitionBy("sig", "component"))
+        held = F.count("*").over(Window.partitionBy("sig"))
         first = Window.partitionBy("sig").orderBy("share", *SET)
-        return members.withColumn("share", share).withColumn("rank", F.row_number().over(first))
+        bound = F.when(F.col("place").isNull(), SMALL).otherwise(PLACED)
+        few = held <= (bound if pivots > 1 else pivots + 1)
+        ranked = members.withColumn("share", share).withColumn("rank", F.row_number().over(first))
+        return ranked.withColumn("pivots", F.when(few, held).otherwise(F.lit(pivots).cast("long"))).withColumn(
+            "ends", few
+        )
 
-    @staticmethod
-    def _met(ranked: DataFrame, pivots: int, members: DataFrame) -> DataFrame:
-        """``sig``, ``p_rank`` and both names of pivots and the members after them."""
-        p = ranked.where(F.col("rank") <= pivots).select(
-            "sig", F.col("id").alias("p_id"), F.col("text_key").alias("p_key"), F.col("rank").alias("p_rank")
+    def _met(self, ranked: DataFrame, members: DataFrame) -> DataFrame:
+        """``sig``, ``p_rank`` and both names of pivots and the members after them.
+
+        Where all members are pivots, only those that may link: of different components, of fitting
+        sizes, and with enough differences left, from the shared one on, for the overlap needed.
+        """
+        den, num = self.threshold.den, self.threshold.num
+        names = ["n", "component", "apart", "place"]
+        p = ranked.where(F.col("rank") <= F.col("pivots")).select(
+            "sig",
+            "ends",
+            *[F.col(c).alias(p) for c, p in zip(SET, PIVOT)],
+            F.col("rank").alias("p_rank"),
+            *[F.col(c).alias(f"p_{c}") for c in names],
+        )
+        left = 1 + F.least(F.col("apart") - F.col("place"), F.col("p_apart") - F.col("p_place"))
+        total = (den + num) * (F.col("apart") + F.col("p_apart"))
+        overlaps = 2 * (den + num) * left >= total - (den - num) * (F.col("n") + F.col("p_n"))
+        may_link = (
+            (F.col("component") != F.col("p_component"))
+            & (F.least("n", "p_n") * den >= F.greatest("n", "p_n") * num)
+            & (F.col("apart").isNull() | overlaps)
         )
-        met = members.join(p, "sig").where("rank > p_rank")
-        return met.select("sig", "p_rank", *PIVOT, *SET)
+        own = members.select("sig", *SET, "rank", *names)
+        met = own.join(p, "sig").where((F.col("rank") > F.col("p_rank")) & (~F.col("ends") | may_link))
+        return met.select("sig", "p_rank", *PIVOT, *SET, "ends")
 
-    def _candidates(self, ranked: DataFrame, pivots: int, sketches: DataFrame) -> DataFrame:
-        """Distinct pairs of a pivot and a member that may link or be near.
+    def _candidates(self, ranked: DataFrame, sketches: DataFrame) -> DataFrame:
+        """Distinct pairs of a pivot and a member that may link or, if that is of use, be near.
 
         Parity sketches (bits set where an odd number of elements falls) never differ in more bits
         than the sets do in elements.
         """
         den, num = self.threshold.den, self.threshold.num
-        pairs = self._met(ranked, pivots, ranked).select(*PIVOT, *SET).distinct()
+        met = self._met(ranked, ranked)
+        pairs = met.groupBy(*PIVOT, *SET).agg(F.min("ends").alias("ends"))
         own = sketches.select(*SET, "n", "sketch")
         other = sketches.select(
-            *[F.col(c).alias(p) for c, p in zip(SET, PIVOT)], F.col("n").alias("p_n"), F.col("sketch").alias("p_sketch")
+            *[F.col(c).alias(p) for c, p in zip(SET, PIVOT)],
+            F.col("n").alias("p_n"),
+            F.col("sketch").alias("p_sketch"),
         )
         pairs = pairs.join(own, SET).join(other, PIVOT)
         differ = sum(
@@ -476,7 +513,8 @@ class NearCopies:
         )
         links = F.floor((den - num) * (F.col("n") + F.col("p_n")) / (den + num))
         near = F.col("p_n") / 2 + F.floor((den - num) * (F.col("p_n") * (1 + den / num)) / (den + num)) + 1
-        return pairs.where(differ <= F.greatest(links, near)).select(*PIVOT, *SET)
+        most = F.when(F.col("ends"), links).otherwise(F.greatest(links, near))
+        return pairs.where(differ <= most).select(*PIVOT, *SET)
 
     def _verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         pivot = texts.select(
@@ -486,29 +524,29 @@ class NearCopies:
         run, schema = _compared(self.id_type, self.size, self.threshold)
         return both.mapInArrow(run, from_arrow_schema(schema))
 
-    def _unfinished(
-        self, ranked: DataFrame, pivots: int, near: DataFrame, labels: DataFrame | None
-    ) -> DataFrame:
+    def _unfinished(self, ranked: DataFrame, near: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Members of signatures, old and new, that still hold several components."""
-        rest = ranked.where(F.col("rank") > pivots).select("sig", *SET, "n", "rank")
+        kept = ["sig", *SET, "n", "apart", "place"]
+        rest = ranked.where(F.col("rank") > F.col("pivots")).select(*kept, "rank")
         rest = land(_several(rest, labels), "rest")
         if rest.isEmpty():
             return rest
-        met = self._met(ranked, pivots, rest).join(
+        met = self._met(ranked, rest).join(
             near.where("differ is not null").select(*PIVOT, *SET, "strict"), [*PIVOT, *SET]
         )
         met = land(met, "met")
         left = met.where("strict").groupBy("sig", *SET).agg(F.min("p_rank").alias("stop"))
-        far = rest.join(left, ["sig", *SET], "left_anti").select("sig", *SET, "n")
+        far = rest.join(left, ["sig", *SET], "left_anti").select(*kept)
         going = met.join(left, ["sig", *SET], "left").where("stop is null or p_rank <= stop")
         pairs = going.select(*PIVOT, *SET).distinct()
         elements = near.where("prefix > 0").join(pairs, [*PIVOT, *SET], "left_semi")
-        elements = elements.select(*PIVOT, *SET, "n", "prefix", F.explode("differ").alias("element"))
+        apart = F.size("differ").alias("apart")
+        elements = elements.select(*PIVOT, *SET, "n", "prefix", apart, F.explode("differ").alias("element"))
         elements = elements.withColumn("sig", F.xxhash64(*PIVOT, "element"))
         held = elements.groupBy("sig").agg(F.count("*").alias("held")).where("held > 1")
         rarest = Window.partitionBy(*PIVOT, *SET).orderBy(F.col("held").asc_nulls_first(), "sig")
         new = elements.join(held, "sig", "left").withColumn("place", F.row_number().over(rarest))
-        new = new.where("place <= prefix and held is not null").select("sig", *SET, "n").distinct()
+        new = new.where("place <= prefix and held is not null").select(*kept)
         return land(_several(land(far.unionByName(new), "both"), labels), "members")
 
     def per_document(self) -> DataFrame:

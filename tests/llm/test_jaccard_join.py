@@ -101,6 +101,74 @@ def test_signatures_meet_within_the_distance():
             assert any({d for d, _ in m} == {1, 2} and any(f for _, f in m) for m in met.values())
 
 
+def test_differences_from_pivots_lose_no_link(spark, monkeypatch):
+    """Signatures of more than two rows always go by pivots, and their members by differences."""
+    monkeypatch.setattr(J, "SMALL", 2)
+    monkeypatch.setattr(J, "PLACED", 2)
+    rows = near_group(45)
+    got = J.near_components(table(spark, rows), size=3, num=90, den=100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == expected(rows, 3, 90)
+
+
+@pytest.mark.parametrize("num", [50, 80, 90])
+def test_linked_sets_share_an_early_difference(num):
+    """Of two linked sets that are not both linked with a pivot and both near, the first difference
+    in common is among the first ``prefix`` of both; near sets are told from far ones on both sides."""
+    rng = random.Random(num)
+    threshold = J.Threshold(num, 100)
+
+    def linked(x, y):
+        return threshold.close(len(x ^ y), len(x) + len(y))
+
+    met = 0
+    for _ in range(20_000):
+        n = rng.randrange(5, 60)
+        sets = []
+        for _ in range(3):
+            keep = rng.uniform(0.6, 1)
+            own = {v for v in range(n) if rng.random() < keep}
+            sets.append(own | {rng.randrange(100, 112) for _ in range(rng.randrange(4))})
+        b, x, y = sets
+        if not (x and y and b) or not linked(x, y) or (linked(x, b) and linked(y, b)):
+            continue
+        room = [threshold.radius(len(b)) - len(s ^ b) for s in (x, y)]
+        both_near = min(room) >= 0
+        assert both_near or all(r < threshold.apart(len(s)) for r, s in zip(room, (x, y)))
+        if both_near and x != b and y != b:
+            met += 1
+            first = min((x ^ b) & (y ^ b))
+            for s in (x, y):
+                place = sorted(s ^ b).index(first) + 1
+                assert place <= threshold.prefix(len(s ^ b), len(s), len(b), linked(s, b))
+    assert met > 50
+
+
+def test_strangers_of_one_template_make_few_pairs(spark, monkeypatch):
+    """Texts of one template with nine words of their own each: none link, and the pairs compared
+    grow with the texts, not with their square."""
+    made = []
+    verify = J.NearCopies._verify
+    monkeypatch.setattr(
+        J.NearCopies, "_verify", lambda self, pairs, texts: made.append(pairs.count()) or verify(self, pairs, texts)
+    )
+    rng = random.Random(3)
+
+    def compared(n):
+        rows = []
+        for i in range(n):
+            words = [f"t{k}" for k in range(110)]
+            for k in rng.sample(range(110), 9):
+                words[k] = f"own{i}x{k}"
+            rows.append((i, " ".join(words)))
+        made.clear()
+        got = J.near_components(table(spark, rows), size=3, num=90, den=100).collect()
+        assert all(r.component_id == r.doc_id for r in got)
+        return sum(made)
+
+    few = compared(150)
+    assert compared(600) <= 6 * max(few, 150)
+
+
 def test_drop_keeps_one_of_each_group(spark):
     rows = near_group(30) + [(1, "a b c"), (1, "a b c"), (2, "a b c"), (3, None), (4, ""), (None, "a b c")]
     docs = table(spark, rows, extra=True)
