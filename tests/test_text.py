@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import uuid
 
 import pytest
@@ -62,6 +63,14 @@ def test_nfkc(spark):
     assert column(spark, [a for a, _ in FORMS], text.nfkc) == [b for _, b in FORMS]
 
 
+def test_texts_that_nfkc_may_change_are_told_by_few_ranges(spark):
+    assert text._steady().count("{") < 60
+    rows = spark.createDataFrame([(i, f"{'a' * (i % 3)}{chr(i)}") for i in range(1, 0x400)], "i int, t string")
+    told = rows.select("t", F.col("t").rlike(text._steady()).alias("steady")).collect()
+    for row in told:
+        assert row.steady == all(ord(c) < 0x300 and unicodedata.normalize("NFKC", c) == c for c in row.t)
+
+
 def test_native_fold_agrees_with_nfkc_on_ascii_forms(spark):
     values = ["ＡＢＣ　１２３！？（）", "abc 123"]
     assert column(spark, values, text.fold_width) == column(spark, values, text.nfkc)
