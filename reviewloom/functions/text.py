@@ -61,8 +61,8 @@ SPACED = TextProfile(SPACED_MARKS, (), full_nfkc=False, orthography=False)
 
 
 def strip(text: Column) -> Column:
-    """Remove Unicode white space at both ends."""
-    return F.regexp_replace(text, rf"^{WHITESPACE}++|{WHITESPACE}++$", "")
+    """Remove Unicode white space (``WHITESPACE``, here as characters) at both ends."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def cut_sentences(text: Column, marks: str = SENTENCE_MARKS, runs: tuple[str, ...] = SENTENCE_RUNS) -> Column:

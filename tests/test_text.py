@@ -76,6 +76,15 @@ def test_native_fold_agrees_with_nfkc_on_ascii_forms(spark):
     assert column(spark, values, text.fold_width) == column(spark, values, text.nfkc)
 
 
+def test_strip_trims_what_the_pattern_matches(spark):
+    """Every character as an end, and as what stands inside white space."""
+    assert "regexp" not in str(text.strip(F.col("x"))).lower()  # a pattern is tried at every character of a text
+    chars = [chr(c) for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000]
+    rows = spark.createDataFrame([(f"{x}{c} a{c} b{c}{y}",) for c in chars for x, y in (("", ""), (" ", "\n"))], "t string")
+    by_pattern = F.regexp_replace("t", rf"^{text.WHITESPACE}++|{text.WHITESPACE}++$", "")
+    assert rows.where(text.strip(F.col("t")) != by_pattern).count() == 0
+
+
 def test_strip_removes_unicode_space(spark):
     assert column(spark, ["　 a b\t ", " \n ", "x\x1f"], text.strip) == ["a b", "", "x"]
 
