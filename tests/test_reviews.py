@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom import schemas as S
+from reviewloom.operators import tokens
 from reviewloom.operators.dedup import latest_per_review
 from reviewloom.operators.ingest import make_run_id, with_ingest_metadata
 from reviewloom.operators.lookups import first_per_key, hot_key_left_join, last_per_key, lookup
@@ -234,3 +235,16 @@ def test_reason_gate(spark):
     assert_reasons(spark.createDataFrame([good], REASON), entities, issues)
     with pytest.raises(ValueError, match="confidence outside 0..1"):
         assert_reasons(spark.createDataFrame(bad[:1], REASON), entities, issues)
+
+
+def test_partitions_grow_with_the_text_of_reviews(spark):
+    """Tokens of a task must stay in memory at any size of the input."""
+    reviews = spark.range(64).select(
+        F.lit("r").alias("run_id"), F.col("id").cast("string").alias("row_id"), F.lit("v").alias("review_id"),
+        F.repeat(F.lit("a b. "), 200_000).alias("review_text"))
+    wanted = 64 * 1_000_000 // tokens.PARTITION_TEXT + 1
+    assert tokens.partitions_for(reviews) == wanted > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tokens.by_review(reviews).rdd.getNumPartitions() == wanted
+    few = reviews.limit(1)
+    assert tokens.partitions_for(few) == max(4, spark.sparkContext.defaultParallelism)
+    assert tokens.partitions_for(few.where("false")) == tokens.partitions_for(few)
