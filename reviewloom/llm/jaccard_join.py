@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 from pyspark.sql.window import Window
@@ -29,9 +29,11 @@ CANDIDATE = 4.0
 BAND_RATIO = 1.4
 #: Bits of the parity sketch of a set, and how many pivots a signature gets more from round to round.
 SKETCH = 1024
+#: The sketch folded to so many 64-bit words, which go with the members of a signature.
+FOLDED = 8
 MORE_PIVOTS = 4
-#: Up to how many rows all pairs of a signature are looked at, without and with places of differences
-#: (which keep nearly all pairs from being made); more go by pivots.
+#: Up to how many rows all pairs of a signature are looked at: where neither folded sketches nor places
+#: of differences keep nearly all pairs from being made, and where they do; more go by pivots.
 SMALL, PLACED = 64, 1024
 #: What names a set, and its pivot.
 SET = ["id", "text_key"]
@@ -108,7 +110,8 @@ class Threshold:
             least = (total * differ + apart * (pivot - n)) // (2 * total) + 1
         else:
             least = -((apart * (n + pivot) - total * differ) // (2 * total))
-        return differ - max(least, 1) + 1
+        # what only one of two linked sets differs in from the pivot stands between them
+        return differ - max(least, differ - self.apart(n), 1) + 1
 
 
 @lru_cache(maxsize=None)
@@ -329,14 +332,35 @@ def _band_plan(sets: DataFrame, threshold: Threshold) -> dict[int, Allocation]:
 
 
 def _several(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members with their ``component``, of signatures that hold more than one."""
+    """Members with their ``component``, of signatures that hold more than one.
+
+    Signatures of one ``origin`` with the same members (by count and 128 bits of their names) give the
+    same pairs: near copies agree on most segments, so that one of them stays, the first in the order
+    of places. Others' members differ, and theirs stay.
+    """
     if labels is not None:
         members = members.join(labels, "id", "left")
         members = members.withColumn("component", F.coalesce("component", "id"))
     else:
         members = members.withColumn("component", F.col("id"))
-    held = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(held.where("low <> high").select("sig"), "sig", "left_semi")
+    held = members.groupBy("sig").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min("origin").alias("origin"),
+        F.min("place").alias("first"),
+        F.count("*").alias("held"),
+        F.bit_xor(F.xxhash64(*SET)).alias("names"),
+        F.bit_xor(F.xxhash64(F.lit(1), *SET)).alias("others"),
+    )
+    alike = held.where("low <> high").groupBy("origin", "held", "names", "others")
+    kept = alike.agg(F.min(F.struct("first", "sig")).alias("kept")).select("kept.sig")
+    return members.join(kept, "sig", "left_semi")
+
+
+def _fold(i: int) -> Column:
+    """Word i of the parity sketch of ``FOLDED`` words: places that are equal modulo it are added."""
+    words = [F.get("sketch", F.lit(w)) for w in range(i, SKETCH // 64, FOLDED)]
+    return reduce(Column.bitwiseXOR, words)
 
 
 class NearCopies:
@@ -351,10 +375,10 @@ class NearCopies:
        apart agree on one of the signatures that ``allocate`` chose for their band.
     3. Rows of a signature that at least two documents hold are compared with a pivot, the least id:
        links found make components, and a signature whose other rows are of one component is
-       finished. Otherwise rows near the pivot go on by other signatures (4), and the rest draws
-       more pivots, 4, 16, ... at a time, members of the smallest components first. From the second
-       round on, all members of a signature of at most ``SMALL`` (``PLACED``) rows are pivots,
-       which finishes it.
+       finished. From the second round on, all members of a signature of at most ``SMALL``
+       (``PLACED``) rows are pivots, which finishes it. In larger ones, rows near the pivot go on by
+       other signatures (4), and the rest draws more pivots, 4, 16, ... at a time, members of the
+       smallest components first.
     4. Sets x, y that link across components cannot both link with pivot b, so their differences
        X, Y from b have common elements. With c = (den - num) / (den + num), sets link when they are
        at most c times their sizes apart, so |X & Y| >= (|X| + |Y| - c(x + y)) / 2. If x does not
@@ -427,16 +451,18 @@ class NearCopies:
             members = land(self.live_signatures(copies), "signatures")
         unplaced = F.lit(None).cast("int")
         members = members.select(
-            "*", F.col("id").alias("component"), unplaced.alias("apart"), unplaced.alias("place")
+            "*", unplaced.alias("apart"), unplaced.alias("place"), F.lit(None).cast("long").alias("origin")
         )
+        members = land(_several(members, None), "members")
         ids = members.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
         live = F.col("id") == F.col("live_id")
         texts = land(self.rows.join(ids, live, "left_semi").select(*SET, "text").distinct(), "texts")
         sketches = self.sets.join(ids, live, "left_semi").select(*SET, "n", "sketch").distinct()
         sketches = land(sketches, "sketches")
+        folded = sketches.select(*SET, *[_fold(i).alias(f"fold_{i}") for i in range(FOLDED)])
         labels, pivots = None, 1
         while not members.isEmpty():
-            ranked = land(self._ranked(members, pivots), "ranked")
+            ranked = land(self._ranked(members, pivots).join(folded, SET), "ranked")
             pairs = land(self._candidates(ranked, sketches), "pairs")
             with text_batches(self.spark, 200):
                 near = land(self._verify(pairs, texts), "near")
@@ -445,33 +471,48 @@ class NearCopies:
             )
             if not linked.isEmpty():
                 labels = merged(labels, linked.distinct())
-            members = self._unfinished(ranked, near, labels)
+            members = self._unfinished(ranked, near, labels, pivots)
             pivots *= MORE_PIVOTS
         equal = copies.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
         return merged(labels, equal)
 
-    @staticmethod
-    def _ranked(members: DataFrame, pivots: int) -> DataFrame:
+    def _bound(self) -> Column:
+        """``SMALL`` or ``PLACED``. Folded sketches tell strangers apart if a quarter of their bits, half
+        of what random ones differ in, is more than linked sets of this size may differ in."""
+        widest = F.max("n").over(Window.partitionBy("sig"))
+        den, num = self.threshold.den, self.threshold.num
+        told = 2 * (den - num) * widest <= (den + num) * FOLDED * 16
+        return F.when(F.col("place").isNotNull() | told, PLACED).otherwise(SMALL)
+
+    def _ranked(self, members: DataFrame, pivots: int) -> DataFrame:
         """Members of a signature by the size of their component there, smallest first, and how many
         are its ``pivots``: all of them where it is small, but in the first round."""
         share = F.count("*").over(Window.partitionBy("sig", "component"))
         held = F.count("*").over(Window.partitionBy("sig"))
         first = Window.partitionBy("sig").orderBy("share", *SET)
-        bound = F.when(F.col("place").isNull(), SMALL).otherwise(PLACED)
-        few = held <= (bound if pivots > 1 else pivots + 1)
         ranked = members.withColumn("share", share).withColumn("rank", F.row_number().over(first))
+        few = held <= (self._bound() if pivots > 1 else pivots + 1)
         return ranked.withColumn("pivots", F.when(few, held).otherwise(F.lit(pivots).cast("long"))).withColumn(
             "ends", few
         )
 
-    def _met(self, ranked: DataFrame, members: DataFrame) -> DataFrame:
+    def _most(self) -> Column:
+        """How many elements apart a member ``n`` and a pivot ``p_n`` are at most that link or, unless
+        the signature ``ends``, are near."""
+        den, num = self.threshold.den, self.threshold.num
+        links = F.floor((den - num) * (F.col("n") + F.col("p_n")) / (den + num))
+        near = F.col("p_n") / 2 + F.floor((den - num) * (F.col("p_n") * (1 + den / num)) / (den + num)) + 1
+        return F.when(F.col("ends"), links).otherwise(F.greatest(links, near))
+
+    def _met(self, ranked: DataFrame, members: DataFrame, folded: bool = False) -> DataFrame:
         """``sig``, ``p_rank`` and both names of pivots and the members after them.
 
         Where all members are pivots, only those that may link: of different components, of fitting
         sizes, and with enough differences left, from the shared one on, for the overlap needed.
+        ``folded``: only those whose folded sketches are not too far apart either.
         """
         den, num = self.threshold.den, self.threshold.num
-        names = ["n", "component", "apart", "place"]
+        names = ["n", "component", "apart", "place"] + [f"fold_{i}" for i in range(FOLDED)] * folded
         p = ranked.where(F.col("rank") <= F.col("pivots")).select(
             "sig",
             "ends",
@@ -489,16 +530,19 @@ class NearCopies:
         )
         own = members.select("sig", *SET, "rank", *names)
         met = own.join(p, "sig").where((F.col("rank") > F.col("p_rank")) & (~F.col("ends") | may_link))
+        if folded:
+            differ = [F.bit_count(F.col(f"fold_{i}").bitwiseXOR(F.col(f"p_fold_{i}"))) for i in range(FOLDED)]
+            met = met.where(sum(differ) <= self._most())
         return met.select("sig", "p_rank", *PIVOT, *SET, "ends")
 
     def _candidates(self, ranked: DataFrame, sketches: DataFrame) -> DataFrame:
         """Distinct pairs of a pivot and a member that may link or, if that is of use, be near.
 
         Parity sketches (bits set where an odd number of elements falls) never differ in more bits
-        than the sets do in elements.
+        than the sets do in elements. Folded to a quarter they go along with the members, so that
+        most pairs end where they meet; the whole ones are looked up for the others.
         """
-        den, num = self.threshold.den, self.threshold.num
-        met = self._met(ranked, ranked)
+        met = self._met(ranked, ranked, folded=True)
         pairs = met.groupBy(*PIVOT, *SET).agg(F.min("ends").alias("ends"))
         own = sketches.select(*SET, "n", "sketch")
         other = sketches.select(
@@ -511,10 +555,7 @@ class NearCopies:
             F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("p_sketch", F.lit(i))))
             for i in range(SKETCH // 64)
         )
-        links = F.floor((den - num) * (F.col("n") + F.col("p_n")) / (den + num))
-        near = F.col("p_n") / 2 + F.floor((den - num) * (F.col("p_n") * (1 + den / num)) / (den + num)) + 1
-        most = F.when(F.col("ends"), links).otherwise(F.greatest(links, near))
-        return pairs.where(differ <= most).select(*PIVOT, *SET)
+        return pairs.where(differ <= self._most()).select(*PIVOT, *SET)
 
     def _verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         pivot = texts.select(
@@ -524,14 +565,21 @@ class NearCopies:
         run, schema = _compared(self.id_type, self.size, self.threshold)
         return both.mapInArrow(run, from_arrow_schema(schema))
 
-    def _unfinished(self, ranked: DataFrame, near: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Members of signatures, old and new, that still hold several components."""
-        kept = ["sig", *SET, "n", "apart", "place"]
+    def _unfinished(
+        self, ranked: DataFrame, near: DataFrame, labels: DataFrame | None, pivots: int
+    ) -> DataFrame:
+        """Members of signatures, old and new, that still hold several components.
+
+        ``origin`` names the round and the pivot of new ones: places are comparable within these only.
+        """
+        kept = ["sig", *SET, "n", "apart", "place", "origin"]
         rest = ranked.where(F.col("rank") > F.col("pivots")).select(*kept, "rank")
-        rest = land(_several(rest, labels), "rest")
-        if rest.isEmpty():
-            return rest
-        met = self._met(ranked, rest).join(
+        many = F.count("*").over(Window.partitionBy("sig")) > self._bound()
+        rest = land(_several(rest, labels).withColumn("many", many), "rest")
+        large = rest.where("many")
+        if large.isEmpty():
+            return rest.select(*kept, "component")
+        met = self._met(ranked, large).join(
             near.where("differ is not null").select(*PIVOT, *SET, "strict"), [*PIVOT, *SET]
         )
         met = land(met, "met")
@@ -542,7 +590,8 @@ class NearCopies:
         elements = near.where("prefix > 0").join(pairs, [*PIVOT, *SET], "left_semi")
         apart = F.size("differ").alias("apart")
         elements = elements.select(*PIVOT, *SET, "n", "prefix", apart, F.explode("differ").alias("element"))
-        elements = elements.withColumn("sig", F.xxhash64(*PIVOT, "element"))
+        origin = F.xxhash64(F.lit(pivots), *PIVOT)
+        elements = elements.withColumn("origin", origin).withColumn("sig", F.xxhash64("origin", "element"))
         held = elements.groupBy("sig").agg(F.count("*").alias("held")).where("held > 1")
         rarest = Window.partitionBy(*PIVOT, *SET).orderBy(F.col("held").asc_nulls_first(), "sig")
         new = elements.join(held, "sig", "left").withColumn("place", F.row_number().over(rarest))

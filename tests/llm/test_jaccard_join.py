@@ -169,6 +169,20 @@ def test_strangers_of_one_template_make_few_pairs(spark, monkeypatch):
     assert compared(600) <= 6 * max(few, 150)
 
 
+def test_a_prefix_is_no_longer_than_linked_sets_differ():
+    threshold = J.Threshold(80, 100)
+    assert threshold.prefix(100, 200, 200, False) == threshold.apart(200) + 1 == 51
+
+
+def test_signatures_with_the_same_members_count_once(spark):
+    rows = [(sig, doc, 0, None, None) for sig in (1, 2, 3) for doc in (10, 11)]
+    rows += [(4, 10, 0, None, None), (4, 12, 0, None, None), (5, 10, 0, None, None)]
+    rows += [(sig, doc, 0, 7, place) for sig, place in ((6, 3), (8, 2)) for doc in (10, 11)]
+    members = spark.createDataFrame(rows, "sig long, id long, text_key long, origin long, place int")
+    held = J._several(members, None).groupBy("sig").count().collect()
+    assert sorted(map(tuple, held)) == [(1, 2), (4, 2), (8, 2)]
+
+
 def test_drop_keeps_one_of_each_group(spark):
     rows = near_group(30) + [(1, "a b c"), (1, "a b c"), (2, "a b c"), (3, None), (4, ""), (None, "a b c")]
     docs = table(spark, rows, extra=True)
