@@ -29,7 +29,9 @@ BUCKETS_PER_PARTITION = 4
 MATCHES, LONG_TEXT = 1_000_000, 16 << 20
 #: Encoded words of a bucket that a task remembers, and positions that are put together at a time.
 REMEMBERED = 500_000
-ASSEMBLED = 500_000
+ASSEMBLED = 100_000
+#: Rows that are decoded at a time.
+DECODED = 500
 #: Up to this length a word's pairs are searched one by one, beyond it they are kept in a heap.
 SHORT_WORD = 40
 
@@ -53,15 +55,16 @@ def _ranges(pattern: str) -> list[tuple[int, int]]:
 
 
 @lru_cache(maxsize=4)
-def _patterns(pattern: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+def spelt_out(pattern: str) -> tuple[str, str, str]:
     """``pattern`` for texts up to U+00FF, up to U+FFFF, and for all others.
 
     Letters, numbers and spaces are spelt out as the library's engine has them, so that characters
-    of newer Unicode versions are cut as there; fewer ranges make the short forms fast.
+    of newer Unicode versions are cut as there; fewer ranges make the short forms fast. Listing every
+    character takes 100 MB for a moment, so the driver does it for all tasks.
     """
     classes = {name: _ranges(name) for name in (r"\p{L}", r"\p{N}", r"\s")}
 
-    def spelt(top: int) -> re.Pattern:
+    def spelt(top: int) -> str:
         inside = {
             name: "".join(f"\\U{a:08x}-\\U{min(b, top):08x}" for a, b in ranges if a <= top)
             for name, ranges in classes.items()
@@ -77,14 +80,20 @@ def _patterns(pattern: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
                 in_class = {"[": True, "]": False}.get(pattern[i], in_class)
                 out.append(pattern[i])
             i += len(name or " ")
-        return re.compile("".join(out))
+        return "".join(out)
 
     return spelt(0xFF), spelt(0xFFFF), spelt(sys.maxunicode)
 
 
-def pre_tokens(text: str, pattern: str) -> Iterator[list[str]]:
-    """All matches in order, in lists of a bounded length if the text is long."""
-    latin, basic, full = _patterns(pattern)
+@lru_cache(maxsize=4)
+def _compiled(spelt: tuple[str, str, str]) -> tuple[re.Pattern, ...]:
+    return tuple(map(re.compile, spelt))
+
+
+def pre_tokens(text: str, pattern: str | tuple[str, str, str]) -> Iterator[list[str]]:
+    """All matches in order, in lists of a bounded length if the text is long. ``pattern`` may be
+    ``spelt_out`` before."""
+    latin, basic, full = _compiled(spelt_out(pattern) if isinstance(pattern, str) else pattern)
     if text.isascii():
         chosen = latin
     else:
@@ -176,7 +185,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 _END = b"\xff"
 
 
-def _exploder(id_type: pa.DataType, ranks_file, pattern: str, buckets: int, block_chars: int):
+def _exploder(id_type: pa.DataType, ranks_file, pattern: tuple[str, str, str], buckets: int, block_chars: int):
     """Blocks of documents become rows of two kinds.
 
     A block numbers its distinct words, the most frequent first. Its head holds the documents (``docs``),
@@ -352,7 +361,7 @@ def encode(
     id_type = to_arrow_type(rows.schema["id"].dataType)
     shared = spark.sparkContext.broadcast(ranks)
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    run, schema = _exploder(id_type, shared, pattern, buckets, BLOCK_CHARS)
+    run, schema = _exploder(id_type, shared, spelt_out(pattern), buckets, BLOCK_CHARS)
     by_word = rows.mapInArrow(run, from_arrow_schema(schema)).repartition("slot").sortWithinPartitions("slot")
     run, schema = _encoder(id_type, shared)
     coded = by_word.mapInArrow(run, from_arrow_schema(schema))
@@ -361,6 +370,34 @@ def encode(
     return by_block.mapInArrow(run, from_arrow_schema(schema))
 
 
+def _decoder(schema: pa.Schema, at: int, ranks_file):
+    """Batches with the bytes of the ids in column ``at``, ``DECODED`` rows at a time: a batch of long
+    texts would otherwise stand several times in memory. The bytes taken are the column's own buffer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known(ranks_file.value)
+        by_id: list[bytes | None] = [None] * (max(known.values(), default=-1) + 1)
+        for token, rank in known.items():
+            by_id[rank] = token
+        table = pa.array(by_id, pa.binary())
+        for batch in batches:
+            for start in range(0, batch.num_rows, DECODED):
+                part = batch.slice(start, DECODED)
+                lists = part.column(at)
+                found = table.take(lists.flatten())
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                upto = np.concatenate(([0], np.cumsum(sizes)))
+                _, width, data = found.buffers()
+                cut = np.frombuffer(width, dtype="<i4")[upto + found.offset] if len(found) else np.zeros(len(upto), "<i4")
+                valid = pa.array(lists.is_valid().to_numpy(zero_copy_only=False)).buffers()[1]
+                out = pa.Array.from_buffers(
+                    pa.binary(), len(part), [valid, pa.py_buffer(cut.tobytes()), data or pa.py_buffer(b"")]
+                )
+                yield pa.RecordBatch.from_arrays([*part.columns, out], schema=schema)
+
+    return run
+
+
 def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", as_col: str = "decoded") -> DataFrame:
     """``encoded`` with ``as_col`` (binary): the bytes of the tokens, one after the other.
 
@@ -373,24 +410,5 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids", as_col: str =
     given = encoded.select(*[column(encoded, c) for c in kept])
     schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in given.schema.fields] + [(as_col, pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known(shared.value)
-        by_id: list[bytes | None] = [None] * (max(known.values(), default=-1) + 1)
-        for token, rank in known.items():
-            by_id[rank] = token
-        table = pa.array(by_id, pa.binary())
-        at = kept.index(ids_col)
-        for batch in batches:
-            lists = batch.column(at)
-            ids = lists.flatten()
-            found = table.take(ids)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            upto = np.concatenate(([0], np.cumsum(sizes)))
-            width, buffer = np.frombuffer(found.buffers()[1], dtype="<i4"), found.buffers()[2]
-            data = buffer.to_pybytes() if buffer else b""
-            cut = width[upto + found.offset].tolist() if len(found) else [0] * len(upto)
-            out = [data[a:b] if v else None for a, b, v in zip(cut, cut[1:], lists.is_valid().to_pylist())]
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], schema=schema)
-
+    run = _decoder(schema, kept.index(ids_col), shared)
     return given.mapInArrow(run, from_arrow_schema(schema))

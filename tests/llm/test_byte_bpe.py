@@ -1,7 +1,9 @@
 import hashlib
 import random
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.errors import PythonException
@@ -99,3 +101,22 @@ def test_query_equals_the_library_on_the_given_table(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_decoding_takes_few_rows_at_a_time(ranks):
+    """A batch of long texts is never decoded whole; slices, nulls and empty arrays stay in place."""
+    known = byte_bpe.read_ranks(ranks)
+    texts = [None if i % 7 == 3 else b"ab \xff" * (i % 5) for i in range(byte_bpe.DECODED * 2 + 5)]
+    ids = [None if t is None else byte_bpe.merge(t, known) if t else [] for t in texts]
+    schema = pa.schema([("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+    batch = pa.RecordBatch.from_arrays([pa.array([[1]] + ids, pa.list_(pa.int32()))], names=["ids"]).slice(1)
+    out = list(byte_bpe._decoder(schema, 0, SimpleNamespace(value=ranks))(iter([batch])))
+    assert [len(b) for b in out] == [byte_bpe.DECODED, byte_bpe.DECODED, 5]
+    assert [v for b in out for v in b.column(1).to_pylist()] == texts
+
+
+def test_tasks_get_the_pattern_spelt_out(monkeypatch):
+    spelt = byte_bpe.spelt_out(PATTERN)
+    monkeypatch.setattr(byte_bpe, "_ranges", None)
+    byte_bpe.spelt_out.cache_clear()
+    assert list(byte_bpe.pre_tokens("ab 12é 日本", spelt)) == [["ab", " 12", "é", " 日本"]]
