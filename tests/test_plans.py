@@ -80,3 +80,14 @@ def test_only_texts_that_may_change_go_through_python(spark):
     assert got == {i: v if v is None else unicodedata.normalize("NFKC", v) for i, v in enumerate(values)}
     steady = spark.createDataFrame([("abc",), ("Straße",), (None,)], "t string").where(~F.col("t").rlike(text._steady()))
     assert steady.isEmpty()
+
+
+def test_reasons_are_sorted_by_compiled_comparisons(spark):
+    """``array_sort`` compares two structs by an interpreted lambda; ``sort_array`` is compiled, in a column of its own."""
+    pairs = spark.createDataFrame(
+        [], "run_id string, review_id string, row_id string, pairs array<struct<polarities:array<string>, "
+        "subjects:array<struct<index:int,lemma:string,entity:string>>, "
+        "predicates:array<struct<index:int,lemma:string,issue_category:string>>>>")
+    plan = distinct_reasons(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort(" not in plan
+    assert plan.count("sort_array(") == 1 and "explode(filter(found" in plan
