@@ -29,7 +29,8 @@ CANDIDATE = 4.0
 BAND_RATIO = 1.4
 #: Bits of the parity sketch of a set, and how many pivots a signature gets more from round to round.
 SKETCH = 1024
-#: The sketch folded to so many 64-bit words, which go with the members of a signature.
+#: The sketch folded to so many 64-bit words, which go with the members of a signature; wider ones follow
+#: where the sets are too large for these.
 FOLDED = 8
 MORE_PIVOTS = 4
 #: Up to how many rows all pairs of a signature are looked at: where neither folded sketches nor places
@@ -99,6 +100,15 @@ class Threshold:
         """Whether sets of ``sizes`` elements together link, ``differ`` apart."""
         return (self.den + self.num) * differ <= (self.den - self.num) * sizes
 
+    def sketch_bits(self, n: int) -> int:
+        """Bits of the widest sketch of a set of n: ``SKETCH`` or a power of two beyond, such that a
+        quarter is more than linked sets up to twice as large may differ in."""
+        return max(SKETCH, 64 << (-(-self.bits_of()[0] * n // self.bits_of()[1]) - 1).bit_length())
+
+    def bits_of(self) -> tuple[int, int]:
+        """Numerator and denominator of the 64-bit words of a sketch per element of a set."""
+        return self.den - self.num, 4 * (self.den + self.num)
+
     def radius(self, n: int) -> int:
         """Up to how many elements apart sets are near a pivot of n; any number gives whole results."""
         return n // 2 + self.apart(n)
@@ -167,28 +177,36 @@ def allocate(n: float, least: int, apart: int, docs: float, share: float) -> All
     return best[1]
 
 
-def _set_rows(id_type: pa.DataType, size: int):
+def _set_rows(id_type: pa.DataType, size: int, threshold: Threshold):
+    """Digest, size and parity sketch of each row's set; sets too large for the sketch have a ``wide``
+    one, which gives the other when folded."""
     schema = pa.schema(
         [("id", id_type), ("text_key", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-         ("n", pa.int32()), ("counted", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+         ("n", pa.int32()), ("counted", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())),
+         ("wide", pa.list_(pa.int64()))]
     )
 
+    def parities(h: np.ndarray, bits: int) -> np.ndarray:
+        odd = np.bincount((h % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(bool)).view("<i8")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
         for batch in batches:
-            halves, sizes, counted, sketches = [], [], [], []
+            halves, sizes, counted, sketches, wide = [], [], [], [], []
             for text in batch.column(2):
                 h = shingles(text.as_py())
                 halves.append(np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), dtype="<i8"))
                 sizes.append(len(h))
                 counted.append(h[h % np.uint64(COUNTED) == 0].view(np.int64))
-                odd = np.bincount((h % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
-                sketches.append(np.packbits(odd.astype(bool)).view("<i8"))
+                sketches.append(parities(h, SKETCH))
+                bits = threshold.sketch_bits(len(h))
+                wide.append(parities(h, bits) if bits > SKETCH else None)
             both = np.array(halves, dtype=np.int64).reshape(len(sizes), 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(both[:, 0]), pa.array(both[:, 1]),
                  pa.array(sizes, pa.int32()), pa.array(counted, pa.list_(pa.int64())),
-                 pa.array(sketches, pa.list_(pa.int64()))],
+                 pa.array(sketches, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))],
                 schema=schema,
             )
 
@@ -363,6 +381,16 @@ def _fold(i: int) -> Column:
     return reduce(Column.bitwiseXOR, words)
 
 
+def _fold_to(sketch: Column, size: Column) -> Column:
+    """A parity sketch folded to ``size`` words; both sizes are powers of two."""
+    def word(i: Column) -> Column:
+        places = F.sequence(i, F.size(sketch) - 1, size)
+        return F.aggregate(places, F.lit(0).cast("long"), lambda x, at: x.bitwiseXOR(F.get(sketch, at)))
+
+    folded = F.transform(F.sequence(F.lit(0), size - 1), word)
+    return F.when(F.size(sketch) == size, sketch).otherwise(folded)
+
+
 class NearCopies:
     """Links between documents whose sets of word shingles have a Jaccard of num / den or more.
 
@@ -410,7 +438,7 @@ class NearCopies:
             text_of(docs, text_col).alias("text"),
         )
         self.id_type = to_arrow_type(self.rows.schema["id"].dataType)
-        run, schema = _set_rows(self.id_type, size)
+        run, schema = _set_rows(self.id_type, size, self.threshold)
         with text_batches(self.spark):
             self.sets = land(self.rows.mapInArrow(run, from_arrow_schema(schema)), "sets")
 
@@ -457,12 +485,16 @@ class NearCopies:
         ids = members.select(F.col("id").alias("live_id")).distinct().hint("shuffle_hash")
         live = F.col("id") == F.col("live_id")
         texts = land(self.rows.join(ids, live, "left_semi").select(*SET, "text").distinct(), "texts")
-        sketches = self.sets.join(ids, live, "left_semi").select(*SET, "n", "sketch").distinct()
+        sketches = self.sets.join(ids, live, "left_semi").select(*SET, "n", "sketch", "wide").distinct()
         sketches = land(sketches, "sketches")
-        folded = sketches.select(*SET, *[_fold(i).alias(f"fold_{i}") for i in range(FOLDED)])
+        folded = sketches.select(
+            *SET, *[_fold(i).alias(f"fold_{i}") for i in range(FOLDED)], F.coalesce("wide", "sketch").alias("wide")
+        )
         labels, pivots = None, 1
         while not members.isEmpty():
-            ranked = land(self._ranked(members, pivots).join(folded, SET), "ranked")
+            ranked = self._ranked(members, pivots).join(folded, SET)
+            wide = F.when(F.col("words") > FOLDED, _fold_to(F.col("wide"), F.col("words")))
+            ranked = land(ranked.withColumn("wide", wide), "ranked")
             pairs = land(self._candidates(ranked, sketches), "pairs")
             with text_batches(self.spark, 200):
                 near = land(self._verify(pairs, texts), "near")
@@ -476,12 +508,26 @@ class NearCopies:
         equal = copies.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
         return merged(labels, equal)
 
-    def _bound(self) -> Column:
-        """``SMALL`` or ``PLACED``. Folded sketches tell strangers apart if a quarter of their bits, half
-        of what random ones differ in, is more than linked sets of this size may differ in."""
+    def _told(self, words: Column | int) -> Column:
+        """Whether sketches of so many words tell strangers of a signature apart: a quarter of their bits,
+        half of what random ones differ in, is more than its linked sets may differ in."""
         widest = F.max("n").over(Window.partitionBy("sig"))
         den, num = self.threshold.den, self.threshold.num
-        told = 2 * (den - num) * widest <= (den + num) * FOLDED * 16
+        return 2 * (den - num) * widest <= (den + num) * words * 16
+
+    def _words(self) -> Column:
+        """How many words of their sketches the members of a signature carry: ``FOLDED``, or as many as
+        the widest sketch of its smallest set has (``Threshold.sketch_bits``)."""
+        least = F.min("n").over(Window.partitionBy("sig")).cast("long")
+        up, down = self.threshold.bits_of()
+        parts = F.floor((least * up + down - 1) / down)  # exact: far below 2 ** 53
+        widest = F.pow(F.lit(2), F.length(F.bin(parts - 1))).cast("int")
+        widest = F.greatest(F.when(parts > 1, widest).otherwise(F.lit(1)), F.lit(SKETCH // 64))
+        return F.when(self._told(FOLDED), F.lit(FOLDED)).otherwise(widest)
+
+    def _bound(self) -> Column:
+        """``SMALL`` or ``PLACED``, where places or sketches tell nearly all strangers apart."""
+        told = self._told(self._words())
         return F.when(F.col("place").isNotNull() | told, PLACED).otherwise(SMALL)
 
     def _ranked(self, members: DataFrame, pivots: int) -> DataFrame:
@@ -492,8 +538,11 @@ class NearCopies:
         first = Window.partitionBy("sig").orderBy("share", *SET)
         ranked = members.withColumn("share", share).withColumn("rank", F.row_number().over(first))
         few = held <= (self._bound() if pivots > 1 else pivots + 1)
-        return ranked.withColumn("pivots", F.when(few, held).otherwise(F.lit(pivots).cast("long"))).withColumn(
-            "ends", few
+        return ranked.select(
+            "*",
+            F.when(few, held).otherwise(F.lit(pivots).cast("long")).alias("pivots"),
+            few.alias("ends"),
+            self._words().alias("words"),
         )
 
     def _most(self) -> Column:
@@ -512,7 +561,7 @@ class NearCopies:
         ``folded``: only those whose folded sketches are not too far apart either.
         """
         den, num = self.threshold.den, self.threshold.num
-        names = ["n", "component", "apart", "place"] + [f"fold_{i}" for i in range(FOLDED)] * folded
+        names = ["n", "component", "apart", "place"] + [*[f"fold_{i}" for i in range(FOLDED)], "wide"] * folded
         p = ranked.where(F.col("rank") <= F.col("pivots")).select(
             "sig",
             "ends",
@@ -532,15 +581,19 @@ class NearCopies:
         met = own.join(p, "sig").where((F.col("rank") > F.col("p_rank")) & (~F.col("ends") | may_link))
         if folded:
             differ = [F.bit_count(F.col(f"fold_{i}").bitwiseXOR(F.col(f"p_fold_{i}"))) for i in range(FOLDED)]
-            met = met.where(sum(differ) <= self._most())
+            in_wide = F.zip_with("wide", "p_wide", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+            in_wide = F.aggregate(in_wide, F.lit(0), lambda x, more: x + more)
+            most = self._most()
+            met = met.where((sum(differ) <= most) & F.when(F.col("wide").isNull(), True).otherwise(in_wide <= most))
         return met.select("sig", "p_rank", *PIVOT, *SET, "ends")
 
     def _candidates(self, ranked: DataFrame, sketches: DataFrame) -> DataFrame:
         """Distinct pairs of a pivot and a member that may link or, if that is of use, be near.
 
         Parity sketches (bits set where an odd number of elements falls) never differ in more bits
-        than the sets do in elements. Folded to a quarter they go along with the members, so that
-        most pairs end where they meet; the whole ones are looked up for the others.
+        than the sets do in elements. Folded to a quarter they go along with the members, and wider
+        ones with members too large for these, so that most pairs end where they meet; ones of
+        ``SKETCH`` bits are looked up for the others.
         """
         met = self._met(ranked, ranked, folded=True)
         pairs = met.groupBy(*PIVOT, *SET).agg(F.min("ends").alias("ends"))

@@ -183,6 +183,41 @@ def test_signatures_with_the_same_members_count_once(spark):
     assert sorted(map(tuple, held)) == [(1, 2), (4, 2), (8, 2)]
 
 
+def test_long_strangers_of_one_template_end_by_sketches(spark, monkeypatch):
+    """Sets too large for narrow sketches, in signatures of more rows than may end without any."""
+    monkeypatch.setattr(J, "SMALL", 4)
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(500)]
+    rows = [(i, " ".join(base + [f"x{i}_{k}" for k in range(240)])) for i in range(40)]
+    for i, text in rows[:6]:
+        own = text.split()
+        own[rng.randrange(600, 740)] = "other"
+        rows.append((1000 + i, " ".join(own)))
+    landed = []
+    plain = J.land
+
+    def noting(df, name):
+        landed.append((name, plain(df, name)))
+        return landed[-1][1]
+
+    monkeypatch.setattr(J, "land", noting)
+    got = J.near_components(table(spark, rows), size=5, num=80, den=100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == expected(rows, 5, 80)
+    rounds = [df.count() for name, df in landed if name == "ranked"]
+    assert len(rounds) <= 2 and max(rounds) == rounds[0]
+
+
+def test_wide_sketches_fold_to_narrow_ones(spark):
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(n))) for i, n in enumerate((3, 700, 2000, 9000))]
+    sets = J.NearCopies(table(spark, rows), size=1).sets
+    size = 1024 // 64
+    folded = sets.orderBy("id").select("n", "sketch", "wide", J._fold_to(J.F.col("wide"), J.F.lit(size)).alias("f"))
+    for r in folded.collect():
+        bits = J.Threshold(80, 100).sketch_bits(r.n)
+        assert r.wide is None if bits == 1024 else (len(r.wide) * 64 == bits and r.f == r.sketch)
+        assert bits == 1024 or 1.7 * r.n < bits < 4 * r.n
+
+
 def test_drop_keeps_one_of_each_group(spark):
     rows = near_group(30) + [(1, "a b c"), (1, "a b c"), (2, "a b c"), (3, None), (4, ""), (None, "a b c")]
     docs = table(spark, rows, extra=True)
