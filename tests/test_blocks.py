@@ -2,9 +2,14 @@
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from reviewloom.functions import blocks
+from reviewloom.operators import compounds, extract
 from reviewloom.operators.compounds import fold_reviews
+from reviewloom.operators.extract import SPACED_RULES, review_pairs
+from tests.test_extract import frame, random_review
 from tests.test_long_reviews import MORPHEMES, RUN, by_definition, morphemes, seconds, text_of
 
 
@@ -45,3 +50,46 @@ def test_a_word_that_no_text_holds_is_searched_once(spark, tmp_path):
     assert spent[80_000] < 8 * max(spent[20_000], 0.2), spent
     last = fold_reviews(spark.read.parquet(f"{tmp_path}/80000")).agg(F.max("end_offset")).first()
     assert last[0] == 2 * 80_000 - 1
+
+
+def test_pairs_are_formed_without_arrays_of_words(spark):
+    tokens = frame(spark, {"r": random_review(random.Random(2), SPACED_RULES)}).repartition(3, "row_id")
+    plan = review_pairs(tokens, SPACED_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_list" not in plan and "Sort" not in plan
+    assert plan.count("Exchange") == 1  # of the rows as they came
+
+
+def test_tokens_in_any_order_and_partition_pair_alike(spark):
+    rng = random.Random(22)
+    tokens = frame(spark, {f"r{i}": random_review(rng, SPACED_RULES) for i in range(300)})
+    wanted, found = (
+        {r.row_id: r for r in review_pairs(rows, SPACED_RULES).collect()}
+        for rows in (tokens, tokens.orderBy(F.xxhash64("row_id", "place")).repartition(5)))
+    assert found == wanted and len(wanted) > 200
+
+
+def given_to(build, monkeypatch):
+    """The rows of one partition as an operator hands them to Python."""
+    held = []
+    with monkeypatch.context() as m:
+        m.setattr(blocks, "together", lambda rows, key: held.append(rows) or rows)
+        build()
+    return held[0].toArrow()
+
+
+def test_results_do_not_depend_on_batches_blocks_and_slices_of_walks(spark, monkeypatch):
+    rng = random.Random(23)
+    tokens = frame(spark, {f"r{i:03}": random_review(rng, SPACED_RULES) for i in range(150)})
+    words = [(f"r{i:03}", ms, text_of(rng, ms)) for i in range(100) for ms in [morphemes(rng, rng.choice([1, 3, 20]))]]
+    rows = spark.createDataFrame(morpheme_rows({key: (ms, text) for key, ms, text in words}), f"{MORPHEMES}, {RUN}")
+    for given, run in (
+        (given_to(lambda: review_pairs(tokens, SPACED_RULES), monkeypatch), extract._pairs_of),
+        (given_to(lambda: fold_reviews(rows), monkeypatch), compounds._fold),
+    ):
+        wanted = pa.Table.from_batches(run(iter(given.combine_chunks().to_batches())))
+        with monkeypatch.context() as m:
+            for owner, name, value in ((blocks, "BLOCK_TOKENS", 30), (blocks, "BATCH_ROWS", 4), (extract, "WALKED", 3)):
+                m.setattr(owner, name, value)
+            found = pa.Table.from_batches(run(iter(given.combine_chunks().to_batches(max_chunksize=7))))
+        assert found.to_pylist() == wanted.to_pylist() and wanted.num_rows > 90
+    assert not list(extract._pairs_of(iter([]))) and not list(compounds._fold(iter([])))
