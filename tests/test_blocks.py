@@ -9,6 +9,7 @@ from reviewloom.functions import blocks
 from reviewloom.operators import compounds, extract
 from reviewloom.operators.compounds import fold_reviews
 from reviewloom.operators.extract import SPACED_RULES, review_pairs
+from reviewloom.operators.reasons import build_reasons
 from tests.test_extract import frame, random_review
 from tests.test_long_reviews import MORPHEMES, RUN, by_definition, morphemes, seconds, text_of
 
@@ -93,3 +94,16 @@ def test_results_do_not_depend_on_batches_blocks_and_slices_of_walks(spark, monk
             found = pa.Table.from_batches(run(iter(given.combine_chunks().to_batches(max_chunksize=7))))
         assert found.to_pylist() == wanted.to_pylist() and wanted.num_rows > 90
     assert not list(extract._pairs_of(iter([]))) and not list(compounds._fold(iter([])))
+
+
+def test_reviews_of_very_many_subjects_get_several_rows_with_the_same_reasons(spark, monkeypatch):
+    rng = random.Random(24)
+    reviews = {f"r{i:03}": [{**t, "sentence": 1} for _ in range(4) for t in random_review(rng, SPACED_RULES)] for i in range(60)}
+    given = given_to(lambda: review_pairs(frame(spark, reviews), SPACED_RULES), monkeypatch)
+    wanted = pa.Table.from_batches(extract._pairs_of(iter(given.to_batches())))
+    monkeypatch.setattr(extract, "ROW_SUBJECTS", 40)
+    found = pa.Table.from_batches(extract._pairs_of(iter(given.to_batches())))
+    assert found.num_rows > 1.5 * wanted.num_rows and len(set(found["row_id"].to_pylist())) == wanted.num_rows
+    assert max(len(p) for p in found["pairs"].to_pylist()) < max(len(p) for p in wanted["pairs"].to_pylist())
+    one, other = (sorted(map(repr, build_reasons(spark.createDataFrame(t)).collect())) for t in (wanted, found))
+    assert one == other and len(one) > 500
